@@ -160,7 +160,11 @@ def _odd_space(text: str) -> bool:
     return text[0] in " \n" or text[-1] in " \n" or any(map(text.__contains__, _ODD_SPACE))
 
 
-_tokenizers = functools.lru_cache(maxsize=2)(ByteTokenizer)
+@functools.lru_cache(maxsize=2)
+def _tokenizer(json_path: str, ranks_path: str, pattern: str) -> ByteTokenizer:
+    return ByteTokenizer(json_path, ranks_path, pattern)
+
+
 
 
 @dataclass
@@ -261,7 +265,7 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str, pattern: st
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizers(json_path, ranks_path, pattern)
+        tokenizer = _tokenizer(json_path, ranks_path, pattern)
         packer = DocumentPacker(limits, TaskContext.get().partitionId() << 32)
         end, key_type = array.array("I", [end_id]).tobytes(), None
 

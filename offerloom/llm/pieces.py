@@ -163,7 +163,11 @@ class PieceModel:
 
 
 _CUTS = re.compile(r" *[^ ]+| +")
-_models = functools.lru_cache(maxsize=2)(PieceModel)
+@functools.lru_cache(maxsize=2)
+def _model(path: str) -> PieceModel:
+    return PieceModel(path)
+
+
 
 
 def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,7 +175,7 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _models(model_path)
+        model = _model(model_path)
         begin, end = (i.to_bytes(4, "little") for i in (model.bos, model.eos))
         for batch in batches:
             model.spaced.trim(), model.bare.trim()
