@@ -5,13 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerloom.llm import packing, pieces, wordpiece
+from offerloom.llm import grades, imatch, nearjoin, packing, pieces, pii, rules, secrets, warc, wordpiece
 from offerloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
 BYTES = "byte_bpe_50k"
 
 
+#: The key of the surrogates; a deployment sets its own.
+SURROGATE_KEY = "offerloom"
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -20,9 +28,37 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(f"{BYTES}.json"), public_tokenizers.path(f"{BYTES}.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents"), SURROGATE_KEY).select("doc_id", "text", "n_entities")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = rules.judge(docs, rules.learn(docs, table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.rewritten(table(spark, sf_dir, "pages"))
+
+
+def op8_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = grades.train(docs, table(spark, sf_dir, "labels"))
+    return grades.score(docs.select("doc_id", "text"), model).drop("text")
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_packing, op9_sentencepiece)}
+def op10_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearjoin.join_near(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_packing, op4_fingerprints, op5_surrogates, op6_quality_rules, op7_warc_revisits, op8_quality_grades, op9_sentencepiece, op10_near_join)}
 ORACLES: dict[str, str] = {}
