@@ -55,7 +55,7 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def share(of: Column, whole: Column) -> Column:
         return F.when(whole > 0, of / whole).otherwise(0.0)
 
-    df = df.withColumns({
+    ratios = {
         "mean_word_chars": share(F.col("word_chars"), F.col("n_words")),
         "symbol_ratio": share(F.col("n_symbols"), F.col("n_words")),
         "dup_line_ratio": share(F.col("n_dup_lines"), F.col("_n_lines")),
@@ -64,8 +64,10 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "upper_ratio": share(F.col("_upper"), F.col("word_chars")),
         "digit_ratio": share(F.col("_digits"), F.col("word_chars")),
         "longest_run_ratio": share(F.col("_longest"), F.char_length("_text")),
-    })
-    return df.drop("_text", "_words", "_lines", "_distinct", "_upper", "_digits", "_n_lines", "_longest", "_windows")
+    }
+    kept = [c for c in docs.columns if c not in (*COUNTS, *FEATURES)]
+    # a generator of one row: a filter on a count must not be moved below it, where the count would be computed again for each mention
+    return df.select(*kept, F.inline(F.array(F.struct(*COUNTS, *(v.alias(k) for k, v in ratios.items())))))
 
 
 def _covered(windows: Column) -> Column:
@@ -109,6 +111,15 @@ def covers(rule: Rule, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _cuts(v: np.ndarray, bad: np.ndarray, most: int) -> np.ndarray:
+    """Midpoints between neighbouring values of different labels; evenly chosen ones if there are more than `most`."""
+    order = np.lexsort((bad, v))
+    v, bad = v[order], bad[order]
+    at = np.nonzero((v[1:] > v[:-1]) & ((bad[1:] != bad[:-1]) | (np.diff(v, prepend=v[0])[:-1] == 0)))[0]
+    middle = np.unique((v[at] + v[at + 1]) / 2)
+    return middle if len(middle) <= most else middle[np.linspace(0, len(middle) - 1, most).astype(int)]
+
+
 def grow(x: np.ndarray, bad: np.ndarray, conditions: int, cuts: int) -> Rule:
     """Adds the condition with the largest information gain until no good text is covered or nothing is gained."""
     rule: Rule = ()
@@ -119,7 +130,7 @@ def grow(x: np.ndarray, bad: np.ndarray, conditions: int, cuts: int) -> Rule:
             break
         best, best_gain = None, 1e-9
         for k, name in enumerate(FEATURES):
-            for cut in np.unique(np.quantile(x[inside, k], np.linspace(0, 1, cuts + 2)[1:-1])):
+            for cut in _cuts(x[inside, k], bad[inside], cuts):
                 for above in (True, False):
                     c = Condition(name, above, float(cut))
                     now = inside & c.holds(x)

@@ -2,8 +2,8 @@
 
 Headers (digest, size) are grouped by payload digest; of the records with one payload, that with the largest key keeps
 it, the others become revisit records that refer to it. Archives are written by Spark's text writer with fresh headers,
-one record a line and the record separator as line end, so they go wherever Spark can write, and are read back file by
-file, by Content-Length, whatever a payload holds.
+one record a line and the record separator as line end, so they go wherever Spark can write (gzip, each file as a whole),
+and are read back file by file, by Content-Length, whatever a payload holds.
 
 Null payload is the empty payload. Payloads under `least_bytes` are never revisits. Repeated rows: every row that has the
 largest key of its payload keeps it. A null key loses to any other; payloads with only null keys all keep theirs. An empty
@@ -12,6 +12,7 @@ table gives no records. Extra columns are left out.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -75,7 +76,7 @@ def record(key: Column, url: Column, payload: Column, date: str) -> Column:
 
 def write_archives(resolved: DataFrame, path: str, key_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str = "2024-01-01T00:00:00Z") -> None:
     text = resolved.select(record(F.col(key_col), F.col(url_col), F.col(payload_col), date).alias("value"))
-    text.write.option("lineSep", END + END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    text.write.option("lineSep", END + END).option("maxRecordsPerFile", RECORDS_PER_FILE).option("compression", "gzip").text(path)
 
 
 def parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -99,7 +100,7 @@ def read_archives(spark: SparkSession, path: str, key_type: str = "long") -> Dat
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for headers, block in parse(content.as_py()):
+                for headers, block in parse(gzip.decompress(content.as_py())):
                     digest, size = headers["warc-payload-digest"].partition(":")[2], int(headers["x-payload-length"])
                     revisit = headers["warc-type"] == "revisit"
                     if not revisit and (hashlib.sha1(block).hexdigest(), len(block)) != (digest, size):
