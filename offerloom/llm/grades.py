@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerloom.llm.common import Memo
 from offerloom.llm.rules import training_rows
@@ -117,7 +118,6 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES, ro
     keep = often[at]
     place = np.cumsum(often) - 1
     used, at, row, value = used[often], place[at[keep]], row[keep], value[keep]
-    order = np.argsort(at, kind="stable")
     w, n = np.zeros(len(used)), len(rows)
     share = np.array([(y <= k).mean() for k in range(grades - 1)]).clip(0.01, 0.99)
     first = np.log(share / (1 - share))
@@ -145,7 +145,6 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES, ro
         move = rate * (moment / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.999**step)) + 1e-8)
         w -= move[: len(w)]
         free -= move[len(w) :]
-    del order
     t = np.concatenate([free[:1], free[0] + np.cumsum(np.exp(free[1:]))])
     return OrdinalModel({int(k): float(v) for k, v in zip(used, w) if abs(v) > 1e-6}, t)
 
@@ -183,7 +182,5 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataF
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])], [*batch.schema.names, *added])
 
     kept = docs.drop(*added, "selected")
-    schema = kept.schema
-    for name in added:
-        schema = schema.add(name, "double")
+    schema = T.StructType([*kept.schema.fields, *(T.StructField(name, T.DoubleType()) for name in added)])
     return kept.mapInArrow(run, schema).withColumn("selected", F.col("tail_probability") >= 0.5)

@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerloom.llm.common import saved
 
@@ -280,6 +281,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             yield batch.append_column("_set_key", pa.array([set_key(shingles(t)) for t in batch.column(at).to_pylist()], pa.string()))
 
-    schema = docs.schema.add("_set_key", "string") if "_set_key" not in docs.columns else docs.schema
+    schema = T.StructType([*docs.schema.fields, T.StructField("_set_key", T.StringType())])
     nameless = nameless.mapInArrow(with_key, schema).join(alone.withColumnRenamed("set_key", "_set_key"), "_set_key", "left_semi").drop("_set_key")
     return named.select(docs.columns).unionByName(nameless.select(docs.columns))

@@ -133,11 +133,11 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
 
 def rendered(kind: Column, surface: Column, form: Column) -> Column:
     """A surrogate in the format of one mention: its letters and digits one after another at the mention's places."""
-    part = F.when(kind == "iban", r"[A-Z0-9]").otherwise(r"[0-9+]")
+    part = F.when(kind == "iban", F.lit(r"[A-Z0-9]")).otherwise(F.lit(r"[0-9+]"))
     start = F.struct(F.lit(0).alias("n"), F.lit("").alias("out"))
 
     def step(acc: Column, c: Column) -> Column:
-        fill = c.rlike(part)
+        fill = F.rlike(c, part)
         return F.struct((acc["n"] + fill.cast("int")).alias("n"), F.concat(acc["out"], F.when(fill, F.substr(form, acc["n"] + 1, F.lit(1))).otherwise(c)).alias("out"))
 
     filled = F.aggregate(F.split(surface, ""), start, step, lambda acc: acc["out"])

@@ -26,6 +26,8 @@ LEAST_BYTES = 1000
 #: Records of at most this many rows go into one file, so that a reader's task has a bounded file before it.
 RECORDS_PER_FILE = 2_000
 END = "\r\n"
+#: The HTTP header that goes before each payload, and stands alone in a revisit's block.
+HTTP = f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}{END}"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -52,13 +54,13 @@ def _record_id(key: Column) -> Column:
 
 
 def record(key: Column, url: Column, payload: Column, date: str) -> Column:
-    """A whole record: headers, an empty line, and the block (empty for a revisit)."""
+    """A whole record: headers, an empty line, and the block, which has no payload for a revisit."""
     revisit = F.col("record_type") == "revisit"
-    block = F.when(revisit, F.lit("")).otherwise(F.coalesce(payload, F.lit("")))
+    block = F.concat(F.lit(HTTP), F.when(revisit, F.lit("")).otherwise(F.coalesce(payload, F.lit(""))))
     clean_url = F.regexp_replace(F.coalesce(url, F.lit("")), r"[\r\n]", "")
     lines = [
         F.lit("WARC/1.1"),
-        F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("resource")),
+        F.concat(F.lit("WARC-Type: "), F.col("record_type")),
         F.concat(F.lit("WARC-Record-ID: "), _record_id(key)),
         F.lit(f"WARC-Date: {date}"),
         F.concat(F.lit("WARC-Target-URI: "), clean_url),
@@ -68,7 +70,7 @@ def record(key: Column, url: Column, payload: Column, date: str) -> Column:
         F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), _record_id(F.col("refers_to")))),
         F.when(revisit, F.concat(F.lit("X-Refers-To-Page: "), F.col("refers_to").cast("string"))),
         F.when(revisit, F.lit(f"WARC-Profile: {REVISIT_PROFILE}")),
-        F.lit("Content-Type: text/html; charset=utf-8"),
+        F.lit("Content-Type: application/http; msgtype=response"),
         F.concat(F.lit("Content-Length: "), F.octet_length(block)),
     ]
     return F.concat(F.concat_ws(END, *lines), F.lit(END + END), block)  # concat_ws passes over nulls
@@ -102,10 +104,10 @@ def read_archives(spark: SparkSession, path: str, key_type: str = "long") -> Dat
                 rows = []
                 for headers, block in parse(gzip.decompress(content.as_py())):
                     digest, size = headers["warc-payload-digest"].partition(":")[2], int(headers["x-payload-length"])
-                    revisit = headers["warc-type"] == "revisit"
-                    if not revisit and (hashlib.sha1(block).hexdigest(), len(block)) != (digest, size):
+                    payload = block.partition(b"\r\n\r\n")[2]
+                    if headers["warc-type"] != "revisit" and (hashlib.sha1(payload).hexdigest(), len(payload)) != (digest, size):
                         raise ValueError(f"payload of {headers['warc-record-id']} is damaged")
-                    rows.append((headers.get("x-page"), size, digest, "revisit" if revisit else "response", headers.get("x-refers-to-page"), headers["warc-target-uri"]))
+                    rows.append((headers.get("x-page"), size, digest, headers["warc-type"], headers.get("x-refers-to-page"), headers["warc-target-uri"]))
                 columns = list(zip(*rows)) if rows else [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k == 1 else pa.string()) for k, c in enumerate(columns)], names)
 
