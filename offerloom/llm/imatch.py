@@ -14,6 +14,7 @@ text; the last row's next is the first. Null ids come first. Repeated rows are n
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -66,12 +67,15 @@ def fingerprint(text: Column, bits: bytes, lexicon: Lexicon) -> Column:
         kept = F.filter(slots, inside)
         return F.transform(F.array(F.when(F.size(kept) > 0, kept).otherwise(slots)), lambda s: F.array_sort(F.transform(s, lambda t: F.xxhash64(t))))
 
+    def sampled(bits: int, mask: int) -> Callable[[Column], Column]:
+        return lambda t: F.shiftright(t, bits).bitwiseAND(F.lit(mask)) == 0
+
     def subsets(terms: Column) -> Column:
         picks = [terms]
         for rate in lexicon.rates:
             for copy in range(lexicon.copies):
-                picks.append(F.filter(terms, lambda t, c=copy, r=rate: F.shiftright(t, 7 * c).bitwiseAND(F.lit((1 << r) - 1)) == 0))
-        return F.array_join(F.transform(F.array(*picks), lambda p: F.when(F.size(p) == 0, F.lit("-")).otherwise(F.hex(F.hash(p)))), ",")
+                picks.append(F.filter(terms, sampled(7 * copy, (1 << rate) - 1)))
+        return F.array_join(F.transform(F.array(*picks), lambda p: F.when(F.size(p) == 0, F.lit("-")).otherwise(F.substring(F.hex(F.pmod(F.hash(p).cast("long"), F.lit(1 << 32)) + (1 << 32)), 2, 8))), ",")
 
     # one-element arrays bind what would otherwise be computed again for each subset
     bound = F.transform(F.array(slots_of(text, lexicon)), lambda s: F.get(F.transform(hashes(s), subsets), F.lit(0)))
