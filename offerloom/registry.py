@@ -1,5 +1,7 @@
 """Every query outside the llm subpackage, with its SQL where SQL can express it."""
 
+from offerloom.plans import base, offers  # noqa: F401  the modules register their queries
+
 FLAGSHIP = "business_metrics"
-QUERIES: dict = {}
-ORACLES: dict = {}
+QUERIES = base.QUERIES
+ORACLES = base.ORACLES
