@@ -162,22 +162,25 @@ def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
-    """(node, root) for the nodes of edges (a, b): the smallest node that each can reach.
+    """(node, root) for the nodes of edges (a, b); equal roots for connected nodes.
 
-    Labels pass to neighbours and, in the same round, on from the label's own label, so the number of rounds grows with
-    the logarithm of a chain's length. Each round is a table in the shared folder.
+    Each round every node takes the smallest of itself and its neighbours as its label and the graph is contracted to the
+    labels, so that a node with very many neighbours, or many nodes around a few, shrink at once. Nodes are hashes, so
+    the rounds are few. Each round's labels and edges are tables in the shared folder; they are put together at the end.
     """
-    e = edges.select("a", "b")
-    both = e.union(e.select("b", "a")).union(e.select("a", "a")).union(e.select("b", F.col("b").alias("b2")))
-    both = saved(both.toDF("node", "near").distinct(), f"{name}-links")
-    labels = saved(both.groupBy("node").agg(F.min("near").alias("root"), F.lit(True).alias("moved")), f"{name}-labels")
-    while labels.filter("moved").limit(1).count():
-        near = both.join(labels.select(F.col("node").alias("near"), "root"), "near").select("node", "root", F.lit(None).cast("string").alias("old"))
-        own = labels.select("node", F.col("root").alias("via"))
-        jump = own.join(labels.select(F.col("node").alias("via"), "root"), "via").select("node", "root", F.col("via").alias("old"))
-        step = near.union(jump).groupBy("node").agg(F.min("root").alias("root"), F.min("old").alias("old"))
-        labels = saved(step.select("node", "root", (F.col("root") != F.col("old")).alias("moved")), f"{name}-labels")
-    return labels.select("node", "root")
+    edges = saved(edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-edges")
+    rounds = []
+    while not rounds or edges.limit(1).count():
+        near = edges.union(edges.select("b", "a")).toDF("node", "near")
+        labels = saved(near.groupBy("node").agg(F.min("near").alias("root")).select("node", F.least("node", "root").alias("root")), f"{name}-labels")
+        rounds.append(labels)
+        la, lb = labels.select(F.col("node").alias("a"), F.col("root").alias("la")), labels.select(F.col("node").alias("b"), F.col("root").alias("lb"))
+        moved = edges.join(la, "a").join(lb, "b").filter("la <> lb")
+        edges = saved(moved.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), f"{name}-edges")
+    out = rounds[0]
+    for labels in rounds[1:]:
+        out = out.join(labels.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+    return out
 
 
 def join_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
