@@ -80,7 +80,7 @@ def _normalise_sql(column: str) -> str:
     for pattern, replacement in text.title_steps():
         out = f"regexp_replace({out}, '{pattern.replace(chr(39), chr(39) * 2)}', '{replacement.replace('$', chr(92))}', 'g')"
     stop = ", ".join(f"'{w}'" for w in dict.fromkeys(text.STOP_WORDS))
-    return f"list_filter(list_transform(string_split({out}, ' '), lambda w: trim(w, '{text.STRIPPED}')), w -> w <> '' AND NOT list_contains([{stop}], w))"
+    return f"list_filter(list_transform(string_split({out}, ' '), lambda w: trim(w, '{text.STRIPPED}')), lambda w: w <> '' AND NOT list_contains([{stop}], w))"
 
 
 _RAW = "p_name || ' (' || p_brand || '), ' || p_size::VARCHAR || ' kg x ' || (p_size % 5)::VARCHAR || ' - ' || (p_size * 10)::VARCHAR || ',50 czk'"
