@@ -1,11 +1,11 @@
 """Quality grades by ordinal cumulative-link regression on hashed text.
 
-A text's grade is 0 (low quality), 1 (good but toxic) or 2 (good and clean); any ordered grades work. One weight vector
+A text's grade is 0 (toxic), 1 (low quality) or 2 (good and clean); any ordered grades work. One weight vector
 over hashed features gives a score s, and ordered thresholds t_k give P(grade <= k) = sigmoid(t_k - s). Expected grade and
 the probability of the top grade follow from them.
 
 Features are hashed to a fixed number of slots: each distinct word (without the signs around it, in lower case), and how
-large a share of a text's distinct words has an odd shape: capitals, a tail of signs, digits; besides, how many words and
+large a share of a text's words has an odd shape: capitals, a tail of signs, digits; besides, how many words and
 lines repeat. Training takes a bounded sample of labelled texts (documented parameter); scoring covers whole texts.
 
 Null text is the empty text; it has no feature but "empty". Texts of any length are scored whole; repeated rows and null
@@ -51,9 +51,9 @@ def word_slots(word: str) -> tuple[int, int]:
     if len(bare) > 1 and word.isupper():
         shape = "capitals"
     elif tail and len(tail[0]) > 1:
-        shape = f"tail {tail[0]}"
+        shape = "tail of signs"
     elif not bare:
-        shape = f"signs {word[:3]}"
+        shape = "only signs"
     elif any(c.isdigit() for c in word):
         shape = "digits"
     return slot(f"word {bare}") if bare else -1, slot(f"shape {shape}") if shape else -1
@@ -66,7 +66,7 @@ def whole_text(words: list[str], distinct: int, text: str) -> list[int]:
     lines = [line for line in text.split("\n") if line]
     repeated_lines = 1 - len(set(lines)) / len(lines)
     fresh = distinct / len(words) ** 0.75  # distinct words grow a little slower than words
-    return [slot(f"lines {int(10 * repeated_lines)}"), slot(f"fresh {min(20, int(5 * fresh))}"), slot(f"length {min(len(words), 1 << 14).bit_length()}")]
+    return [slot(f"lines {int(10 * repeated_lines)}"), slot(f"fresh {min(20, int(5 * fresh))}"), slot(f"seldom fresh {fresh < 1.2}"), slot(f"length {min(len(words), 1 << 14).bit_length()}")]
 
 
 def features(text: str | None, memo: Memo) -> dict[int, float]:
@@ -74,11 +74,11 @@ def features(text: str | None, memo: Memo) -> dict[int, float]:
     distinct = set(words)
     out: Counter = Counter()
     for word in distinct:
-        bare, shape = memo[word]
-        if bare >= 0:
-            out[bare] += 1.0
-        if shape >= 0:
-            out[shape] += _SHARE_SCALE / len(distinct)
+        if memo[word][0] >= 0:
+            out[memo[word][0]] += 1.0
+    for word in words:
+        if memo[word][1] >= 0:
+            out[memo[word][1]] += _SHARE_SCALE / len(words)
     for s in whole_text(words, len(distinct), text or ""):
         out[s] += 1.0
     return out
@@ -90,34 +90,40 @@ class OrdinalModel:
     thresholds: np.ndarray = field(default_factory=lambda: np.array([-1.0, 0.0]))
 
     def word_weight(self, word: str) -> complex:
-        """Real part: weight of the word itself; imaginary part: weight of its shape, to be divided by the distinct words."""
+        """Real part: weight of the word itself; imaginary part: weight of its shape, to be divided by the number of words."""
         bare, shape = word_slots(word)
         return complex(self.weights.get(bare, 0.0), self.weights.get(shape, 0.0))
 
     def score(self, text: str | None, memo: Memo) -> float:
         words = (text or "").split()
         distinct = set(words)
-        both = sum(map(memo.__getitem__, distinct), 0j)
+        bare, shapes = sum(map(memo.__getitem__, distinct), 0j).real, sum(map(memo.__getitem__, words), 0j).imag
         rest = sum(self.weights.get(s, 0.0) for s in whole_text(words, len(distinct), text or ""))
-        return both.real + _SHARE_SCALE * both.imag / max(1, len(distinct)) + rest
+        return bare + _SHARE_SCALE * shapes / max(1, len(words)) + rest
 
     def tails(self, score: np.ndarray) -> np.ndarray:
         """P(grade > k) for k = 0..; one row per score."""
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -40, 40)))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES, rounds: int = 400, rate: float = 0.05, shrink: float = 1e-4, least_texts: int = 3) -> OrdinalModel:
-    """Maximum likelihood by Adam over slots, values and grade of each text; slots of fewer than `least_texts` texts are left out."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES, rounds: int = 400, rate: float = 0.05, shrink: float = 1e-3, least_z: float = 5.0) -> OrdinalModel:
+    """Maximum likelihood by Adam over slots, values and grade of each text. Only slots go in whose amount tells texts above and
+    below some grade apart, by `least_z` standard errors or more: most words say nothing, and there are very many."""
     if not rows:
         return OrdinalModel(thresholds=np.linspace(-1, 0, grades - 1))
     y = np.array([r[2] for r in rows])
     column, value = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
     row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
     used, at = np.unique(column, return_inverse=True)
-    often = np.bincount(at, minlength=len(used)) >= least_texts
-    keep = often[at]
-    place = np.cumsum(often) - 1
-    used, at, row, value = used[often], place[at[keep]], row[keep], value[keep]
+    size, told = np.sqrt(np.bincount(at, weights=value * value)), np.zeros(len(used))
+    for k in range(grades - 1):
+        below = (y <= k) - (y <= k).mean()
+        if below.std() > 0:
+            told = np.maximum(told, np.abs(np.bincount(at, weights=value * below[row])) / (size * below.std()))
+    chosen = told >= least_z
+    keep = chosen[at]
+    place = np.cumsum(chosen) - 1
+    used, at, row, value = used[chosen], place[at[keep]], row[keep], value[keep]
     w, n = np.zeros(len(used)), len(rows)
     share = np.array([(y <= k).mean() for k in range(grades - 1)]).clip(0.01, 0.99)
     first = np.log(share / (1 - share))
@@ -150,7 +156,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES, ro
 
 
 def grade(quality: Column, toxic: Column) -> Column:
-    return F.when(quality < 1, 0).when(toxic > 0, 1).otherwise(2)
+    return F.when(toxic > 0, 0).when(quality < 1, 1).otherwise(2)
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
