@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerloom.llm import grades, imatch, nearjoin, packing, pieces, pii, rules, secrets, warc, wordpiece
+from offerloom.llm import grades, imatch, nearjoin, oracles, packing, pieces, pii, rules, secrets, warc, wordpiece
 from offerloom.llm.common import table
 
 PIECES = "piece_bpe_32k.model"
@@ -62,4 +62,4 @@ def op10_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_packing, op4_fingerprints, op5_surrogates, op6_quality_rules, op7_warc_revisits, op8_quality_grades, op9_sentencepiece, op10_near_join)} | {"pipeline": corpus_pipeline.run}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
