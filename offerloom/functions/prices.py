@@ -16,7 +16,7 @@ def price_rejected(low: Column, high: Column, price: Column, a: float = 1000.0,
     null where a price is unknown or lies inside the range. The larger price may be a / (smaller + b) + c times the smaller."""
     near = F.when(price <= low, low).when(price >= high, high)
     small, large = F.least(near, price), F.greatest(near, price)
-    return large / (small + _TINY) > F.lit(a) / (small + b) + c + _TINY
+    return F.when(near.isNotNull() & price.isNotNull(), large / (small + _TINY) > F.lit(a) / (small + b) + c + _TINY)  # greatest() passes over nulls
 
 
 def constant_outlier(low: Column, high: Column, price: Column, c: float = 1.25) -> Column:

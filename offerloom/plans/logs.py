@@ -273,3 +273,21 @@ def word_vectors(spark, sf_dir):
     model = models.word_vectors(rows, "words", size=16, least=20)
     return model.getVectors().select("word")
 
+
+
+@query("""WITH s AS (SELECT unnest(['em', 'es', 'im', 'um', 'at', 'am', 'os', 'us', 'ym', 'mi', 'ou', 'ov', 'in', 'uv']) AS x), t AS (SELECT DISTINCT n_name AS w FROM nation),
+a AS (SELECT w, CASE WHEN length(w) >= 5 AND lower(right(w, 2)) IN (SELECT x FROM s) THEN left(lower(w), length(w) - 2) WHEN length(w) >= 4 AND lower(right(w, 1)) IN ('a', 'e', 'i', 'o', 'u', 'y') THEN left(lower(w), length(w) - 1) ELSE lower(w) END AS stem FROM t)
+SELECT lower(w) AS token, stem FROM a""")
+def token_stems(spark, sf_dir):
+    from offerloom.operators import stems
+
+    short = [s for s in stems.SUFFIXES if len(s[0]) < 3]
+    return stems.stemmed(catalog.table(spark, sf_dir, "nation").select(F.lower("n_name").alias("token")).distinct(), "token", short)
+
+
+@query(f"""WITH {_LOG}, m AS (SELECT model, count(*)::DOUBLE AS n, round(avg(value), 4) AS mean FROM log GROUP BY 1) SELECT model AS source, 'n' AS statistic, n AS value FROM m UNION ALL SELECT model, 'mean', mean FROM m""")
+def long_metrics(spark, sf_dir):
+    from offerloom.sources import sinks
+
+    rows = _log(spark, sf_dir).groupBy("model").agg(F.count("*").alias("n"), F.round(F.avg("value"), 4).alias("mean"))
+    return sinks.long_metrics(rows, "model")

@@ -17,7 +17,7 @@ def _with_others(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {OFFERS}, {OTHERS}, j AS (SELECT *, CASE WHEN price <= low THEN low WHEN price >= high THEN high END AS near FROM offers JOIN others USING (offer_id))
-SELECT offer_id, greatest(near, price) / (least(near, price) + 1e-7) > 1000.0 / (least(near, price) + 400.0) + 2.5 + 1e-7 AS rejected FROM j""")
+SELECT offer_id, CASE WHEN near IS NOT NULL THEN greatest(near, price) / (least(near, price) + 1e-7) > 1000.0 / (least(near, price) + 400.0) + 2.5 + 1e-7 END AS rejected FROM j""")
 def offer_price_rule(spark, sf_dir):
     return _with_others(spark, sf_dir).select("offer_id", prices.price_rejected(F.col("others_low"), F.col("others_high"), F.col("price")).alias("rejected"))
 
