@@ -167,7 +167,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with entities replaced in the text, and n_entities; n_chars follows the text where docs has it."""
-    text, handle = F.col(text_col), F.coalesce(F.xxhash64(F.col(id_col)), F.lit(0))
+    text, handle = F.col(text_col), F.xxhash64(F.col(id_col), F.col(text_col))  # of both, so that rows without an id don't share one
     has = F.coalesce(text.rlike(LIKELY) & text.rlike(ENTITY), F.lit(False))
     found = docs.filter(has).select(handle.alias("_handle"), F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))).alias("surface"))
     found = found.withColumn("kind", kind_of(F.col("surface")))

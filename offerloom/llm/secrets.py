@@ -124,7 +124,7 @@ def spans(text: Column, rule: SecretRule, number: int) -> Column:
 def scan(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: counts of the base kinds, spans of base and of all kinds by start and kind."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    handle = F.coalesce(F.xxhash64(F.col(id_col)), F.lit(0)) if id_col else F.xxhash64(text)
+    handle = F.xxhash64(F.col(id_col), text)  # of both, so that rows without an id don't share one
     queries = {r.kind: trigram_query(r.regex) for r in rules}
     indexed = {k: q for k, q in queries.items() if q is not None}
     grams = sorted({g for q in indexed.values() for alternative in q for g in alternative})
