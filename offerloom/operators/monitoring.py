@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerloom.sources.scratch import saved
+
 
 def merge_ancestors(edges: DataFrame, depth: int = 20) -> DataFrame:
     """(product_id, ancestor, steps): all products that a product was merged into, over a table (child, parent). Cycles end
-    where they close; each round joins only what the last one found."""
-    found = edges.select(F.col("child").alias("product_id"), F.col("parent").alias("ancestor"), F.lit(1).alias("steps")).filter("product_id <> ancestor").distinct()
-    front = found
+    where they close. Each round joins only what the last one found, and is a table in the shared folder."""
+    step_up = edges.select(F.col("child").alias("ancestor"), F.col("parent").alias("_next"))
+    first = edges.select(F.col("child").alias("product_id"), F.col("parent").alias("ancestor"), F.lit(1).alias("steps"))
+    found = front = saved(first.filter("product_id <> ancestor").distinct(), "ancestors")
     for step in range(2, depth + 1):
-        front = front.join(edges.select(F.col("child").alias("ancestor"), F.col("parent").alias("_next")), "ancestor").filter("_next <> product_id")
-        front = front.select("product_id", F.col("_next").alias("ancestor"), F.lit(step).alias("steps")).distinct().join(found, ["product_id", "ancestor"], "left_anti")
+        up = front.join(step_up, "ancestor").filter("_next <> product_id").select("product_id", F.col("_next").alias("ancestor"), F.lit(step).alias("steps")).distinct()
+        front = saved(up.join(found, ["product_id", "ancestor"], "left_anti"), "ancestors")
         if not front.limit(1).count():
             break
         found = found.unionByName(front)

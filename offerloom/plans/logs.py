@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +9,7 @@ from offerloom.functions import text
 from offerloom.operators import candidates, corpus, decisions, evaluation, models, monitoring
 from offerloom.plans.base import PRODUCTS, query
 from offerloom.sources import catalog
+from offerloom.sources.scratch import shared_path
 from offerloom.streaming import decisions as streaming
 
 _NEAR = """WITH d AS (SELECT q.vec_id AS query_id, v.vec_id AS vector_id, v.label, q.label AS own, list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) ** 2 AS distance
@@ -215,16 +213,11 @@ def model_routing(spark, sf_dir):
     return monitoring.routing(routes, "m_default", spark.createDataFrame([("m_default",)], "model string"), c)
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-stream-")
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
-
-
 @query(f"""WITH {_LOG} SELECT event_id AS offer_id, CASE outcome WHEN 'matched' THEN 'matched' WHEN 'new' THEN 'new-product' ELSE 'unknown' END AS topic FROM log WHERE user_id % 10 <> 0""")
 def stream_decisions(spark, sf_dir):
     """Events as a stream of offers: those that the catalogue has are decided batch by batch and written to topics."""
     source = catalog.table(spark, sf_dir, "events")
-    out = _scratch(spark, "topics")
+    out = shared_path(spark, "topics")
     known = source.filter("user_id % 10 <> 0").select(F.col("event_id").alias("offer_id"))
 
     def decide(batch: DataFrame) -> DataFrame:
@@ -233,13 +226,13 @@ def stream_decisions(spark, sf_dir):
         return found.select("offer_id", decisions.topic(outcome, F.lit("")).alias("topic"))
 
     stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "*.parquet").parquet(_stream_folder(spark, sf_dir))
-    streaming.run_batches(stream, decide, out, _scratch(spark, "progress")).awaitTermination()
+    streaming.run_batches(stream, decide, out, shared_path(spark, "progress")).awaitTermination()
     return spark.read.option("basePath", out).parquet(f"{out}/batch=*").select("offer_id", "topic")
 
 
 def _stream_folder(spark: SparkSession, sf_dir: str) -> str:
     """The event table dealt over some files, as a stream's source folder."""
-    folder = _scratch(spark, "source")
+    folder = shared_path(spark, "source")
     catalog.table(spark, sf_dir, "events").repartition(4, "event_id").write.parquet(folder)
     return folder
 
