@@ -203,15 +203,16 @@ def join_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
 
     # buckets of equal bands, each linked to its smallest key
     width = 4 * BAND_VALUES
-    member = keys.select("key", F.posexplode(F.array(*(F.xxhash64(F.col("signature").substr(k * width + 1, width)) for k in range(BANDS)))).alias("band", "hash"))
-    member = member.select("key", "band", F.xxhash64("band", "hash").alias("bucket"))
-    hubs = member.groupBy("bucket", "band").agg(F.min("key").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("bucket", "hub")
-    edges = member.join(hubs, "bucket").filter("key != hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
+    # a handle stands for a key here, as rows are many: two keys with one handle only make a candidate group larger
+    member = keys.select(F.xxhash64("key").alias("handle"), F.posexplode(F.array(*(F.xxhash64(F.col("signature").substr(k * width + 1, width)) for k in range(BANDS)))).alias("band", "hash"))
+    member = member.select("handle", "band", F.xxhash64("band", "hash").alias("bucket"))
+    hubs = member.groupBy("bucket", "band").agg(F.min("handle").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("bucket", "hub")
+    edges = member.select("handle", "bucket").join(hubs, "bucket").filter("handle != hub").select(F.col("hub").alias("a"), F.col("handle").alias("b")).distinct()
     groups = components(edges, "candidates")
 
     # blocks of a group meet in tasks
-    sizes = groups.groupBy("root", F.length("root").alias("_")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).select("root", "blocks")
-    wanted = groups.join(sizes, "root").withColumnRenamed("node", "key").join(keys.select("key", F.col("id").alias("rep"), "n_copies"), "key")
+    sizes = groups.groupBy("root", F.xxhash64("root").alias("_")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).select("root", "blocks")
+    wanted = groups.join(sizes, "root").join(keys.select(F.xxhash64("key").alias("node"), "key", F.col("id").alias("rep")), "node")
     wanted = saved(wanted.select("key", "rep", "root", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")), "wanted")
     known = wanted.filter("rep is not null")
     texts = rows.join(known.withColumnRenamed("rep", "id"), "id").select("text", "key", "root", "blocks", "block")
@@ -232,7 +233,7 @@ def join_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
             yield pa.RecordBatch.from_arrays([texts, pa.array([set_key(shingles(t)) for t in texts.to_pylist()], pa.string())], ["text", "key"])
 
     nameless = nameless.mapInArrow(with_key, "text string, key string").join(wanted.filter("rep is null"), "key").select("text", "key", "root", "blocks", "block")
-    members = texts.union(nameless).mapInArrow(with_shingles, "key string, root string, blocks int, block int, shingles binary")
+    members = texts.union(nameless).mapInArrow(with_shingles, "key string, root long, blocks int, block int, shingles binary")
     tasks = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tasks = tasks.select("key", "shingles", "block", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
