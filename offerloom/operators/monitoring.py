@@ -8,19 +8,21 @@ from pyspark.sql import functions as F
 from offerloom.sources.scratch import saved
 
 
-def merge_ancestors(edges: DataFrame, depth: int = 20) -> DataFrame:
+def merge_ancestors(edges: DataFrame) -> DataFrame:
     """(product_id, ancestor, steps): all products that a product was merged into, over a table (child, parent). Cycles end
-    where they close. Each round joins only what the last one found, and is a table in the shared folder."""
-    step_up = edges.select(F.col("child").alias("ancestor"), F.col("parent").alias("_next"))
+    where they close. Round k puts paths of exactly 2^k steps behind all shorter ones, so a chain of n steps takes log2(n)
+    rounds, and the last one finds nothing. Each round is a table in the shared folder."""
     first = edges.select(F.col("child").alias("product_id"), F.col("parent").alias("ancestor"), F.lit(1).alias("steps"))
-    found = front = saved(first.filter("product_id <> ancestor").distinct(), "ancestors")
-    for step in range(2, depth + 1):
-        up = front.join(step_up, "ancestor").filter("_next <> product_id").select("product_id", F.col("_next").alias("ancestor"), F.lit(step).alias("steps")).distinct()
-        front = saved(up.join(found, ["product_id", "ancestor"], "left_anti"), "ancestors")
-        if not front.limit(1).count():
-            break
-        found = found.unionByName(front)
-    return found
+    found = longest = saved(first.filter("product_id <> ancestor").distinct(), "ancestors")
+    length = 1
+    while True:
+        jump = longest.filter(F.col("steps") == length).select(F.col("product_id").alias("ancestor"), F.col("ancestor").alias("_next"))
+        up = found.join(jump, "ancestor").filter("_next <> product_id").select("product_id", F.col("_next").alias("ancestor"), (F.col("steps") + length).alias("steps"))
+        up = up.groupBy("product_id", "ancestor").agg(F.min("steps").alias("steps"))
+        longest = saved(up.join(found, ["product_id", "ancestor"], "left_anti"), "ancestors")
+        if longest.isEmpty():
+            return found
+        found, length = found.unionByName(longest), 2 * length
 
 
 def evaluated_matches(log: DataFrame, current: DataFrame, ancestors: DataFrame) -> DataFrame:

@@ -137,8 +137,7 @@ SELECT coalesce(model, 'total') AS model, count(*) AS n, count(*) FILTER (paired
 def matched_metrics(spark, sf_dir):
     log = _log(spark, sf_dir).filter("outcome = 'matched'").select(F.col("event_id").alias("offer_id"), "model", F.col("user_id").alias("final_product"), F.lit("c").alias("category"), F.lit("name").alias("by"))
     now = log.select("offer_id", F.when(F.col("offer_id") % 3 == 0, F.col("final_product")).when(F.col("offer_id") % 3 == 1, F.floor(F.col("final_product") / 2)).alias("product_id"), "category").filter("product_id is not null")
-    edges = _edges(spark, sf_dir).select(F.col("child").alias("product_id"), F.col("parent").alias("ancestor"))
-    rows = monitoring.matched_metrics(monitoring.evaluated_matches(log, now, edges))
+    rows = monitoring.matched_metrics(monitoring.evaluated_matches(log, now, monitoring.merge_ancestors(_edges(spark, sf_dir))))
     return rows.select("model", "n", "n_paired", "n_correct", F.round("unpaired_share", 6).alias("unpaired_share"), F.round("correct_share", 6).alias("correct_share"))
 
 

@@ -96,6 +96,33 @@ def test_gate_and_cycles(spark):
     assert {(r.product_id, r.ancestor) for r in monitoring.merge_ancestors(edges).collect()} >= {(1, 2), (1, 3), (4, 3)}
 
 
+def test_ancestors_of_any_depth(spark):
+    chain = {(i, i + 1) for i in range(45)}
+    ways = {(0, 10), (10, 30), (50, 51), (51, 52), (52, 50), (60, 60), (7, 50)}
+    edges = spark.createDataFrame(sorted(chain | ways), "child long, parent long")
+    want = {}
+    for start in range(61):
+        front, steps = {start}, 0
+        while front:
+            steps += 1
+            front = {b for a, b in chain | ways if a in front} - {start} - {a for s, a in want if s == start}
+            want |= {(start, a): steps for a in front}
+    rows = monitoring.merge_ancestors(edges).collect()
+    assert {(r.product_id, r.ancestor): r.steps for r in rows} == want and len(rows) == len(want)
+
+
+def test_matched_metrics_use_all_ancestors(spark, monkeypatch):
+    from offerloom.plans import logs
+
+    seen, judge = [], monitoring.evaluated_matches
+    monkeypatch.setattr(monitoring, "evaluated_matches", lambda log, now, up: seen.append(up) or judge(log, now, up))
+    logs.matched_metrics(spark, "/root/testdata/sf0.001")
+    up = {(r.product_id, r.ancestor) for r in seen[0].select("product_id", "ancestor").collect()}
+    assert {(16, 8), (16, 4), (16, 1)} <= up and (11, 2) not in up  # 5 has no parent
+    log = spark.createDataFrame([(1, "m", 16, "c", "name")], "offer_id long, model string, final_product long, category string, by string")
+    assert judge(log, spark.createDataFrame([(1, 4, "c")], "offer_id long, product_id long, category string"), seen[0]).first().correct
+
+
 def test_nearest_against_all_pairs(spark):
     import random
 
