@@ -110,9 +110,11 @@ def attribute_agreement(pairs: DataFrame, offer_attributes: DataFrame, product_a
 
 
 def dictionary_attributes(titles: DataFrame, dictionary: DataFrame, key: str, words: str) -> DataFrame:
-    """(key, category, name, groups): dictionary entries found among the 1-grams to n-grams of titles (key, category, words)."""
+    """(key, category, name, groups): dictionary entries found among the n-grams of titles (key, category, words), up to the
+    longest value of the title's category."""
     from offerloom.functions.text import grams
+    from offerloom.operators.corpus import longest_values
 
-    most = 3
-    found = titles.select(key, "category", F.explode(grams(F.col(words), most)).alias("value"))
+    rows = titles.select(key, "category", words).join(longest_values(dictionary), "category")
+    found = rows.select(key, "category", F.explode(grams(F.col(words), F.col("most_words"))).alias("value"))
     return found.join(dictionary.select("category", "name", "group_id", "value"), ["category", "value"]).groupBy(key, "category", "name").agg(F.collect_set("group_id").alias("groups"))

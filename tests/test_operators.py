@@ -123,6 +123,22 @@ def test_matched_metrics_use_all_ancestors(spark, monkeypatch):
     assert judge(log, spark.createDataFrame([(1, 4, "c")], "offer_id long, product_id long, category string"), seen[0]).first().correct
 
 
+def test_dictionary_values_of_any_length(spark):
+    from pyspark.sql import Row
+
+    entries = [("a", "model", "one two three four five", "g1"), ("a", "colour", "two", "g2"), ("b", "colour", "two", "g3"), ("b", "model", "one two", "g4"), ("a", "size", "three four five six", "g5")]
+    dictionary = spark.createDataFrame(entries, "category string, name string, value string, group_id string")
+    titles = {1: ("a", "zero one two three four five"), 2: ("b", "zero one two three four five"), 3: ("a", "three four five six"), 4: ("a", ""), 5: ("c", "two"), 6: ("a", "one three two four five")}
+    rows = spark.createDataFrame([Row(id=k, category=c, words=t.split()) for k, (c, t) in titles.items()], "id int, category string, words array<string>")
+    want = {}
+    for k, (c, t) in titles.items():
+        for category, name, value, group in entries:
+            if category == c and f" {value} " in f" {t} ":
+                want.setdefault((k, c, name), set()).add(group)
+    assert {(r.id, r.category, r["name"]): set(r.groups) for r in features.dictionary_attributes(rows, dictionary, "id", "words").collect()} == want
+    assert (1, "a", "model") in want and (3, "a", "size") in want
+
+
 def test_nearest_against_all_pairs(spark):
     import random
 
