@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.functions import text
 from offerloom.operators import candidates, corpus, decisions, evaluation, models, monitoring
-from offerloom.plans.base import PRODUCTS, query
+from offerloom.plans.base import ORACLES, PRODUCTS, query
 from offerloom.sources import catalog
 from offerloom.sources.scratch import shared_path
 from offerloom.streaming import decisions as streaming
 
+def _ascii_words() -> Column:
+    return F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")
+
+
+def _any_script(sql: str) -> str:
+    """The SQL of a query over a-z words, over words of any script."""
+    return sql.replace("[^a-z]+", text.BETWEEN_WORDS)
+
+
 _NEAR = """WITH d AS (SELECT q.vec_id AS query_id, v.vec_id AS vector_id, v.label, q.label AS own, list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) ** 2 AS distance
   FROM embeddings q, embeddings v WHERE q.vec_id % 50 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vector_id) AS place FROM d), near AS (SELECT * FROM r WHERE place <= 10)"""
 
@@ -39,7 +48,16 @@ t AS (SELECT word, doc_id, length, count(*) AS tf FROM p WHERE word IN (SELECT w
 x AS (SELECT item_id, doc_id, sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / mean))) AS relevance FROM t JOIN f USING (word) JOIN w USING (word), s GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(relevance, 9) DESC, doc_id) AS place FROM x) SELECT item_id AS query_id, doc_id AS text_id, round(relevance, 4) AS relevance, place FROM r WHERE place <= 5""")
 def token_candidates(spark, sf_dir):
-    words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")
+    """Over a-z words, as its SQL says; token_candidates_any_script takes all words."""
+    return _token_candidates(spark, sf_dir, _ascii_words())
+
+
+@query(_any_script(ORACLES["token_candidates"]))
+def token_candidates_any_script(spark, sf_dir):
+    return _token_candidates(spark, sf_dir, text.any_script_words(F.col("text")))
+
+
+def _token_candidates(spark: SparkSession, sf_dir: str, words: Column) -> DataFrame:
     q = catalog.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), words.alias("words"))
     d = catalog.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), words.alias("words"))
     rows = candidates.relevant(q, d, 5)
@@ -88,13 +106,31 @@ _WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w
 b AS (SELECT p[1] AS first, p[2] AS second, count(*) AS n FROM g GROUP BY 1, 2 HAVING count(*) >= 10), x AS (SELECT first, second, b.n, log2(b.n * (SELECT sum(n) FROM c)::DOUBLE / (u.n * v.n::DOUBLE)) AS pmi FROM b JOIN c u ON u.word = first JOIN c v ON v.word = second)
 SELECT first, second, n, round(pmi, 5) AS pmi FROM x WHERE pmi > 4""")
 def collocations_pmi(spark, sf_dir):
-    words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")
+    """Over a-z words, as its SQL says; collocations_any_script takes all words."""
+    return _collocations(spark, sf_dir, _ascii_words())
+
+
+@query(_any_script(ORACLES["collocations_pmi"]))
+def collocations_any_script(spark, sf_dir):
+    return _collocations(spark, sf_dir, text.any_script_words(F.col("text")))
+
+
+def _collocations(spark: SparkSession, sf_dir: str, words: Column) -> DataFrame:
     return corpus.collocations(catalog.table(spark, sf_dir, "documents"), words, 10, 4.0).withColumn("pmi", F.round("pmi", 5))
 
 
 @query(f"""WITH t AS (SELECT lang, unnest({_WORDS}) AS word FROM documents), c AS (SELECT lang AS category, word, count(*) AS n FROM t GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, word) AS place FROM c) SELECT category, word, n, place FROM r WHERE place <= 25""")
 def characteristic_words(spark, sf_dir):
-    words = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")
+    """Over a-z words, as its SQL says; characteristic_words_any_script takes all words."""
+    return _characteristic_words(spark, sf_dir, _ascii_words())
+
+
+@query(_any_script(ORACLES["characteristic_words"]))
+def characteristic_words_any_script(spark, sf_dir):
+    return _characteristic_words(spark, sf_dir, text.any_script_words(F.col("text")))
+
+
+def _characteristic_words(spark: SparkSession, sf_dir: str, words: Column) -> DataFrame:
     rows = catalog.table(spark, sf_dir, "documents").select(F.col("lang").alias("category"), words.alias("words"))
     return corpus.characteristic_words(rows, 25).withColumn("place", F.col("place").cast("long"))
 
@@ -261,7 +297,7 @@ def document_clusters(spark, sf_dir):
 
 @query()
 def word_vectors(spark, sf_dir):
-    rows = catalog.table(spark, sf_dir, "documents").select("doc_id", F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "").alias("words"))
+    rows = catalog.table(spark, sf_dir, "documents").select("doc_id", text.any_script_words(F.col("text")).alias("words"))
     model = models.word_vectors(rows, "words", size=16, least=20)
     return model.getVectors().select("word")
 

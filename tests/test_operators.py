@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from offerloom.functions import prices
+from offerloom.functions import prices, text
 from offerloom.operators import candidates, dataset, decisions, evaluation, features, monitoring
 from offerloom.sources import catalog, sinks
 from offerloom.streaming import decisions as streaming
@@ -139,6 +139,19 @@ def test_dictionary_values_of_any_length(spark):
     assert (1, "a", "model") in want and (3, "a", "size") in want
 
 
+def test_words_of_any_script(spark, tmp_path):
+    from offerloom.plans import logs
+
+    texts = ["Größe 42 für die Straße, größe!", "déjà vu à l'été", "Привет, мир", "हिन्दी भाषा", "", None]
+    want = [["größe", "42", "für", "die", "straße", "größe"], ["déjà", "vu", "à", "l", "été"], ["привет", "мир"], ["हिन्दी", "भाषा"], [], []]
+    docs = spark.createDataFrame([(i, t, f"l{i}") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert [r.w for r in docs.orderBy("doc_id").select(text.any_script_words(F.col("text")).alias("w")).collect()] == want
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs.filter("doc_id in (0, 2)").selectExpr("doc_id as item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {(r.category, r.word, r.n) for r in logs.characteristic_words_any_script(spark, str(tmp_path)).collect()} == {(f"l{i}", w, ws.count(w)) for i, ws in enumerate(want) for w in ws}
+    assert {(r.query_id, r.text_id) for r in logs.token_candidates_any_script(spark, str(tmp_path)).collect()} == {(0, 0), (2, 2)}
+
+
 def test_nearest_against_all_pairs(spark):
     import random
 
