@@ -68,6 +68,15 @@ def sibling_offers(spark, sf_dir):
     return dataset.sibling_offers(d, o).select("decision_offer", "final_product", "product_id", "offer_id")
 
 
+@query(f"""WITH {OFFERS}, d AS (SELECT offer_id AS decision_offer, product_id + (CASE WHEN offer_id[1] < '4' THEN 1 ELSE 0 END) AS final_product, product_id FROM offers)
+SELECT decision_offer, final_product, d.product_id, o.offer_id FROM d JOIN offers o ON o.product_id = d.product_id AND o.offer_id <> decision_offer WHERE final_product <> d.product_id""")
+def every_sibling_offer(spark, sf_dir):
+    """Like sibling_offers, whose SQL takes one offer in 16 as a decision, for every offer."""
+    o = catalog.offers(spark, sf_dir)
+    d = o.select("offer_id", (F.col("product_id") + (F.substring("offer_id", 1, 1) < "4").cast("int")).alias("final_product"))
+    return dataset.sibling_offers(d, o).select("decision_offer", "final_product", "product_id", "offer_id")
+
+
 @query(f"""WITH {OFFERS}, e AS (SELECT offer_id FROM offers WHERE offer_id[3] < '6') SELECT offer_id FROM offers WHERE shop % 3 IN (1, 2) AND offer_id NOT IN (SELECT offer_id FROM e)""")
 def unverified_machine_pairs(spark, sf_dir):
     o = catalog.offers(spark, sf_dir).withColumn("relation", (F.col("shop") % 3).cast("int"))
@@ -122,6 +131,13 @@ def rows_for_ids(spark, sf_dir):
     return catalog.rows_for_ids(catalog.table(spark, sf_dir, "lineitem"), ids, "l_orderkey").select("l_orderkey", "l_linenumber", "l_quantity")
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""")
+def rows_for_orders(spark, sf_dir):
+    """Like rows_for_ids, whose SQL takes one order in 50, for all orders."""
+    ids = catalog.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    return catalog.rows_for_ids(catalog.table(spark, sf_dir, "lineitem"), ids, "l_orderkey").select("l_orderkey", "l_linenumber", "l_quantity")
+
+
 @query("""SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey IS NOT NULL""")
 def mostly_missing(spark, sf_dir):
     """A column that is nearly always null leaves."""

@@ -152,6 +152,20 @@ def test_words_of_any_script(spark, tmp_path):
     assert {(r.query_id, r.text_id) for r in logs.token_candidates_any_script(spark, str(tmp_path)).collect()} == {(0, 0), (2, 2)}
 
 
+def test_every_offer_and_order_counts(spark):
+    from offerloom.plans import more
+
+    sf = "/root/testdata/sf0.001"
+    o = catalog.offers(spark, sf).select("offer_id", "product_id").collect()
+    sizes = {}
+    for r in o:
+        sizes[r.product_id] = sizes.get(r.product_id, 0) + 1
+    want = {r.offer_id: sizes[r.product_id] - 1 for r in o if r.offer_id[0] < "4" and sizes[r.product_id] > 1}
+    got = more.every_sibling_offer(spark, sf).groupBy("decision_offer").count()
+    assert {r.decision_offer: r["count"] for r in got.collect()} == want and {k[1] for k in want} == set("0123456789abcdef")
+    assert more.rows_for_orders(spark, sf).filter("l_orderkey % 50 <> 0").count() > 0
+
+
 def test_nearest_against_all_pairs(spark):
     import random
 
