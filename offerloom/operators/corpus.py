@@ -36,6 +36,21 @@ def collocations(titles: DataFrame, words: Column, least_count: int = 5, score_a
     return out.select("first", "second", F.col("n_xy").alias("n"), pmi.alias("pmi")).filter(F.col("pmi") > score_above)
 
 
+def phrased(titles: DataFrame, phrases: DataFrame) -> DataFrame:
+    """titles (column title) with `phrased`: the phrases (first, second) inside a title joined by underscores, in the title's
+    order. A title meets only the phrases that it holds."""
+    from offerloom.functions.text import with_phrases
+
+    words = F.split("title", " ")
+    at = F.when(F.size(words) > 1, F.sequence(F.lit(1), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
+    pairs = titles.select("title").distinct().select("title", F.explode(at).alias("_at"), words.alias("_w"))
+    pairs = pairs.select("title", F.get("_w", F.col("_at") - 1).alias("first"), F.get("_w", F.col("_at")).alias("second")).distinct()
+    hits = pairs.join(phrases.select("first", "second"), ["first", "second"], "left_semi")
+    hits = hits.groupBy("title").agg(F.collect_set(F.concat_ws(" ", "first", "second")).alias("_phrases"))
+    rows = titles.join(hits, "title", "left")
+    return rows.withColumn("phrased", with_phrases(F.col("title"), F.coalesce("_phrases", F.array().cast("array<string>")))).drop("_phrases")
+
+
 def attribute_dictionary(attributes: DataFrame, preceding: DataFrame | None = None) -> DataFrame:
     """(category, name, values): sorted distinct values, an earlier dictionary (category, name, value) merged in."""
     rows = attributes.select("category", "name", "value").filter(F.coalesce(F.col("value"), F.lit("")) != "")

@@ -35,13 +35,25 @@ def detail_numbers(spark, sf_dir):
 SELECT title, CASE WHEN len(string_split(title, ' ')) > 1 AND list_contains((SELECT list(phrase) FROM p), string_split(title, ' ')[1] || ' ' || string_split(title, ' ')[2]) THEN replace(title, string_split(title, ' ')[1] || ' ' || string_split(title, ' ')[2], string_split(title, ' ')[1] || '_' || string_split(title, ' ')[2]) ELSE title END AS phrased
 FROM t WHERE len(string_split(title, ' ')) = 3""")
 def phrase_corpus(spark, sf_dir):
-    """Titles with the phrases of short names joined. The phrase list has one row per two first words of a name."""
+    """Titles of three words with the two first words of a short name joined, as its SQL says; collocation_corpus rewrites all
+    titles with the collocations found."""
     p = catalog.products(spark, sf_dir)
     words = F.split(F.lower("short_name"), " ")
-    phrases = [r.p for r in p.filter(F.size(words) > 1).select(F.array_join(F.slice(words, 1, 2), " ").alias("p")).distinct().orderBy("p").collect()]
+    phrases = p.filter(F.size(words) > 1).select(F.get(words, F.lit(0)).alias("first"), F.get(words, F.lit(1)).alias("second")).distinct()
     titles = p.select(F.lower(F.concat_ws(" ", "short_name", "brand")).alias("title")).distinct().filter(F.size(F.split("title", " ")) == 3)
-    known = F.array(*map(F.lit, phrases)) if phrases else F.array().cast("array<string>")
-    return titles.select("title", text.with_phrases(F.col("title"), known).alias("phrased"))
+    return corpus.phrased(titles, phrases)
+
+
+@query(f"""WITH {OFFERS}, t AS (SELECT lower(name) AS title FROM products UNION SELECT lower(name) FROM offers), w AS (SELECT title, string_split(title, ' ') AS w FROM t), s AS (SELECT unnest(w) AS word FROM w), c AS (SELECT word, count(*) AS n FROM s GROUP BY 1),
+i AS (SELECT title, w, unnest(range(1, len(w))) AS k FROM w), g AS (SELECT title, k, w[k] AS first, w[k + 1] AS second FROM i), b AS (SELECT first, second, count(*) AS n FROM g GROUP BY 1, 2 HAVING count(*) >= 5),
+x AS (SELECT first, second FROM b JOIN c u ON u.word = first JOIN c v ON v.word = second WHERE log2(b.n * (SELECT sum(n) FROM c)::DOUBLE / (u.n * v.n::DOUBLE)) > 1),
+h AS (SELECT title, list(first || ' ' || second ORDER BY k) AS found FROM g JOIN x USING (first, second) GROUP BY 1)
+SELECT title, CASE WHEN found IS NULL THEN title ELSE list_reduce(list_prepend(title, found), lambda t, p: replace(t, p, replace(p, ' ', '_'))) END AS phrased FROM t LEFT JOIN h USING (title)""")
+def collocation_corpus(spark, sf_dir):
+    """All titles of products and offers, with the collocations found in them joined."""
+    names = [(df.select(F.lower("name").alias("name")), ["name"]) for df in (catalog.products(spark, sf_dir), catalog.offers(spark, sf_dir))]
+    titles = corpus.distinct_titles(names)
+    return corpus.phrased(titles, corpus.collocations(titles, F.split("title", " "), 5, 1.0))
 
 
 @query(f"""WITH {PRODUCTS}, d AS (SELECT DISTINCT category, 'brand' AS name, brand AS value, left(brand, 3) AS group_id FROM products), w AS (SELECT product_id, category, unnest(string_split(name, ' ')) AS value FROM products)

@@ -166,6 +166,32 @@ def test_every_offer_and_order_counts(spark):
     assert more.rows_for_orders(spark, sf).filter("l_orderkey % 50 <> 0").count() > 0
 
 
+def test_phrased_titles_of_any_length(spark):
+    from offerloom.operators import corpus
+
+    titles = ["red wine", "old red wine glass", "red wine glass", "wine", "", "glass of red wine and red wine"]
+    rows = spark.createDataFrame([(t,) for t in titles], "title string")
+    phrases = spark.createDataFrame([("red", "wine", 2), ("wine", "glass", 3), *((f"a{i}", "b", 1) for i in range(500))], "first string, second string, n long")
+    got = {r.title: r.phrased for r in corpus.phrased(rows, phrases).collect()}
+    assert got == dict(zip(titles, ["red_wine", "old red_wine_glass", "red_wine_glass", "wine", "", "glass of red_wine and red_wine"]))
+
+
+def test_collocation_corpus_rewrites_titles_of_all_lengths(spark):
+    from offerloom.plans import more
+
+    rows = more.collocation_corpus(spark, "/root/testdata/sf0.001")
+    hits = rows.filter("title <> phrased").select(F.size(F.split("title", " ")).alias("n")).distinct().collect()
+    assert {r.n for r in hits} - {3}
+    assert rows.filter("replace(phrased, '_', ' ') <> title").count() == 0
+
+
+def test_phrases_stay_off_the_driver(spark, monkeypatch):
+    from offerloom.plans import more
+
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda self: pytest.fail("collected"))
+    more.phrase_corpus(spark, "/root/testdata/sf0.001")
+
+
 def test_nearest_against_all_pairs(spark):
     import random
 
