@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.functions import text
-from offerloom.operators import candidates, corpus, decisions, evaluation, models, monitoring
+from offerloom.operators import candidates, corpus, decisions, evaluation, models, monitoring, stems
 from offerloom.plans.base import ORACLES, PRODUCTS, query
 from offerloom.sources import catalog
 from offerloom.sources.scratch import shared_path
@@ -297,9 +298,10 @@ def document_clusters(spark, sf_dir):
 
 @query()
 def word_vectors(spark, sf_dir):
+    """Per document the mean vector of its words; words without a vector count as zero."""
     rows = catalog.table(spark, sf_dir, "documents").select("doc_id", text.any_script_words(F.col("text")).alias("words"))
     model = models.word_vectors(rows, "words", size=16, least=20)
-    return model.getVectors().select("word")
+    return model.transform(rows).select("doc_id", vector_to_array("vector").alias("vector"))
 
 
 
@@ -307,12 +309,18 @@ def word_vectors(spark, sf_dir):
 a AS (SELECT w, CASE WHEN length(w) >= 5 AND lower(right(w, 2)) IN (SELECT x FROM s) THEN left(lower(w), length(w) - 2) WHEN length(w) >= 4 AND lower(right(w, 1)) IN ('a', 'e', 'i', 'o', 'u', 'y') THEN left(lower(w), length(w) - 1) ELSE lower(w) END AS stem FROM t)
 SELECT lower(w) AS token, stem FROM a""")
 def token_stems(spark, sf_dir):
-    from offerloom.operators import stems
-
+    """Short suffixes on names of nations, as its SQL says; document_stems takes all suffixes and all words."""
     short = [s for s in stems.SUFFIXES if len(s[0]) < 3]
     return stems.stemmed(catalog.table(spark, sf_dir, "nation").select(F.lower("n_name").alias("token")).distinct(), "token", short)
 
 
+@query(f"""WITH s(x, least) AS (VALUES {', '.join(map(str, stems.SUFFIXES))}), t AS (SELECT DISTINCT unnest({_any_script(_WORDS)}) AS token FROM documents),
+b AS (SELECT token, max(length(x)) AS n FROM t JOIN s ON right(token, length(x)) = x AND length(token) >= least GROUP BY 1) SELECT token, left(token, length(token) - coalesce(n, 0)) AS stem FROM t LEFT JOIN b USING (token)""")
+def document_stems(spark, sf_dir):
+    tokens = catalog.table(spark, sf_dir, "documents").select(F.explode(text.any_script_words(F.col("text"))).alias("token")).distinct()
+    return stems.stemmed(tokens, "token")
+
+
 @query(f"""WITH {_LOG}, m AS (SELECT model, count(*)::DOUBLE AS n, round(avg(value), 4) AS mean FROM log GROUP BY 1) SELECT model AS source, 'n' AS statistic, n AS value FROM m UNION ALL SELECT model, 'mean', mean FROM m""")
 def long_metrics(spark, sf_dir):
     from offerloom.sources import sinks

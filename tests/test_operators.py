@@ -192,6 +192,31 @@ def test_phrases_stay_off_the_driver(spark, monkeypatch):
     more.phrase_corpus(spark, "/root/testdata/sf0.001")
 
 
+def test_document_vectors_are_means(spark, tmp_path, monkeypatch):
+    from offerloom.operators import models
+    from offerloom.plans import logs
+
+    texts = {1: "größe rot größe", 2: "rot selten", 3: "", 4: None} | {k: "größe rot" for k in range(5, 30)}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    kept, fit = [], models.word_vectors
+    monkeypatch.setattr(models, "word_vectors", lambda *a, **b: kept.append(fit(*a, **b)) or kept[0])
+    got = {r.doc_id: r.vector for r in logs.word_vectors(spark, str(tmp_path)).collect()}
+    v = {r.word: list(r.vector) for r in kept[0].getVectors().collect()}
+    assert set(v) == {"größe", "rot"} and set(got) == set(texts)
+    for k, t in texts.items():
+        words = (t or "").split()
+        want = [sum(v[w][i] for w in words if w in v) / max(1, len(words)) for i in range(16)]
+        assert got[k] == pytest.approx(want, abs=1e-6)
+
+
+def test_document_stems_take_the_longest_suffix(spark, tmp_path):
+    from offerloom.plans import logs
+
+    spark.createDataFrame([(1, "Kuřatech městech, novými NOVÝCH mestech hradech"), (2, "atech ech žena mužovi")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.token: r.stem for r in logs.document_stems(spark, str(tmp_path)).collect()}
+    assert got == {"kuřatech": "kuř", "městech": "měst", "novými": "nový", "nových": "nových", "mestech": "mest", "hradech": "hrad", "atech": "atech", "ech": "ech", "žena": "žen", "mužovi": "muž"}
+
+
 def test_nearest_against_all_pairs(spark):
     import random
 
