@@ -186,6 +186,11 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 def join_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """One row per row of docs: id, class_id (smallest id of its class), n_links (other texts linked with it, copies
     counted once), n_copies (rows with its set of shingles, itself included) and set_key (equal for copies)."""
+    return _classes(docs, id_col, text_col, threshold).drop("root")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """join_near with `root`, equal for the keys of a class."""
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
@@ -260,7 +265,7 @@ def join_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     of_key = keys.select("key", "id", "n_copies").join(classes.withColumnRenamed("node", "key"), "key", "left").join(links, "key", "left")
     of_key = saved(of_key.select("key", "n_copies", "id", F.coalesce("root", "key").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "of-key")
     class_ids = of_key.groupBy("root", F.length("root").alias("_")).agg(F.min("id").alias("class_id")).select("root", "class_id")
-    of_key = saved(of_key.join(class_ids, "root").select("key", "class_id", "n_links", "n_copies"), "classes")
+    of_key = saved(of_key.join(class_ids, "root").select("key", "class_id", "root", "n_links", "n_copies"), "classes")
     out = sketches.select("id", "key").join(of_key, "key", "left")
     return out.select(
         F.col("id").alias(id_col),
@@ -268,14 +273,17 @@ def join_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.when(F.col("key") == "", F.lit(1)).otherwise(F.col("n_copies")).cast("long").alias("n_copies"),
         F.col("key").alias("set_key"),
+        "root",
     )
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """docs without the rows that have a linked text or copy with a smaller id; repeated rows of an id stay once. Rows
-    with a null id stay only where no row of their class has an id."""
-    joined = join_near(docs, id_col, text_col, threshold)
-    gone = joined.filter(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
+    """docs without the rows that have a linked text or copy with a smaller id; repeated rows of an id stay once, and its
+    other texts are judged by themselves. Rows with a null id stay only where no row of their class has an id."""
+    joined = _classes(docs, id_col, text_col, threshold)
+    ids = joined.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min("set_key").alias("_low"), F.max("set_key").alias("_high"), F.count_if(F.col("set_key") == "").alias("_empty"))
+    torn = saved(ids.filter("_low <> _high or _empty > 1").select(id_col), "torn")  # ids of several texts
+    gone = joined.filter(F.col(id_col) != F.col("class_id")).select(id_col).union(torn).distinct()
     named = docs.filter(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti").dropDuplicates([id_col])
     nameless = docs.filter(F.col(id_col).isNull()).dropDuplicates([text_col])
     alone = joined.filter(F.col(id_col).isNull() & F.col("class_id").isNull()).select("set_key").distinct()
@@ -288,4 +296,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     schema = T.StructType([*docs.schema.fields, T.StructField("_set_key", T.StringType())])
     nameless = nameless.mapInArrow(with_key, schema).join(alone.withColumnRenamed("set_key", "_set_key"), "_set_key", "left_semi").drop("_set_key")
-    return named.select(docs.columns).unionByName(nameless.select(docs.columns))
+    out = named.select(docs.columns).unionByName(nameless.select(docs.columns))
+    if torn.isEmpty():
+        return out
+
+    # texts of such an id: one key of each class that the id stands for, and every text without shingles
+    first = joined.join(torn, id_col, "left_semi").filter(F.col(id_col) == F.col("class_id"))
+    lead = first.filter("set_key <> ''").groupBy(id_col, "root").agg(F.min("set_key").alias("_set_key")).select(id_col, "_set_key")
+    kept = lead.union(first.filter("set_key = ''").select(id_col, "set_key").distinct())
+    texts = docs.join(torn, id_col, "left_semi").select(docs.columns).mapInArrow(with_key, schema).join(kept, [id_col, "_set_key"], "left_semi")
+    texts = texts.withColumn("_only", F.when(F.col("_set_key") == "", F.col(text_col))).dropDuplicates([id_col, "_set_key", "_only"])
+    return out.unionByName(texts.select(docs.columns))

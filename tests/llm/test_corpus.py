@@ -81,6 +81,16 @@ def test_pruning_keeps_similar_pairs():
     assert all(a <= b for a, b in zip(needed, needed[1:]))
 
 
+def test_texts_of_a_repeated_id_are_judged_by_themselves(spark):
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    near = words(1).rsplit(" ", 1)[0] + " other"
+    rows = [(1, words(1)), (5, near), (5, words(2)), (5, words(3)), (5, words(3)), (6, words(4)), (6, words(4).rsplit(" ", 1)[0] + " end"), (7, words(2)), (8, ""), (8, "!"), (9, words(5))]
+    got = sorted((r.doc_id, r.text) for r in nearjoin.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    six = [t for i, t in got if i == 6]
+    assert len(six) == 1 and (6, six[0]) in rows
+    assert [x for x in got if x[0] != 6] == sorted([(1, words(1)), (5, words(2)), (5, words(3)), (8, ""), (8, "!"), (9, words(5))])
+
+
 def test_one_of_each(spark, edge, empty):
     df = spark.createDataFrame([(i, t, "x") for i, t in near_rows()], "doc_id long, text string, _set_key_2 string")
     got = nearjoin.one_of_each(df)
