@@ -1,4 +1,4 @@
-"""Tables between the rounds of an iteration, in the folder that all executors share."""
+"""Tables between the steps of a job, in the folder that all executors share."""
 
 from __future__ import annotations
 
@@ -8,14 +8,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Only a local session without it (tests) gets a temporary folder; on a cluster, executors would not
+    see one, so there it has to be set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="spark-shared-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in spark.checkpoint.dir; only where that is unset (tests) in a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-")
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Written and read again: the plan doesn't grow from round to round and survives lost executors."""
-    path = shared_path(df.sparkSession, name)
+    """Written and read again: cuts the plan, survives lost executors, lets readers prune columns."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
