@@ -1,40 +1,49 @@
-"""Small helpers shared by the operators: reading tables, shared scratch tables, memo tables for words."""
+"""Small helpers shared by the operators: reading tables, filters of known size before shuffles, memo tables for words."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from offerloom.sources.scratch import saved, shared_path
+
+__all__ = ["WORD_BREAK", "Memo", "parted", "saved", "shared_path", "table"]
 
 #: White space that separates words; the same five control characters and the space everywhere.
 WORD_BREAK = r"[ \t-\r]+"
 
+#: A filter has about so many bits for each hash in it, and between the two sizes (in bits; 32 MB at most). Past the larger
+#: size more rows pass than need to, which costs their shuffle and nothing else.
+_BITS_EACH, _LEAST_BITS, _MOST_BITS = 16, 1 << 15, 1 << 28
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir. Only where it is unset (tests) a temporary one is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts lineage, survives lost executors, lets readers prune columns."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def parted(rows: DataFrame, row_hash: Column, hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that surely have none of the hashes, the others): no row moves, so long texts needn't be shuffled to find few.
+
+    hashes: one long column, a saved table. Its bits, a table of a bounded size, are broadcast; a few rows without one of the
+    hashes are among the others, so a join has to follow. A null hash counts as none.
+    """
+    name = hashes.columns[0]
+    taken = {c.lower() for c in rows.columns}
+    place_, set_, bits_ = (next(c for k in range(len(taken) + 1) if (c := f"_{n}{k}") not in taken) for n in ("place", "set", "bits"))
+    bits = _LEAST_BITS
+    wanted = _BITS_EACH * hashes.count()
+    while bits < min(wanted, _MOST_BITS):
+        bits *= 2
+    place = lambda c: F.pmod(c, F.lit(bits))
+    sets = hashes.filter(F.col(name).isNotNull()).select(place(F.col(name)).alias(place_))
+    sets = sets.groupBy(F.bitmap_bucket_number(place_).alias(set_)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place_)).alias(bits_))
+    marked = rows.withColumn(place_, place(row_hash)).withColumn(set_, F.bitmap_bucket_number(place_)).join(F.broadcast(sets), set_, "left")
+    at = F.bitmap_bit_position(place_)
+    byte = F.conv(F.hex(F.substring(F.col(bits_), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.call_function("getbit", byte, F.pmod(at, F.lit(8)).cast("int")) == 1, F.lit(False))
+    return marked.filter(~hit).select(*rows.columns), marked.filter(hit).select(*rows.columns)
 
 
 class Memo(dict):

@@ -4,11 +4,15 @@
    copies: they share a key, and from here on each key stands once.
 2. Keys that agree on one band of their signatures meet. Each bucket gives links to its smallest key only, so a bucket of
    any size gives as many rows as it has members; connected components of these links are the candidate groups.
-3. Inside a candidate group all pairs are compared, in blocks of bounded size that are spread over tasks. A pair's MinHash
-   values are compared a few at a time and the pair is dropped when the posterior probability that its similarity reaches
-   the threshold falls below a tolerance; what is left is verified exactly on the shingle sets.
+3. Pairs are compared inside a candidate group; in one of more than 65,536 members whose buckets hold fewer pairs than the
+   group (long chains of neighbours), inside its buckets instead, each pair in the first bucket that it shares. Groups and
+   buckets are split into blocks of bounded size, and a task compares two blocks. A pair's MinHash values are compared a few at a
+   time and the pair is dropped when the posterior probability that its similarity reaches the threshold falls below a
+   tolerance; what is left is verified exactly on the shingle sets.
 4. Tasks give counts of links and links to local roots, again one row per member. Their components are the classes.
 
+Texts of candidates only are moved: a filter of bounded size keeps the others from the shuffle.
+
 With 32 bands of 5 values, a pair at exactly 0.8 never meets with a probability of 3e-6, less above.
 
 Words are runs without white space. A text of one to four words has one shingle, all its words. A text without words (or
@@ -26,18 +30,22 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerloom.llm.common import saved
+from offerloom.llm.common import parted, saved
 
 WORDS = 5
 BANDS, BAND_VALUES = 32, 5
 VALUES = BANDS * BAND_VALUES
 #: MinHash values compared at a time, and the posterior probability below which a pair is dropped.
 STEP, TOLERANCE = 16, 1e-6
-BLOCK = 1024
+#: A group is split into blocks of a 16th of it, but of no fewer and no more members than these. A task has two blocks, so a
+#: member of a group stands in up to 16 tasks, and beyond 65,536 members in as many as there are blocks.
+LEAST_BLOCK, MOST_BLOCK, PARTS = 128, 4096, 16
+#: Members that are compared with each other at once inside a task.
+AT_ONCE = 1024
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -138,9 +146,15 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: np.ndar
     return total[i, j].astype(np.int64)
 
 
-def linked(a: list[np.ndarray], b: list[np.ndarray], sig_a: np.ndarray, sig_b: np.ndarray, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs whose exact similarity is the threshold or more."""
+def linked(a: list[np.ndarray], b: list[np.ndarray], sig_a: np.ndarray, sig_b: np.ndarray, same: bool, threshold: float, band: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose exact similarity is the threshold or more; in a bucket of a band, those that agree on no band before."""
     i, j = likely_pairs(sig_a, sig_b, same, threshold)
+    for k in range(band):
+        if not len(i):
+            break
+        at = slice(k * BAND_VALUES, (k + 1) * BAND_VALUES)
+        fresh = (sig_a[i, at] != sig_b[j, at]).any(axis=1)
+        i, j = i[fresh], j[fresh]
     if not len(i):
         return i, j
     both = overlaps(a, a if same else b, i, j)
@@ -209,18 +223,40 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
     # buckets of equal bands, each linked to its smallest key
     width = 4 * BAND_VALUES
     # a handle stands for a key here, as rows are many: two keys with one handle only make a candidate group larger
-    member = keys.select(F.xxhash64("key").alias("handle"), F.posexplode(F.array(*(F.xxhash64(F.col("signature").substr(k * width + 1, width)) for k in range(BANDS)))).alias("band", "hash"))
-    member = member.select("handle", "band", F.xxhash64("band", "hash").alias("bucket"))
+    handle = F.xxhash64("key")
+
+    def buckets(of: DataFrame) -> DataFrame:
+        values = F.array(*(F.xxhash64(F.col("signature").substr(k * width + 1, width)) for k in range(BANDS)))
+        return of.select("handle", F.posexplode(values).alias("band", "hash")).select("handle", "band", F.xxhash64("band", "hash").alias("bucket"))
+
+    member = buckets(keys.select(handle.alias("handle"), "signature"))
     hubs = member.groupBy("bucket", "band").agg(F.min("handle").alias("hub"), F.count("*").alias("n")).filter("n > 1").select("bucket", "hub")
     edges = member.select("handle", "bucket").join(hubs, "bucket").filter("handle != hub").select(F.col("hub").alias("a"), F.col("handle").alias("b")).distinct()
-    groups = components(edges, "candidates")
-
-    # blocks of a group meet in tasks
-    sizes = groups.groupBy("root", F.xxhash64("root").alias("_")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).select("root", "blocks")
-    wanted = groups.join(sizes, "root").join(keys.select(F.xxhash64("key").alias("node"), "key", F.col("id").alias("rep")), "node")
-    wanted = saved(wanted.select("key", "rep", "root", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")), "wanted")
-    known = wanted.filter("rep is not null")
-    texts = rows.join(known.withColumnRenamed("rep", "id"), "id").select("text", "key", "root", "blocks", "block")
+    groups = saved(components(edges, "candidates").withColumnRenamed("node", "handle"), "groups")
+
+    # where a candidate is compared: in its group, or in its buckets
+    def block_size(n: Column) -> Column:
+        return F.greatest(F.lit(LEAST_BLOCK), F.least(F.lit(MOST_BLOCK), F.ceil(n / PARTS)))
+
+    def place(group: str, band: Column) -> Column:
+        blocks = F.ceil(F.col("n") / block_size(F.col("n"))).cast("int")
+        return F.struct(F.col(group).alias("group"), band.cast("int").alias("band"), blocks.alias("blocks"), F.pmod(F.xxhash64(F.lit(7), "handle"), blocks).cast("int").alias("block"))
+
+    sizes = saved(groups.groupBy("root", F.xxhash64("root").alias("_")).agg(F.count("*").alias("n")).drop("_"), "sizes")
+    large = groups.join(sizes.filter(F.col("n") > PARTS * MOST_BLOCK), "root")
+    _, likely = parted(keys.select(handle.alias("handle"), "signature"), F.col("handle"), saved(large.select("handle"), "large"))
+    held = buckets(likely).join(large, "handle")
+    held_sizes = held.groupBy("root", "n", "bucket").agg(F.count("*").alias("m")).filter("m > 1")
+    dense = held_sizes.groupBy("root", "n").agg(F.sum(F.col("m").cast("double") * F.col("m")).alias("pairs"))
+    sparse = saved(dense.filter(F.col("pairs") < F.col("n").cast("double") * F.col("n")).select("root"), "sparse")
+    in_group = groups.join(sizes, "root").join(sparse, "root", "left_anti").select("handle", place("root", F.lit(-1)).alias("place"))
+    in_bucket = held.drop("n").join(sparse, "root", "left_semi").join(held_sizes.select("root", "bucket", F.col("m").alias("n")), ["root", "bucket"]).select("handle", place("bucket", F.col("band")).alias("place"))
+    places = in_group.union(in_bucket).groupBy("handle").agg(F.collect_list("place").alias("places"))  # one, or one for each band
+    wanted = saved(places.join(keys.select(handle.alias("handle"), "key", F.col("id").alias("rep")), "handle").select("key", "rep", "places"), "wanted")
+
+    known = wanted.filter("rep is not null").withColumnRenamed("rep", "id")
+    _, likely_rows = parted(rows.filter("id is not null"), F.xxhash64("id"), known.select(F.xxhash64("id").alias("hash")))
+    texts = likely_rows.join(known, "id").select("text", "key", "places")
     # keys that no row with an id has: found by their text's own key
     nameless = rows.filter("id is null").select("text")
 
@@ -230,36 +266,50 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
                 sets = [shingles(t) for t in part.column(0).to_pylist()]
                 keep = [k for k, (s, key) in enumerate(zip(sets, part.column(1).to_pylist())) if set_key(s) == key]  # another row may have the same id
                 rest = part.take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(rest.column(k) for k in range(1, 5)), pa.array([sets[k].tobytes() for k in keep], pa.binary())], ["key", "root", "blocks", "block", "shingles"])
+                yield pa.RecordBatch.from_arrays(
+                    [rest.column(1), rest.column(2), pa.array([sets[k].tobytes() for k in keep], pa.binary()), pa.array([signature(sets[k]).tobytes() for k in keep], pa.binary())],
+                    ["key", "places", "shingles", "signature"],
+                )
 
     def with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0)
             yield pa.RecordBatch.from_arrays([texts, pa.array([set_key(shingles(t)) for t in texts.to_pylist()], pa.string())], ["text", "key"])
 
-    nameless = nameless.mapInArrow(with_key, "text string, key string").join(wanted.filter("rep is null"), "key").select("text", "key", "root", "blocks", "block")
-    members = texts.union(nameless).mapInArrow(with_shingles, "key string, root long, blocks int, block int, shingles binary")
+    nameless = nameless.mapInArrow(with_key, "text string, key string").join(wanted.filter("rep is null"), "key").select("text", "key", "places")
+    members = texts.union(nameless).mapInArrow(with_shingles, f"key string, places {wanted.schema['places'].dataType.simpleString()}, shingles binary, signature binary")
+    members = members.select("key", "shingles", "signature", F.inline("places"))
     tasks = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tasks = tasks.select("key", "shingles", "block", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    tasks = tasks.select("key", "shingles", "signature", "block", "group", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
     def compare(task: pa.Table) -> pa.Table:
-        low, high = task.column("low")[0].as_py(), task.column("high")[0].as_py()
-        sides: list[dict[str, np.ndarray]] = [{}, {}]
-        for key, block, values in zip(task.column("key").to_pylist(), task.column("block").to_pylist(), task.column("shingles").to_pylist()):
-            sides[block != low][key] = np.frombuffer(values, np.uint64)  # repeated rows count once
+        low, high, band = (task.column(c)[0].as_py() for c in ("low", "high", "band"))
+        sides: list[dict[str, tuple[bytes, bytes]]] = [{}, {}]
+        for key, block, values, hashes in zip(*(task.column(c).to_pylist() for c in ("key", "block", "shingles", "signature"))):
+            sides[block != low][key] = values, hashes  # repeated rows count once
         same = low == high
         names = [sorted(side) for side in (sides[:1] if same else sides)]
-        sets = [[side[k] for k in keys] for side, keys in zip(sides, names)]
-        signatures = [np.array([signature(s) for s in x], np.uint32).reshape(-1, VALUES) for x in sets]
-        i, j = linked(sets[0], sets[-1], signatures[0], signatures[-1], same, threshold)
-        everyone = names[0] if same else names[0] + names[1]
-        j = j if same else j + len(names[0])
-        count = np.bincount(i, minlength=len(everyone)) + np.bincount(j, minlength=len(everyone))
-        root = local_roots(len(everyone), i, j)
+        sets = [[np.frombuffer(side[k][0], np.uint64) for k in keys] for side, keys in zip(sides, names)]
+        signatures = [np.frombuffer(b"".join(side[k][1] for k in keys), np.uint32).reshape(-1, VALUES) for side, keys in zip(sides, names)]
+        everyone, shift = (names[0], 0) if same else (names[0] + names[1], len(names[0]))
+        count, firsts, seconds = np.zeros(len(everyone), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for x in range(0, len(sets[0]), AT_ONCE):
+            for y in range(x if same else 0, len(sets[-1]), AT_ONCE):
+                parts = sets[0][x : x + AT_ONCE], sets[-1][y : y + AT_ONCE]
+                one = same and x == y
+                i, j = linked(parts[0], parts[0] if one else parts[1], signatures[0][x : x + AT_ONCE], signatures[-1][y : y + AT_ONCE], one, threshold, band)
+                i, j = i + x, j + y + shift
+                count += np.bincount(i, minlength=len(everyone)) + np.bincount(j, minlength=len(everyone))
+                # of a part's pairs only links to its roots stay
+                ends, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+                root = local_roots(len(ends), at[: len(i)], at[len(i) :])
+                firsts.append(ends)
+                seconds.append(ends[root])
+        root = local_roots(len(everyone), np.concatenate(firsts), np.concatenate(seconds))
         has = np.nonzero(count)[0]
         return pa.table({"key": pa.array([everyone[k] for k in has], pa.string()), "local": pa.array([everyone[root[k]] for k in has], pa.string()), "links": pa.array(count[has], pa.int64())})
 
-    found = saved(tasks.groupBy("root", "low", "high").applyInArrow(compare, "key string, local string, links long"), "links")
+    found = saved(tasks.groupBy("group", "band", "low", "high").applyInArrow(compare, "key string, local string, links long"), "links")
     classes = components(found.select(F.col("local").alias("a"), F.col("key").alias("b")).distinct(), "classes")
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
     of_key = keys.select("key", "id", "n_copies").join(classes.withColumnRenamed("node", "key"), "key", "left").join(links, "key", "left")
@@ -280,13 +330,19 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """docs without the rows that have a linked text or copy with a smaller id; repeated rows of an id stay once, and its
     other texts are judged by themselves. Rows with a null id stay only where no row of their class has an id."""
-    joined = _classes(docs, id_col, text_col, threshold)
-    ids = joined.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min("set_key").alias("_low"), F.max("set_key").alias("_high"), F.count_if(F.col("set_key") == "").alias("_empty"))
-    torn = saved(ids.filter("_low <> _high or _empty > 1").select(id_col), "torn")  # ids of several texts
-    gone = joined.filter(F.col(id_col) != F.col("class_id")).select(id_col).union(torn).distinct()
-    named = docs.filter(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti").dropDuplicates([id_col])
+    joined = saved(_classes(docs, id_col, text_col, threshold).select(id_col, "class_id", "set_key", "root"), "joined")
+    ids = joined.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+        F.count("*").alias("_n"), F.bool_or(F.col(id_col) != F.col("class_id")).alias("_gone"), F.min("set_key").alias("_low"), F.max("set_key").alias("_high"), F.count_if(F.col("set_key") == "").alias("_empty")
+    )
+    # most ids stand once and lead their class; their rows aren't moved
+    touched = saved(ids.filter("_n > 1 or _gone").select(id_col, "_gone", ((F.col("_low") != F.col("_high")) | (F.col("_empty") > 1)).alias("_torn")), "touched")
+    alone, likely = parted(docs.filter(F.col(id_col).isNotNull()), F.xxhash64(id_col), touched.select(F.xxhash64(id_col).alias("_hash")))
+    untouched = likely.join(touched, id_col, "left_anti")
+    repeated = likely.join(touched.filter("not _gone and not _torn"), id_col, "left_semi").dropDuplicates([id_col])
+    named = alone.unionByName(untouched).unionByName(repeated)
+    torn = touched.filter("_torn").select(id_col)
     nameless = docs.filter(F.col(id_col).isNull()).dropDuplicates([text_col])
-    alone = joined.filter(F.col(id_col).isNull() & F.col("class_id").isNull()).select("set_key").distinct()
+    lonely = joined.filter(F.col(id_col).isNull() & F.col("class_id").isNull()).select("set_key").distinct()
 
     at = docs.columns.index(text_col)
 
@@ -295,7 +351,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield batch.append_column("_set_key", pa.array([set_key(shingles(t)) for t in batch.column(at).to_pylist()], pa.string()))
 
     schema = T.StructType([*docs.schema.fields, T.StructField("_set_key", T.StringType())])
-    nameless = nameless.mapInArrow(with_key, schema).join(alone.withColumnRenamed("set_key", "_set_key"), "_set_key", "left_semi").drop("_set_key")
+    nameless = nameless.mapInArrow(with_key, schema).join(lonely.withColumnRenamed("set_key", "_set_key"), "_set_key", "left_semi").drop("_set_key")
     out = named.select(docs.columns).unionByName(nameless.select(docs.columns))
     if torn.isEmpty():
         return out
@@ -304,6 +360,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = joined.join(torn, id_col, "left_semi").filter(F.col(id_col) == F.col("class_id"))
     lead = first.filter("set_key <> ''").groupBy(id_col, "root").agg(F.min("set_key").alias("_set_key")).select(id_col, "_set_key")
     kept = lead.union(first.filter("set_key = ''").select(id_col, "set_key").distinct())
-    texts = docs.join(torn, id_col, "left_semi").select(docs.columns).mapInArrow(with_key, schema).join(kept, [id_col, "_set_key"], "left_semi")
+    texts = likely.join(torn, id_col, "left_semi").select(docs.columns).mapInArrow(with_key, schema).join(kept, [id_col, "_set_key"], "left_semi")
     texts = texts.withColumn("_only", F.when(F.col("_set_key") == "", F.col(text_col))).dropDuplicates([id_col, "_set_key", "_only"])
     return out.unionByName(texts.select(docs.columns))

@@ -59,11 +59,29 @@ def test_near_join(spark, edge, empty, docs):
 
 
 def test_blocks_agree_with_one_block(spark, monkeypatch):
-    monkeypatch.setattr(nearjoin, "BLOCK", 8)
+    monkeypatch.setattr(nearjoin, "LEAST_BLOCK", 8)
     df = spark.createDataFrame(near_rows(), "doc_id long, text string")
     assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in nearjoin.join_near(df).collect()) == plain_join(near_rows())
 
 
+@pytest.mark.parametrize("block", [4, 8])
+def test_chains_are_compared_by_bucket(spark, monkeypatch, block):
+    """A long chain of neighbours: its buckets hold fewer pairs than the chain, and no link is counted twice."""
+    monkeypatch.setattr(nearjoin, "LEAST_BLOCK", block)
+    monkeypatch.setattr(nearjoin, "MOST_BLOCK", block)
+    rows = [(i, " ".join(f"w{k}" for k in range(i * step, i * step + 80))) for i, step in ((i, 6 + i % 3) for i in range(150))]
+    got = sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in nearjoin.join_near(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == plain_join(rows) and any(r[2] for r in got)
+
+
+def test_parted(spark):
+    from offerloom.llm.common import parted
+
+    rows = spark.range(3000).selectExpr("id", "if(id % 10 = 0, null, id) as _place0", "id as _set0")
+    none, others = parted(rows, F.xxhash64("_place0"), spark.range(0, 3000, 7).select(F.xxhash64("id").alias("h")))
+    assert none.columns == rows.columns and none.filter("_place0 % 7 = 0").count() == 0 and none.count() + others.count() == 3000 and others.count() < 1200
+
+
 def test_overlaps_by_matrix():
     import numpy as np
 
@@ -135,37 +153,57 @@ def test_next_over_gaps(spark):
 # --- surrogates ---
 
 
+def luhn(digits):
+    return sum(d if k % 2 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(int(c) for c in digits[-2::-1])) % 10
+
+
 def test_surrogates(spark, edge, empty):
     texts = [
         "mail jane.doe9@mail5.example.com or +1 (743) 555-3824, card 4111 1111 1111 1111.",
         "again JANE.DOE9@MAIL5.EXAMPLE.COM and jane.doe9@mail5.example.com, 10.20.30.40; 4111111111111111",
         "Mrs Anna Novak met Mr Novak; ssn 123-45-6789, iban DE89370400440532013000. Госпожа Иванова",
         "clean text 12 345 and 3.14 and 1.2.3 and v2.0 a@b",
+        "Mr. Novak and Mr Novak. Later Novak left, and so did Anna; Novakova stayed",
+        "Mr Novak, in another text than Anna. Κυρία Μαρία Παππά; info@пример.рф, 电邮@例子.中国, +420 603 111 222, +420603111222",
     ]
     df = spark.createDataFrame([(k, t, 7) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
     out = {r.doc_id: r for r in pii.replace(df, "k").collect()}
-    assert out[3].text == texts[3] and out[3].n_entities == 0
-    assert [out[k].n_entities for k in range(4)] == [3, 4, 5, 0] and all(out[k].n_chars == len(out[k].text) for k in (0, 1, 2))
+    assert out[3].text == texts[3] and out[3].n_entities == 0 and out[3].n_chars == 7
+    assert [out[k].n_entities for k in range(6)] == [3, 4, 5, 0, 2, 6] and all(out[k].n_chars == len(out[k].text) for k in (0, 1, 2, 4, 5))
     whole = " ".join(out[k].text for k in range(3))
     for secret in ("jane.doe9", "JANE.DOE9", "555-3824", "4111 1111 1111 1111", "4111111111111111", "10.20.30.40", "123-45-6789", "DE893704", "Novak", "Иванова"):
         assert secret not in whole
     first = re.search(r"mail (\S+@\S+) or (\+1 \(\d{3}\) \d{3}-\d{4}), card (\d{4} \d{4} \d{4} \d{4})\.", out[0].text)
     second = re.search(r"again (\S+@\S+) and (\S+@\S+), (\d+\.\d+\.\d+\.\d+); (\d{16})", out[1].text)
     assert first[1] == second[2] and first[1].upper() == second[1] and first[3].replace(" ", "") == second[4]
-    digits = [int(c) for c in second[4]]
-    assert sum(d if k % 2 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(digits)) % 10 == 0
-    assert re.search(r"Mrs \w+lina \w+ met Mr \w+; ssn 9\d\d-\d\d-\d{4}, iban DE\d{20}\. Госпожа [а-яА-Я]+", out[2].text), out[2].text
+    assert (luhn(second[4]) + int(second[4][-1])) % 10 == 0
+    third = re.search(r"Mrs (\w+lina) (\w+) met Mr (\w+); ssn 9\d\d-\d\d-\d{4}, iban (DE\d{20})\. Госпожа [а-яА-Я]+$", out[2].text)
+    assert third and third[2] == third[3]
+    assert int("".join(str(int(c, 36)) for c in third[4][4:] + third[4][:4])) % 97 == 1
+    # all mentions of a name agree, with and without title and dot; other words with the same start stay
+    family = third[2]
+    assert out[4].text == f"Mr. {family} and Mr {family}. Later {family} left, and so did Anna; Novakova stayed"
+    fifth = re.fullmatch(rf"Mr {family}, in another text than Anna\. Κυρία [α-ωΑ-Ω]+λινα [α-ωΑ-Ω]+; ([a-z]+)@([а-я]+)\.example, [\u4e00-\u4eff]+@[\u4e00-\u4eff]+\.example, (\+420 \d{{3}} \d{{3}} \d{{3}}), (\+420\d{{9}})", out[5].text)
+    assert fifth and fifth[3].replace(" ", "") == fifth[4] and fifth[4] != "+420603111222"
     assert {r.doc_id: r.text for r in pii.replace(df, "other key").collect()}[0] != out[0].text
     assert sorted(str(r.text) for r in pii.replace(edge, "k").collect()) == sorted(str(r.text) for r in edge.collect()) and pii.replace(empty, "k").count() == 0
 
 
-def test_surrogates_stay_different(spark, monkeypatch):
-    """With a drawing that hardly ever differs, all clashes are drawn again."""
-    real = pii.surrogate
-    monkeypatch.setattr(pii, "surrogate", lambda key, kind, canon, attempt: F.concat(F.lit("f"), (F.pmod(F.xxhash64(canon), F.lit(3)) + 3 * attempt).cast("string")))
-    entities = spark.createDataFrame([("card", f"{k}") for k in range(12)] + [("card", "f0")], "kind string, canon string")
-    forms = [r.form for r in pii.surrogates(entities, "k").collect()]
-    assert len(set(forms)) == 13 and not {"f0"} & set(forms) and real is not pii.surrogate
+def test_bare_names(spark):
+    df = spark.createDataFrame([(1, "Frau Anna Novak sang. Anna and Novak; ANNA, Anna-Maria, xNovak, Novak's (Novak)")], "doc_id long, text string")
+    out = pii.replace(df, "k").first().text
+    found = re.fullmatch(r"Frau (\w+) (\w+) sang\. (\w+) and (\w+); ANNA, Anna-Maria, xNovak, (\w+)'s \((\w+)\)", out)
+    assert found and found[1] == found[3] and found[2] == found[4] == found[5] == found[6], out
+
+
+def test_surrogates_stay_different(spark):
+    """More entities than forms of one length: forms get longer, and nothing clashes."""
+    letters = "abcdefghijklmnopqrstuvwxyzéüñö"
+    rows = [("email", f"{c}@x.org") for c in letters] + [("ssn", f"{k:02}") for k in range(100)] + [("ssn", "91")] + [("family", "Novak")] + [("phone", f"+1{k}") for k in range(10)]
+    forms = pii.surrogates(spark.createDataFrame(rows, "kind string, canon string"), "k").collect()
+    assert sorted((r.kind, r.canon) for r in forms) == sorted(set(rows))
+    assert len({(r.kind, r.form) for r in forms}) == len(set(rows)) and not {(r.kind, r.form) for r in forms} & set(rows)
+    assert all(r.form.startswith("+1") for r in forms if r.kind == "phone")
 
 
 # --- archives ---
