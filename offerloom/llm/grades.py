@@ -176,9 +176,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, id_col:
 
 
 def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
-    """docs with expected_grade, tail_probability (of the top grade) and selected (tail_probability of 0.5 or more)."""
-    at = docs.columns.index(text_col)
+    """docs with expected_grade, tail_probability (of the top grade) and selected (tail_probability of 0.5 or more).
+    Columns of these names are replaced."""
     added = ["expected_grade", "tail_probability"]
+    kept = docs.drop(*added, "selected")
+    at = kept.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(model.word_weight)
@@ -187,6 +189,5 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataF
             tails = model.tails(np.array([model.score(t, memo) for t in batch.column(at).to_pylist()]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])], [*batch.schema.names, *added])
 
-    kept = docs.drop(*added, "selected")
     schema = T.StructType([*kept.schema.fields, *(T.StructField(name, T.DoubleType()) for name in added)])
     return kept.mapInArrow(run, schema).withColumn("selected", F.col("tail_probability") >= 0.5)

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerloom.llm.common import Memo
 
@@ -116,8 +117,9 @@ def pack_examples(examples: DataFrame, key_cols: list[str], tokens_col: str, los
 class ByteTokenizer:
     """Ids of a byte-level vocabulary as the tokenizers library gives them, word by word from a bounded memo.
 
-    Words new to the memo go to tiktoken over the same vocabulary, which is several times as fast and gives the same ids;
-    a text that holds a special token's string goes to the tokenizers library as a whole.
+    Words new to the memo go to tiktoken over the same vocabulary, which is several times as fast, and in each Arrow batch
+    to the tokenizers library as well: differences() counts what the two cut otherwise. A text that holds a special token's
+    string goes to the tokenizers library as a whole.
     """
 
     def __init__(self, json_path: str, ranks_path: str, pattern: str):
@@ -131,11 +133,23 @@ class ByteTokenizer:
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         ordinary = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        ids = lambda text: array.array("I", ordinary(text)).tobytes()
+        self.new: list[tuple[str, bytes]] = []
+
+        def ids(text: str) -> bytes:
+            out = array.array("I", ordinary(text)).tobytes()
+            self.new.append((text, out))
+            return out
+
         self.ordinary, self.bare = ids, Memo(ids)
         self.spaced = Memo(lambda word: ids(" " + word))
         self.newline = ids("\n")
 
+    def differences(self) -> int:
+        """How many of the words and texts encoded since the last call the tokenizers library encodes otherwise."""
+        new, self.new = self.new, []
+        theirs = self.whole.encode_batch([text for text, _ in new], add_special_tokens=False)
+        return sum(array.array("I", their.ids).tobytes() != ids for (_, ids), their in zip(new, theirs))
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if any(s in text for s in self.special):
@@ -165,8 +179,6 @@ def _tokenizer(json_path: str, ranks_path: str, pattern: str) -> ByteTokenizer:
     return ByteTokenizer(json_path, ranks_path, pattern)
 
 
-
-
 @dataclass
 class Item:
     """A document's ids from start on, as far as they wait."""
@@ -255,6 +267,31 @@ class DocumentPacker:
         return out
 
 
+def with_lengths(turns: DataFrame, json_path: str, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """turns with n_ids, the number of a text's ids; null text is the empty text. A column n_ids is replaced."""
+    kept = turns.drop("n_ids")
+    at = kept.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = _tokenizer(json_path, ranks_path, pattern)
+        for batch in batches:
+            tokenizer.spaced.trim(), tokenizer.bare.trim()
+            n = [len(tokenizer.encode(text or "")) // 4 for text in batch.column(at).to_pylist()]
+            if differ := tokenizer.differences():
+                raise ValueError(f"the two libraries differ in {differ} words")
+            yield batch.append_column("n_ids", pa.array(n, pa.int64()))
+
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("n_ids", T.LongType())]))
+
+
+def pack_conversations(turns: DataFrame, json_path: str, ranks_path: str, pattern: str, limits: Limits, taught: str = "assistant", id_col: str = "conv_id", role_col: str = "role") -> DataFrame:
+    """Whole conversations into sequences, by tokens (each turn's ids and one that ends it), segments and the tokens that
+    bear loss, those of the turns of one role. Turns without a conversation are one; an unknown role bears no loss."""
+    sized = with_lengths(turns.select(id_col, role_col, "text"), json_path, ranks_path, pattern)
+    each = sized.groupBy(id_col).agg(F.sum(F.col("n_ids") + 1).alias("tokens"), F.coalesce(F.sum(F.when(F.col(role_col) == taught, F.col("n_ids") + 1)), F.lit(0)).alias("loss"))
+    return pack_examples(each, [id_col], "tokens", "loss", limits)
+
+
 def pack_documents(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, end_id: int = 1, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents' ids, each document ended by end_id, cut into pieces and packed; one row per piece.
 
@@ -279,6 +316,8 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str, pattern: st
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows += packer.add(key, tokenizer.encode(text or "") + end)
+            if differ := tokenizer.differences():
+                raise ValueError(f"the two libraries differ in {differ} words")
             yield table(rows)
         if key_type is not None:
             yield table(packer.finish())

@@ -3,7 +3,8 @@
 A text is cut where no piece can reach across: before each run of spaces and around each newline (checked against the
 vocabulary when it is loaded). Inside a cut, an agenda of adjacent symbol pairs, ordered by score and then by
 position, merges the best pair first. Cuts repeat, so their ids and decoded texts are kept in a bounded memo. In each
-Arrow batch the cuts that are new to the worker are also encoded by the sentencepiece library; a difference ends the job.
+Arrow batch the cuts that are new to the worker are also encoded and decoded by the sentencepiece library; a difference
+ends the job. Cuts of over 200 characters aren't kept, so they are encoded and compared each time that they occur.
 
 Null text is the empty text. An empty text has only the begin and end ids. Texts of any length are encoded whole.
 """
@@ -46,7 +47,8 @@ class PieceModel:
             raise ValueError("a piece reaches across a space or a newline; this vocabulary can't be cut into words")
         self.spaced: Memo = Memo(lambda word: self._of(" " + word))
         self.bare: Memo = Memo(self._of)
-        self.new: list[str] = []
+        self.new: list[tuple[str, bytes, str]] = []
+        self.before = sp.encode("\n")  # nothing reaches across a newline, so a cut behind one is encoded by itself
 
     def merge(self, cut: str) -> list[str]:
         """Symbols left when no adjacent pair is a piece any more; the highest score merges first, the leftmost on ties.
@@ -129,15 +131,19 @@ class PieceModel:
     def _of(self, cut: str) -> tuple[bytes, str]:
         """A cut's ids (unsigned 32-bit) and the text that they decode to."""
         ids = self.encode_cut(cut)
-        if len(cut) > 1 and cut[0] == " ":
-            self.new.append(cut)
-        return array.array("I", ids).tobytes(), self.decode_ids(ids)
+        out = array.array("I", ids).tobytes(), self.decode_ids(ids)
+        self.new.append((cut, *out))
+        return out
 
     def differences(self) -> int:
-        """Compares the cuts that are new since the last call with the library, which puts a space before each."""
+        """How many of the cuts computed since the last call the library encodes or decodes otherwise."""
         new, self.new = self.new, []
-        theirs = self.library.encode([cut[1:] for cut in new], num_threads=1)
-        return sum(array.array("I", ids).tobytes() != self.spaced[cut[1:]][0] for cut, ids in zip(new, theirs))
+        theirs = self.library.encode(["\n" + cut for cut, *_ in new], num_threads=1)
+        texts = self.library.decode(theirs, num_threads=1) if new else []
+        n = len(self.before)
+        return sum(
+            (their[:n], array.array("I", their[n:]).tobytes(), text) != (self.before, ids, "\n" + decoded) for (_, ids, decoded), their, text in zip(new, theirs, texts)
+        )
 
     def cuts(self, text: str) -> list[tuple[bytes, str]]:
         """Ids and text of each cut; a space is put before the text first."""
@@ -163,13 +169,13 @@ class PieceModel:
 
 
 _CUTS = re.compile(r" *[^ ]+| +")
+
+
 @functools.lru_cache(maxsize=2)
 def _model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-
-
 def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: the number of ids with begin and end, and hashes of the ids and of the decoded text."""
     id_type = docs.schema[id_col].dataType.simpleString()

@@ -61,5 +61,11 @@ def op10_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearjoin.join_near(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_packing, op4_fingerprints, op5_surrogates, op6_quality_rules, op7_warc_revisits, op8_quality_grades, op9_sentencepiece, op10_near_join)} | {"pipeline": corpus_pipeline.run}
+def conversation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruction data: whole conversations, where the tokens of the answers are a limit of their own."""
+    turns = table(spark, sf_dir, "conversations")
+    return packing.pack_conversations(turns, public_tokenizers.path(f"{BYTES}.json"), public_tokenizers.path(f"{BYTES}.tiktoken"), public_tokenizers.PATTERN, packing.Limits(2048, 16, 1024))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_packing, op4_fingerprints, op5_surrogates, op6_quality_rules, op7_warc_revisits, op8_quality_grades, op9_sentencepiece, op10_near_join, conversation_packing)} | {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = dict(oracles.ORACLES)

@@ -230,17 +230,51 @@ def test_archives(spark):
     assert warc.rewritten(pages.limit(0)).count() == 0
 
 
+def read_all(folder):
+    import gzip
+
+    return [x for f in folder.glob("part-*") for x in warc.parse(gzip.open(f))]
+
+
+def test_records(spark, tmp_path, monkeypatch):
+    """Record ids are different, revisits refer to a response with their payload, and files are bounded by payload size."""
+    monkeypatch.setattr(warc, "FILES", ((2000, 3), (1 << 62, 1)))
+    pages = spark.createDataFrame([*page_rows(), (20, "big", "z" * 5000), (21, "big", "y" * 5000)], "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(warc.resolve(pages), str(tmp_path / "a"))
+    records = read_all(tmp_path / "a")
+    assert len(records) == pages.count()
+    ids = [h["warc-record-id"] for h, _ in records]
+    assert len(set(ids)) == len(ids) - 1  # the two rows that are equal in all columns
+    by_id = {h["warc-record-id"]: (h, b) for h, b in records}
+    for h, b in records:
+        body = b.partition(b"\r\n\r\n")[2]
+        if h["warc-type"] == "revisit":
+            original, content = by_id[h["warc-refers-to"]]
+            assert body == b"" and original["warc-type"] == "response" and original["warc-payload-digest"] == h["warc-payload-digest"]
+            assert hashlib.sha1(content.partition(b"\r\n\r\n")[2]).hexdigest() == h["warc-payload-digest"][5:]
+    assert all(h["warc-date"].startswith("20") and h["warc-date"].endswith("Z") for h, _ in records)
+    assert sorted(len([1 for f in [p] for _ in warc.parse(__import__("gzip").open(f))]) for p in (tmp_path / "a").glob("part-*"))[-1] <= 3
+
+
 def test_damaged_archive_is_told(spark, tmp_path):
     import gzip
 
     pages = spark.createDataFrame([(1, "u", "x" * 50)], "page_id long, url string, html string")
     path = str(tmp_path / "a")
     warc.write_archives(warc.resolve(pages), path)
-    file = next((tmp_path / "a").glob("part-*"))
+    file = next(f for f in (tmp_path / "a").glob("part-*") if gzip.open(f).read(1))
     data = gzip.decompress(file.read_bytes())
-    assert [h["warc-type"] for h, _ in warc.parse(data)] == ["response"] and data.endswith(b"\r\n\r\n")
+    assert [h["warc-type"] for h, _ in read_all(tmp_path / "a")] == ["response"] and data.endswith(b"\r\n\r\n")
     file.write_bytes(gzip.compress(data.replace(b"xxxx", b"yyyy")))
     for crc in (tmp_path / "a").glob(".*.crc"):
         crc.unlink()
     with pytest.raises(Exception, match="damaged"):
         warc.read_archives(spark, path).collect()
+
+
+def test_lost_original_is_told(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "x" * 1500), (2, "u", "x" * 1500)], "page_id long, url string, html string")
+    path = str(tmp_path / "a")
+    warc.write_archives(warc.resolve(pages).filter("record_type = 'revisit'"), path)
+    with pytest.raises(Exception, match="no original"):
+        warc.read_archives(spark, path).collect()

@@ -84,7 +84,7 @@ def test_token_counts(docs, edge, empty):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     vocabulary = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
     first, later = {p[1:] for p in vocabulary if p[0] == "▁"} - {""}, {p for p in vocabulary if "▁" not in p}
-    df = docs.select("doc_id", "text").limit(20).unionByName(edge.select("doc_id", "text").filter("doc_id is null or doc_id <> 6"))
+    df = docs.select("doc_id", "text").limit(20).unionByName(edge.select("doc_id", "text"))
     got = sorted((str(r.doc_id), r.n_words, r.n_tokens, r.n_unknown) for r in wordpiece.count_tokens(df, PIECES).collect())
     want = []
     for r in df.collect():
@@ -112,6 +112,15 @@ def test_pieces(spark, docs, edge, empty):
     assert sorted(got) == sorted(want) and pieces.encode_and_decode(empty, PIECES).count() == 0
 
 
+def test_every_new_cut_is_compared_once():
+    model = pieces.PieceModel(PIECES)
+    for text in ("x" * 500, "y" * 300 + "\n" + "z" * 250, "a  b\n\n c é", "日本\n" + " " * 5, "▁ \n"):
+        assert model.encode(text) == model.library.encode(text) and model.new
+        assert model.differences() == 0 and not model.new
+    model.cuts("word\nnew"), model.new.append(("odd", b"\0\0\0\0", "odd"))
+    assert model.differences() == 1
+
+
 def test_long_words_use_the_heap():
     model = pieces._model(PIECES)
     for word in ("abcde" * 60, "x" * 500, "日" * 100):
@@ -131,6 +140,12 @@ def test_pack_documents(docs, edge, empty):
     ids = {r.doc_id + (0 if k < 200 else 10**6): [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1] for k, r in enumerate(df.collect())}
     df = df.collect()
     df = docs.sparkSession.createDataFrame([(r.doc_id + (0 if k < 200 else 10**6), r.text) for k, r in enumerate(df)], "doc_id long, text string")
+    # null and repeated ids: the pieces' lengths and hashes are those of all their texts
+    some = edge.select("doc_id", "text").filter("doc_id is null or doc_id <= 2")
+    pieces_of = packing.pack_documents(some.coalesce(1), JSON, RANKS, public_tokenizers.PATTERN).collect()
+    texts = [(r.doc_id, [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1]) for r in some.collect()]
+    assert sum(r.length for r in pieces_of) == sum(len(t) for _, t in texts)
+    assert sorted((str(r.doc_id), r.doc_tokens) for r in pieces_of if r.start == 0) == sorted((str(i), len(t)) for i, t in texts)
     out = packing.pack_documents(df, JSON, RANKS, public_tokenizers.PATTERN).collect()
     by_doc, by_sequence = {}, {}
     for r in out:
@@ -169,6 +184,33 @@ def test_pack_examples(spark, limits):
     assert len(sequences) <= 1.25 * least + 8
 
 
+def test_pack_conversations(spark, sf):
+    from collections import Counter
+
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(JSON)
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").unionByName(spark.createDataFrame([(None, None, None, None), (None, 1, "assistant", "ab <|endoftext|>")], "conv_id long, turn int, role string, text string"), allowMissingColumns=True)
+    limits = packing.Limits(600, 5, 200)
+    tokens, loss = Counter(), Counter()
+    for r in turns.collect():
+        n = len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1
+        tokens[r.conv_id] += n
+        loss[r.conv_id] += n * (r.role == "assistant")
+    out = packing.pack_conversations(turns, JSON, RANKS, public_tokenizers.PATTERN, limits).collect()
+    assert {r.conv_id: (r.n_tokens, r.n_loss) for r in out} == {k: (tokens[k], loss[k]) for k in tokens} and len(out) == len(tokens)
+    sequences = {}
+    for r in out:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    fits = lambda s: sum(r.n_tokens for r in s) <= 600 and len(s) <= 5 and sum(r.n_loss for r in s) <= 200
+    assert all(fits(s) or len(s) == 1 and s[0].oversized for s in sequences.values())
+    # the loss limit binds: without it some sequence of several conversations goes past it
+    free = {}
+    for r in packing.pack_conversations(turns, JSON, RANKS, public_tokenizers.PATTERN, packing.Limits(600, 5, 600)).collect():
+        free.setdefault(r.sequence_id, []).append(r.n_loss)
+    assert any(len(s) > 1 and sum(s) > 200 for s in free.values())
+
+
 # --- rules ---
 
 
@@ -236,6 +278,8 @@ def test_grades_on_held_out(spark, edge, empty):
     assert mean([r for r in rows if r.toxic]) < mean([r for r in rows if not r.toxic and r.quality == 0]) < mean(clean)
     out = grades.score(edge, model)
     assert out.count() == edge.count() and set(edge.columns) < set(out.columns) and grades.score(empty, model).count() == 0
+    clash = edge.selectExpr("'x' as selected", "1 as expected_grade", "doc_id", "text", "kept")
+    assert sorted((str(r.doc_id), r.expected_grade) for r in grades.score(clash, model).collect()) == sorted((str(r.doc_id), r.expected_grade) for r in out.collect())
     assert grades.train(d, labels.limit(0)).weights == {}
 
 
