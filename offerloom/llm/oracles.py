@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
-from offerloom.llm.secrets import RULES
-from offerloom.llm.warc import LEAST_BYTES
+#: Kind, expression, group and least length of the group: the three base kinds, then the added ones.
+SECRETS = (
+    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 12),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18),
+    ("hex", r"[0-9a-f]+", 0, 16),
+    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+    ("git_token", r"gh[porsu]_[A-Za-z0-9]{36,}", 0, 0),
+    ("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]*", 0, 0),
+    ("cloud_key", r"AIza[0-9A-Za-z_-]{35}", 0, 0),
+    ("pay_key", r"[rs]k_live_[0-9A-Za-z]{16,}", 0, 0),
+)
 
 
 def _spans(number: int, regex: str, group: int, least: int) -> str:
@@ -17,18 +27,17 @@ def _spans(number: int, regex: str, group: int, least: int) -> str:
 
 
 def secret_scan() -> str:
-    parts = " UNION ALL ".join(_spans(n, r.regex, r.group, r.least) for n, r in enumerate(RULES))
-    names = ", ".join(f"'{r.kind}'" for r in RULES)
-    base = [n for n, r in enumerate(RULES) if r.base]
+    parts = " UNION ALL ".join(_spans(n, regex, group, least) for n, (_, regex, group, least) in enumerate(SECRETS))
+    names = ", ".join(f"'{kind}'" for kind, *_ in SECRETS)
     told = lambda where: f"coalesce(string_agg([{names}][s.kind + 1] || ':' || s.start::VARCHAR || ':' || s.stop::VARCHAR, ',' ORDER BY s.start, s.kind) FILTER ({where}), '')"
-    counts = ", ".join(f"count(*) FILTER (s.kind = {n}) AS n_{RULES[n].kind}" for n in base)
+    counts = ", ".join(f"count(*) FILTER (s.kind = {n}) AS n_{SECRETS[n][0]}" for n in range(3))
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), x AS ({parts})
-SELECT d.doc_id, {counts}, sha256({told(f's.kind <= {max(base)}')}) AS base_sha256, {told('s IS NOT NULL')} AS spans FROM d LEFT JOIN x USING (doc_id) GROUP BY d.doc_id"""
+SELECT d.doc_id, {counts}, sha256({told('s.kind < 3')}) AS base_sha256, {told('s IS NOT NULL')} AS spans FROM d LEFT JOIN x USING (doc_id) GROUP BY d.doc_id"""
 
 
 WARC_REVISITS = f"""WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original FROM p)
-SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= {LEAST_BYTES} AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN payload_bytes >= {LEAST_BYTES} AND page_id <> original THEN original END AS refers_to FROM m"""
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> original THEN original END AS refers_to FROM m"""
 
 ORACLES = {"op1_secret_scan": secret_scan(), "op7_warc_revisits": WARC_REVISITS}

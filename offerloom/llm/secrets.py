@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offerloom.llm.common import parted, saved
+
 
 @dataclass(frozen=True)
 class SecretRule:
@@ -128,8 +130,10 @@ def scan(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, id_col: str = "
     queries = {r.kind: trigram_query(r.regex) for r in rules}
     indexed = {k: q for k, q in queries.items() if q is not None}
     grams = sorted({g for q in indexed.values() for alternative in q for g in alternative})
-    found = candidates(postings(docs, handle, text, grams), indexed)
-    rows = docs.select(F.col(id_col), text.alias("_text"), handle.alias("handle")).join(found, "handle", "left")
+    found = saved(candidates(postings(docs, handle, text, grams), indexed), "candidates")
+    # few texts are candidates: the others aren't moved
+    none, likely = parted(docs.select(F.col(id_col), text.alias("_text"), handle.alias("handle")), F.col("handle"), found.select("handle"))
+    rows = none.withColumn("kinds", F.lit(None).cast("array<string>")).unionByName(likely.join(found, "handle", "left"))
 
     def verified(rule: SecretRule, number: int) -> Column:
         none = F.array().cast("array<struct<start:int,kind:int,stop:int>>")
