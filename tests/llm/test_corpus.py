@@ -143,11 +143,71 @@ def test_fingerprints(spark, docs, edge, empty):
     assert imatch.fingerprints(empty).count() == 0
 
 
+def plain_imatch(texts, band):
+    """For each text the term sets that its subsets leave, and whether a bitmap without false hits would tell the same."""
+    import math
+
+    import xxhash
+
+    terms = [set(re.findall(r"[^\W_]+", t.lower())) for t in texts]
+    df = Counter(w for ts in terms for w in ts)
+    hashed = {w: xxhash.xxh64_intdigest(w.encode(), seed=42) for w in df}
+    inside = {w for w, n in df.items() if band.least_idf <= math.log(len(texts) / n) <= band.most_idf}
+    out = []
+    for ts in terms:
+        kept = ts & inside or ts
+        picks = [frozenset(kept)]
+        for rate in band.rates:
+            for copy in range(band.copies):
+                picks.append(frozenset(w for w in kept if (hashed[w] >> 7 * copy) & ((1 << rate) - 1) == 0))
+        out.append(picks)
+    return out, inside, hashed
+
+
+def test_fingerprints_by_brute_force(spark, docs, monkeypatch):
+    """Subsets' hashes are equal where the sets of terms are, over the texts and their edited forms."""
+    monkeypatch.setattr(imatch, "_BITS_EACH", 1 << 16)  # no false hits
+    band = imatch.Band(0.5, 4.0)
+    df = docs.select("doc_id", F.translate("text", "_", " ").alias("text"))
+    rows = sorted((r.doc_id, r.text or "") for r in df.collect())
+    got = {r.doc_id: r for r in imatch.fingerprints(df, band).collect()}
+    picks, inside, _ = plain_imatch([t for _, t in rows], band)
+    lexicon = imatch.lexicon_of(df, F.col("text"), band)
+    assert sum(bin(b).count("1") for b in lexicon.bits) == len(inside)
+    by_set, by_hash = {}, {}
+    for (i, _), sets in zip(rows, picks):
+        hashes = got[i].fingerprint.split(",")
+        assert len(hashes) == len(sets) == 1 + band.copies * len(band.rates)
+        for h, s in zip(hashes, sets):
+            assert (h == "-") == (not s)
+            assert by_set.setdefault(s, h) == h and by_hash.setdefault(h, s) == s
+    # likeness, from the sets
+    def like(a, b):
+        if a == b:
+            return 1.0
+        shares = []
+        for start, n in [(0, 1), *((1 + k * band.copies, band.copies) for k in range(len(band.rates)))]:
+            told = [(x, y) for x, y in zip(a[start : start + n], b[start : start + n]) if x or y]
+            shares.append(sum(x == y for x, y in told) / max(4, len(told)))
+        return max(shares)
+
+    for k, (i, _) in enumerate(rows):
+        assert abs(got[i].near_next - like(picks[k], picks[(k + 1) % len(rows)])) < 1e-9
+
+
 def test_next_over_gaps(spark):
     ids = [-5, 0, 1, 2, 10**6, 10**6 + 1, 2**40, 2**40 + 7]
     df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
-    got = {r.doc_id: r.next_text for r in imatch.with_next(df, "doc_id", ["doc_id", "text"], ["text"], per_bucket=2).collect()}
-    assert got == {a: f"t{b}" for a, b in zip(ids, ids[1:] + ids[:1])}
+    for per_range in (1, 2, 3, 100):
+        got = {r.doc_id: r.next_text for r in imatch.with_next(df, "doc_id", ["doc_id", "text"], lambda x: x, ["text"], per_range).collect()}
+        assert got == {a: f"t{b}" for a, b in zip(ids, ids[1:] + ids[:1])}
+
+
+def test_ranges_hold_equal_numbers(spark):
+    """One far id doesn't put all others into one range."""
+    df = spark.range(2000).union(spark.sql("select 1000000000000 as id"))
+    ends = imatch.range_ends(df, "id", 100)
+    assert len(ends) == 19 and all(80 <= b - a <= 120 for a, b in zip(ends, ends[1:]))
 
 
 # --- surrogates ---
