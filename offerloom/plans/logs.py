@@ -168,12 +168,14 @@ def coverage_alerts(spark, sf_dir):
     return monitoring.alerts(rows, limits)
 
 
-@query(f"""WITH {_LOG}, {PRODUCTS}, e AS (SELECT p_partkey AS child, p_partkey // 2 AS parent FROM part WHERE p_partkey % 5 <> 0 AND p_partkey > 1), m AS (SELECT l.*, user_id AS final_product, CASE WHEN event_id % 3 = 0 THEN user_id WHEN event_id % 3 = 1 THEN user_id // 2 END AS now FROM log l WHERE outcome = 'matched'),
-j AS (SELECT m.*, m.now IS NOT NULL AS paired, coalesce(m.now = m.final_product OR e.child IS NOT NULL, false) AS correct FROM m LEFT JOIN e ON e.child = m.final_product AND e.parent = m.now)
+@query(f"""WITH RECURSIVE {_LOG}, e AS (SELECT p_partkey AS child, p_partkey // 2 AS parent FROM part WHERE p_partkey % 5 <> 0 AND p_partkey > 1),
+a AS (SELECT child, parent FROM e UNION SELECT a.child, e.parent FROM a JOIN e ON e.child = a.parent), m AS (SELECT l.*, user_id AS final_product, CASE WHEN event_id % 6 < 5 THEN user_id // (2 ** (event_id % 6))::BIGINT END AS now FROM log l WHERE outcome = 'matched'),
+j AS (SELECT m.*, m.now IS NOT NULL AS paired, coalesce(m.now = m.final_product OR a.child IS NOT NULL, false) AS correct FROM m LEFT JOIN a ON a.child = m.final_product AND a.parent = m.now)
 SELECT coalesce(model, 'total') AS model, count(*) AS n, count(*) FILTER (paired) AS n_paired, count(*) FILTER (correct) AS n_correct, round(1 - count(*) FILTER (paired) / count(*)::DOUBLE, 6) AS unpaired_share, round(count(*) FILTER (correct) / nullif(count(*) FILTER (paired), 0)::DOUBLE, 6) AS correct_share FROM j GROUP BY ROLLUP (model)""")
 def matched_metrics(spark, sf_dir):
     log = _log(spark, sf_dir).filter("outcome = 'matched'").select(F.col("event_id").alias("offer_id"), "model", F.col("user_id").alias("final_product"), F.lit("c").alias("category"), F.lit("name").alias("by"))
-    now = log.select("offer_id", F.when(F.col("offer_id") % 3 == 0, F.col("final_product")).when(F.col("offer_id") % 3 == 1, F.floor(F.col("final_product") / 2)).alias("product_id"), "category").filter("product_id is not null")
+    moves = F.col("offer_id") % 6  # products merged up to four times since
+    now = log.select("offer_id", F.when(moves < 5, F.floor(F.col("final_product") / F.pow(F.lit(2.0), moves)).cast("long")).alias("product_id"), "category").filter("product_id is not null")
     rows = monitoring.matched_metrics(monitoring.evaluated_matches(log, now, monitoring.merge_ancestors(_edges(spark, sf_dir))))
     return rows.select("model", "n", "n_paired", "n_correct", F.round("unpaired_share", 6).alias("unpaired_share"), F.round("correct_share", 6).alias("correct_share"))
 
@@ -305,20 +307,34 @@ def word_vectors(spark, sf_dir):
 
 
 
-@query("""WITH s AS (SELECT unnest(['em', 'es', 'im', 'um', 'at', 'am', 'os', 'us', 'ym', 'mi', 'ou', 'ov', 'in', 'uv']) AS x), t AS (SELECT DISTINCT n_name AS w FROM nation),
-a AS (SELECT w, CASE WHEN length(w) >= 5 AND lower(right(w, 2)) IN (SELECT x FROM s) THEN left(lower(w), length(w) - 2) WHEN length(w) >= 4 AND lower(right(w, 1)) IN ('a', 'e', 'i', 'o', 'u', 'y') THEN left(lower(w), length(w) - 1) ELSE lower(w) END AS stem FROM t)
-SELECT lower(w) AS token, stem FROM a""")
+def _stem_sql(tokens: str) -> str:
+    """The light stemmer over a query of tokens. An x of +word is a word to be softened, one of -word is ready."""
+    def soft(x: str) -> str:
+        return f"CASE WHEN regexp_matches({x}, '[cč][ei]$') THEN left({x}, length({x}) - 2) || 'k' WHEN regexp_matches({x}, '[zž][ei]$') THEN left({x}, length({x}) - 2) || 'h' WHEN regexp_matches({x}, 'čt[ěií]$') THEN left({x}, length({x}) - 3) || 'ck' WHEN regexp_matches({x}, 'št[ěií]$') THEN left({x}, length({x}) - 3) || 'sk' ELSE left({x}, length({x}) - 1) END"
+
+    return f"""WITH t AS ({tokens}), a AS (SELECT token, CASE WHEN length(token) > 7 AND regexp_matches(token, 'atech$') THEN '-' || left(token, length(token) - 5)
+  WHEN length(token) > 6 AND regexp_matches(token, 'ětem$') THEN '+' || left(token, length(token) - 3) WHEN length(token) > 6 AND regexp_matches(token, 'atům$') THEN '-' || left(token, length(token) - 4)
+  WHEN length(token) > 5 AND regexp_matches(token, '(ech|[ií]ch|[éií]ho|[ěeí]mi|[éi]mu|et[ei])$') THEN '+' || left(token, length(token) - 2)
+  WHEN length(token) > 5 AND regexp_matches(token, '(ách|at[ay]|ých|am[ai]|ov[éi]|ými)$') THEN '-' || left(token, length(token) - 3)
+  WHEN length(token) > 4 AND regexp_matches(token, 'em$') THEN '+' || left(token, length(token) - 1) WHEN length(token) > 4 AND regexp_matches(token, '(es|[éí]m)$') THEN '+' || left(token, length(token) - 2)
+  WHEN length(token) > 4 AND regexp_matches(token, '(ům|at|ám|[ou]s|ým|mi|ou)$') THEN '-' || left(token, length(token) - 2)
+  WHEN length(token) > 3 AND regexp_matches(token, '[eiíě]$') THEN '+' || token WHEN length(token) > 3 AND regexp_matches(token, '[uyůaoáéý]$') THEN '-' || left(token, length(token) - 1) ELSE '-' || token END AS x FROM t),
+b AS (SELECT token, CASE WHEN x[1] = '-' THEN x[2:] ELSE {soft("x[2:]")} END AS w FROM a),
+c AS (SELECT token, CASE WHEN length(w) > 5 AND regexp_matches(w, 'o[v]$|ův$') THEN '-' || left(w, length(w) - 2) WHEN length(w) > 5 AND regexp_matches(w, 'in$') THEN '+' || left(w, length(w) - 1) ELSE '-' || w END AS x FROM b)
+SELECT token, CASE WHEN x[1] = '-' THEN x[2:] ELSE {soft("x[2:]")} END AS stem FROM c"""
+
+
+@query(_stem_sql("SELECT DISTINCT unnest(string_split(lower(p_name || ' ' || p_type), ' ')) AS token FROM part"))
 def token_stems(spark, sf_dir):
-    """Short suffixes on names of nations, as its SQL says; document_stems takes all suffixes and all words."""
-    short = [s for s in stems.SUFFIXES if len(s[0]) < 3]
-    return stems.stemmed(catalog.table(spark, sf_dir, "nation").select(F.lower("n_name").alias("token")).distinct(), "token", short)
+    """Stems of the vocabulary of product names and categories."""
+    names = catalog.table(spark, sf_dir, "part").select(F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("token"))
+    return stems.stemmed(names.distinct())
 
 
-@query(f"""WITH s(x, least) AS (VALUES {', '.join(map(str, stems.SUFFIXES))}), t AS (SELECT DISTINCT unnest({_any_script(_WORDS)}) AS token FROM documents),
-b AS (SELECT token, max(length(x)) AS n FROM t JOIN s ON right(token, length(x)) = x AND length(token) >= least GROUP BY 1) SELECT token, left(token, length(token) - coalesce(n, 0)) AS stem FROM t LEFT JOIN b USING (token)""")
+@query(_stem_sql(f"SELECT DISTINCT unnest({_any_script(_WORDS)}) AS token FROM documents"))
 def document_stems(spark, sf_dir):
-    tokens = catalog.table(spark, sf_dir, "documents").select(F.explode(text.any_script_words(F.col("text"))).alias("token")).distinct()
-    return stems.stemmed(tokens, "token")
+    tokens = catalog.table(spark, sf_dir, "documents").select(F.explode(text.any_script_words(F.col("text"))).alias("token"))
+    return stems.stemmed(tokens.distinct())
 
 
 @query(f"""WITH {_LOG}, m AS (SELECT model, count(*)::DOUBLE AS n, round(avg(value), 4) AS mean FROM log GROUP BY 1) SELECT model AS source, 'n' AS statistic, n AS value FROM m UNION ALL SELECT model, 'mean', mean FROM m""")

@@ -75,19 +75,12 @@ def title_subset_grades(spark, sf_dir):
     return rows.groupBy("product_in_offer", "offer_in_product").agg(F.sum("n").alias("n"))
 
 
-def _normalise_sql(column: str) -> str:
-    out = f"replace(lower({column}), ',', '.')"
-    for pattern, replacement in text.title_steps():
-        out = f"regexp_replace({out}, '{pattern.replace(chr(39), chr(39) * 2)}', '{replacement.replace('$', chr(92))}', 'g')"
-    stop = ", ".join(f"'{w}'" for w in dict.fromkeys(text.STOP_WORDS))
-    return f"list_filter(list_transform(string_split({out}, ' '), lambda w: trim(w, '{text.STRIPPED}')), lambda w: w <> '' AND NOT list_contains([{stop}], w))"
+#: A title with all that the normaliser takes out or joins; its SQL says from the columns what has to be left.
+_RAW = "'{{Note ' || p_partkey::VARCHAR || '}} ' || p_name || ' (' || p_brand || '), ' || p_size::VARCHAR || ' KG x ' || (p_size % 5)::VARCHAR || ' - ' || (p_size * 10)::VARCHAR || ',50 czk; exp. 1.2.2020 akce ' || p_size::VARCHAR || ' % lot' || p_size::VARCHAR || ',50dm, Žluťoučký ' || p_name || ' 2 * 3 * 4 cm za 30 dní'"
 
 
-_RAW = "p_name || ' (' || p_brand || '), ' || p_size::VARCHAR || ' kg x ' || (p_size % 5)::VARCHAR || ' - ' || (p_size * 10)::VARCHAR || ',50 czk'"
-
-
-@query(f"""WITH raw AS (SELECT {_RAW} AS t FROM part), w AS (SELECT {_normalise_sql('t')} AS words FROM raw),
-d AS (SELECT list_filter(words, lambda x, i: list_position(words, x) = i) AS words FROM w) SELECT array_to_string(words, ' ') AS title, count(*) AS n FROM d GROUP BY 1""")
+@query("""WITH w AS (SELECT list_concat(list_filter(string_split(lower(p_name), ' '), lambda x: x <> 'new'), [replace(lower(p_brand), '#', ''), p_size::VARCHAR || 'kgx' || (p_size % 5)::VARCHAR, 'lot', p_size::VARCHAR || '.5dm', 'zlutoucky', '2*3*4cm']) AS words FROM part)
+SELECT array_to_string(words, ' ') AS title, count(*) AS n FROM w GROUP BY 1""")
 def title_normalise(spark, sf_dir):
     raw = catalog.table(spark, sf_dir, "part").select(F.expr(_RAW.replace("::VARCHAR", "")).alias("t")).groupBy("t").agg(F.count("*").alias("_n"))
     return text.normalised(raw, "t").groupBy("title").agg(F.sum("_n").alias("n"))
