@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from offerloom.functions import special
+
 _TINY = 1e-7
 
 
@@ -27,22 +28,20 @@ def constant_outlier(low: Column, high: Column, price: Column, c: float = 1.25)
 
 def bartlett_statistic(n: Column, mean: Column, m2: Column, price: Column) -> Column:
     """Bartlett's statistic for equal variances of a sample (size, mean, sum of squared deviations) and the sample with
-    one price more. Null with fewer than two prices or a variance of zero."""
+    one price more. Null with fewer than two prices or where all are equal but for rounding."""
     m2_more = m2 + (price - mean) * (price - mean) * n / (n + 1)
     v1, v2 = m2 / (n - 1), m2_more / n
     free = 2 * n - 1
     pooled = (m2 + m2_more) / free
     top = free * F.log(pooled) - (n - 1) * F.log(v1) - n * F.log(v2)
     below = 1 + (1 / (n - 1) + 1 / n - 1 / free) / 3
-    return F.when((n >= 2) & (m2 > 0), top / below)
+    return F.when((n >= 2) & (m2 > 1e-9), top / below)
 
 
 @F.pandas_udf(DoubleType())
 def chi2_tail(t: pd.Series) -> pd.Series:
-    """P(chi-square of one degree of freedom > t) = erfc(sqrt(t / 2)); Spark has no erfc."""
-    from math import erfc, sqrt
-
-    return pd.Series([np.nan if x is None or np.isnan(x) else erfc(sqrt(max(x, 0.0) / 2)) for x in t])
+    """P(chi-square of one degree of freedom > t); Spark has no such function."""
+    return pd.Series(special.chi2_one_tail(t.to_numpy(dtype="float64")))
 
 
 def bartlett_p(n: Column, mean: Column, m2: Column, low: Column, high: Column, price: Column) -> Column:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from offerloom.functions import special
+
 Z95 = 1.959963984540054
 
 
@@ -26,24 +29,12 @@ def business_metrics(decisions: DataFrame, by: list[str] | None = None) -> DataF
 
 @F.pandas_udf(DoubleType())
 def rate_confidence(successes: pd.Series, n: pd.Series, bound: pd.Series) -> pd.Series:
-    """P(rate > bound) under a uniform prior: Beta(s + 1, n - s + 1) above the bound, as a binomial sum in log space.
-    For aggregated rows."""
-    import numpy as np
-
-    out = []
-    for s, m, p in zip(successes, n, bound):
-        if pd.isna(s) or pd.isna(m) or pd.isna(p):
-            out.append(None)
-        elif p <= 0 or p >= 1:
-            out.append(float(p <= 0))
-        else:
-            s, m = int(s), int(m)
-            k = np.arange(m + 2)
-            logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, m + 2)))])
-            terms = logs[m + 1] - logs[k] - logs[m + 1 - k] + k * np.log(p) + (m + 1 - k) * np.log1p(-p)
-            top = terms.max()
-            out.append(float(min(1.0, np.exp(terms[: s + 1] - top).sum() * np.exp(top))))
-    return pd.Series(out, dtype="float64")
+    """P(rate > bound) under a uniform prior: the tail of Beta(s + 1, n - s + 1), for whole columns at once."""
+    s, m, p = (x.astype("float64").to_numpy() for x in (successes, n, bound))
+    known = ~(np.isnan(s) | np.isnan(m) | np.isnan(p))
+    out = np.full(len(s), np.nan)
+    out[known] = special.beta_tail(s[known] + 1, m[known] - s[known] + 1, p[known])
+    return pd.Series(out).where(known, None).astype("float64")
 
 
 def rate_interval(successes: Column, n: Column, z: float = Z95) -> tuple[Column, Column]:
@@ -68,27 +59,41 @@ def threshold_steps() -> Column:
     return F.transform(F.sequence(F.lit(300), F.lit(995), F.lit(5)), lambda x: x / F.lit(1000.0))
 
 
+def _steps_up_to(x: Column) -> Column:
+    """How many thresholds are x or less; 0 for null. The quotient may be off by one, so its neighbours are looked at."""
+    steps, most = threshold_steps(), 140
+    k = F.least(F.greatest(F.floor((x - 0.3) / 0.005).cast("int"), F.lit(0)), F.lit(most - 1))
+    return F.when(x.isNull() | (x < 0.3), 0).when(F.get(steps, k) > x, k).when(F.get(steps, k + 1) <= x, k + 2).otherwise(k + 1)
+
+
 def threshold_sweep(pairs: DataFrame, offers: DataFrame) -> DataFrame:
     """(threshold, n, n_matched, n_correct, precision, matched_share): offers decided anew for each threshold.
 
     Takes pairs (offer_id, product_id, decision, score) where a null score keeps its decision, and offers (offer_id,
-    product_id). A pair with a score is yes from its score on, so per offer only the two highest scores and the fixed
-    decisions matter: one row per offer meets the thresholds, not one per pair."""
-    fixed_yes = F.col("score").isNull() & (F.col("decision") == "yes")
-    facts = pairs.groupBy("offer_id").agg(
-        F.count_if(fixed_yes).alias("yes"),
-        F.max("score").alias("top"),
-        F.max_by("product_id", F.struct("score", -F.col("product_id"))).alias("top_product"),
-        F.sort_array(F.collect_list("score"), asc=False).alias("_scores"),
-        F.min(F.when(fixed_yes, F.col("product_id"))).alias("yes_product"),
-    )
-    rows = offers.join(facts.withColumn("second", F.get("_scores", F.lit(1))).drop("_scores"), "offer_id", "left").withColumn("threshold", F.explode(threshold_steps()))
-    scored = (F.coalesce(F.col("top") >= F.col("threshold"), F.lit(False))).cast("int") + F.coalesce(F.col("second") >= F.col("threshold"), F.lit(False)).cast("int")
-    n_yes = F.coalesce("yes", F.lit(0)) + scored
-    chosen = F.when(F.col("yes") == 1, F.col("yes_product")).otherwise(F.col("top_product"))
-    rows = rows.select("threshold", (n_yes == 1).alias("matched"), ((n_yes == 1) & (chosen == F.col("product_id"))).alias("correct"))
-    out = rows.groupBy("threshold").agg(F.count("*").alias("n"), F.count_if("matched").alias("n_matched"), F.count_if("correct").alias("n_correct"))
-    return out.withColumns({"precision": F.when(F.col("n_matched") > 0, F.col("n_correct") / F.col("n_matched")), "matched_share": F.col("n_matched") / F.col("n")})
+    product_id). A pair with a score is yes from its score on, so an offer has just one yes on one interval of thresholds:
+    without a fixed yes from above its second score to its first, with one above its first score. An interval adds one at its
+    start and takes it away at its end; sums along the thresholds give the counts."""
+    place = F.row_number().over(Window.partitionBy("offer_id").orderBy(F.desc("score"), "product_id"))
+    two = pairs.filter("score is not null").select("offer_id", "product_id", "score", place.alias("_p")).filter("_p <= 2")
+    at = lambda k, c: F.max(F.when(F.col("_p") == k, F.col(c)))
+    scored = two.groupBy("offer_id").agg(at(1, "score").alias("top"), at(2, "score").alias("second"), at(1, "product_id").alias("top_product"))
+    fixed = pairs.filter("score is null and decision = 'yes'").groupBy("offer_id").agg(F.count("*").alias("yes"), F.min("product_id").alias("yes_product"))
+    rows = offers.join(scored, "offer_id", "left").join(fixed, "offer_id", "left").withColumn("yes", F.coalesce("yes", F.lit(0)))
+    steps = F.size(threshold_steps())
+    begin = F.when(F.col("yes") == 1, _steps_up_to(F.col("top"))).otherwise(_steps_up_to(F.col("second")))
+    end = F.when(F.col("yes") == 1, steps).when(F.col("yes") == 0, _steps_up_to(F.col("top"))).otherwise(0)
+    right = F.coalesce(F.when(F.col("yes") == 1, F.col("yes_product")).otherwise(F.col("top_product")) == F.col("product_id"), F.lit(False)).cast("int")
+    rows = rows.select(begin.alias("begin"), end.alias("end"), right.alias("right")).withColumn("any", F.col("begin") < F.col("end"))
+    moves = F.array(F.struct(F.col("begin").alias("step"), F.lit(1).alias("by"), F.col("right").alias("right")), F.struct(F.col("end").alias("step"), F.lit(-1).alias("by"), (-F.col("right")).alias("right")))
+    none = F.array(F.struct(F.lit(0).alias("step"), F.lit(0).alias("by"), F.lit(0).alias("right")))
+    # a row for each place where intervals begin or end: 141 at most, whatever the number of offers
+    sums = rows.select(F.inline(F.when(F.col("any"), moves).otherwise(none))).groupBy("step").agg(F.sum("by").alias("by"), F.sum("right").alias("right"))
+    n = offers.agg(F.count("*").alias("n"))
+    grid = offers.sparkSession.range(1).select(F.posexplode(threshold_steps()).alias("step", "threshold")).join(sums, "step", "left")
+    along = Window.orderBy("step")
+    total = lambda c: F.coalesce(F.sum(c).over(along), F.lit(0))
+    out = grid.select("threshold", total("by").alias("n_matched"), total("right").alias("n_correct")).join(F.broadcast(n))
+    return out.select("threshold", "n", "n_matched", "n_correct", F.when(F.col("n_matched") > 0, F.col("n_correct") / F.col("n_matched")).alias("precision"), (F.col("n_matched") / F.col("n")).alias("matched_share"))
 
 
 def best_threshold(sweep: DataFrame, weights: int = 91) -> DataFrame:

@@ -73,11 +73,10 @@ def leave_one_out_prices(offers: DataFrame, keys: tuple[str, ...] = ("product_id
     by = list(keys)
     facts = offers.groupBy(*by).agg(
         F.count("price").alias("_n"),
-        F.sum("price").alias("_s"),
-        F.sum(F.col("price") * F.col("price")).alias("_q"),
+        F.avg("price").alias("_mean"),
+        F.var_pop("price").alias("_var"),
         F.min("price").alias("_min"),
         F.max("price").alias("_max"),
-        F.count_if(F.col("price").isNotNull()).alias("_c"),
     )
     rows = offers.join(facts, by)
     edges = rows.groupBy(*by).agg(
@@ -87,15 +86,17 @@ def leave_one_out_prices(offers: DataFrame, keys: tuple[str, ...] = ("product_id
         F.count_if(F.col("price") == F.col("_max")).alias("_at_max"),
     )
     rows = rows.join(edges, by)
-    p, n = F.col("price"), F.col("_n") - 1
-    mean = F.when(n > 0, (F.col("_s") - p) / n)
+    # a price is taken out of the mean and of the squared deviations from it, which doesn't cancel at high prices
+    p, n = F.col("price"), F.col("_n") - F.col("price").isNotNull().cast("int")
+    off = F.coalesce(p - F.col("_mean"), F.lit(0.0))
+    mean = F.when(n > 0, F.col("_mean") - off / n)
     return rows.withColumns({
         "others_n": n,
         "others_mean": mean,
-        "others_m2": F.when(n > 0, F.greatest(F.col("_q") - p * p - n * mean * mean, F.lit(0.0))),
+        "others_m2": F.when(n > 0, F.greatest(F.col("_var") * F.col("_n") - off * off * F.col("_n") / n, F.lit(0.0))),
         "others_low": F.when((p == F.col("_min")) & (F.col("_at_min") == 1), F.col("_min2")).when(n > 0, F.col("_min")),
         "others_high": F.when((p == F.col("_max")) & (F.col("_at_max") == 1), F.col("_max2")).when(n > 0, F.col("_max")),
-    }).drop("_n", "_s", "_q", "_min", "_max", "_c", "_min2", "_max2", "_at_min", "_at_max")
+    }).drop("_n", "_mean", "_var", "_min", "_max", "_min2", "_max2", "_at_min", "_at_max")
 
 
 def attribute_agreement(pairs: DataFrame, offer_attributes: DataFrame, product_attributes: DataFrame) -> DataFrame:

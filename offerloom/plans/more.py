@@ -122,7 +122,7 @@ def problem_rows(spark, sf_dir):
     return monitoring.problem_rows(rows).select("version", "offer_id", "product_id", "decision")
 
 
-@query(f"""WITH {PAIRS}, c AS (SELECT offer_id, category, product_id, 1.0::DOUBLE AS share FROM named WHERE product_id = current), l AS (SELECT n.offer_id, n.product_id FROM named n JOIN c USING (offer_id) JOIN products p ON p.product_id = n.product_id WHERE c.category > 'D' AND p.category > 'D') SELECT offer_id, product_id FROM l""")
+@query(f"""WITH {OFFERS} SELECT o.offer_id, p.product_id FROM (SELECT offer_id, category, unnest([product_id, product_id + 1, product_id + 7]) AS product_id FROM offers) o JOIN products p USING (product_id) WHERE o.category > 'D' AND p.category > 'D'""")
 def without_long_tail(spark, sf_dir):
     p = catalog.products(spark, sf_dir).select("product_id", "category")
     rows = base.pairs(spark, sf_dir).select("offer_id", "product_id", F.col("category").alias("own")).join(p, "product_id")

@@ -28,17 +28,22 @@ def price_outlier_constant(spark, sf_dir):
 
 
 @query(f"""WITH {OFFERS}, {OTHERS}, v AS (SELECT offer_id, n, m2 / (n - 1) AS v1, (m2 + (price - mean) ** 2 * n / (n + 1)) / n AS v2, m2, 2 * n - 1 AS free FROM offers JOIN others USING (offer_id) WHERE n >= 2)
-SELECT offer_id, round((free * ln(((n - 1) * v1 + n * v2) / free) - (n - 1) * ln(v1) - n * ln(v2)) / (1 + (1.0::DOUBLE / (n - 1) + 1.0::DOUBLE / n - 1.0::DOUBLE / free) / 3), 3) AS statistic FROM v WHERE m2 > 1e-6""")
+SELECT offer_id, round((free * ln(((n - 1) * v1 + n * v2) / free) - (n - 1) * ln(v1) - n * ln(v2)) / (1 + (1.0::DOUBLE / (n - 1) + 1.0::DOUBLE / n - 1.0::DOUBLE / free) / 3), 3) AS statistic FROM v WHERE m2 > 1e-9""")
 def price_outlier_bartlett_stat(spark, sf_dir):
-    rows = _with_others(spark, sf_dir).filter("others_n >= 2 and others_m2 > 1e-6")
+    rows = _with_others(spark, sf_dir).filter("others_n >= 2 and others_m2 > 1e-9")
     t = prices.bartlett_statistic(F.col("others_n"), F.col("others_mean"), F.col("others_m2"), F.col("price"))
     return rows.select("offer_id", F.round(t, 3).alias("statistic"))
 
 
-@query()
+@query(f"""WITH {OFFERS}, {OTHERS}, v AS (SELECT offer_id, price, low, high, n, m2 / (n - 1) AS v1, (m2 + (price - mean) ** 2 * n / (n + 1)) / n AS v2, m2, 2 * n - 1 AS free FROM offers JOIN others USING (offer_id)),
+s AS (SELECT *, CASE WHEN n >= 2 AND m2 > 1e-9 THEN greatest(0, (free * ln(((n - 1) * v1 + n * v2) / free) - (n - 1) * ln(v1) - n * ln(v2)) / (1 + (1.0::DOUBLE / (n - 1) + 1.0::DOUBLE / n - 1.0::DOUBLE / free) / 3)) END AS t FROM v),
+x AS (SELECT *, sqrt(t / 2) AS x FROM s)
+SELECT offer_id, round(CASE WHEN price BETWEEN low AND high OR x IS NULL OR x = 0 THEN 1 WHEN x > 6 THEN 0
+  ELSE 1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 250), lambda k: exp(2 * k * ln(2) + (2 * k + 1) * ln(x) - lgamma(2 * k + 2) + lgamma(k + 1) - x * x))) END, 6) AS p_value FROM x""")
 def price_outlier_bartlett_p(spark, sf_dir):
     rows = _with_others(spark, sf_dir)
-    return rows.select("offer_id", prices.bartlett_p(F.col("others_n"), F.col("others_mean"), F.col("others_m2"), F.col("others_low"), F.col("others_high"), F.col("price")).alias("p_value"))
+    p = prices.bartlett_p(F.col("others_n"), F.col("others_mean"), F.col("others_m2"), F.col("others_low"), F.col("others_high"), F.col("price"))
+    return rows.select("offer_id", F.round(p, 6).alias("p_value"))
 
 
 @query(f"""WITH {OFFERS} SELECT o.category, {SIMILARITY.format(a='p.name', b='o.name')}::DOUBLE AS name_similarity, count(*) AS n FROM offers o JOIN products p USING (product_id) GROUP BY 1, 2""")

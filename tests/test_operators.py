@@ -264,3 +264,38 @@ def test_stream_retries_and_uniqueness(spark, tmp_path):
     once = streaming.once_each(streaming.read_stream(spark, str(tmp_path / "in"), rows.schema))
     streaming.run_batches(once.withColumn("topic", F.lit("t")), lambda b: b, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert sorted(r.offer_id for r in spark.read.option("basePath", str(tmp_path / "out")).parquet(str(tmp_path / "out/batch=*")).collect()) == [1, 2]
+
+
+def test_special_functions():
+    from math import comb, erfc, sqrt
+
+    import numpy as np
+
+    from offerloom.functions import special
+
+    t = np.array([0.0, 1e-9, 0.01, 0.5, 1.0, 3.84, 12.0, 12.6, 40.0, 300.0])
+    assert np.allclose(special.chi2_one_tail(t), [erfc(sqrt(x / 2)) for x in t], rtol=1e-9, atol=1e-15)
+    cases = [(s, n, p) for n in (0, 1, 5, 40) for s in range(0, n + 1, max(1, n // 5)) for p in (0.0, 0.01, 0.3, 0.5, 0.97, 1.0)]
+    want = [1.0 if p <= 0 else sum(comb(n + 1, k) * p**k * (1 - p) ** (n + 1 - k) for k in range(s + 1)) if p < 1 else 0.0 for s, n, p in cases]
+    s, n, p = (np.array(x, float) for x in zip(*cases))
+    assert np.allclose(special.beta_tail(s + 1, n - s + 1, p), want, rtol=1e-9, atol=1e-12)
+    # a billion matches need no more memory than one
+    many = special.beta_tail(np.array([9e8 + 1]), np.array([1e8 + 1]), np.array([0.9]))
+    assert abs(many[0] - 0.5) < 1e-3
+
+
+def test_prices_far_from_zero(spark):
+    from pyspark.sql import functions as F
+
+    from offerloom.operators import features
+
+    prices = [1e8 + d for d in (0.0, 0.01, 0.02, 0.03, 0.04)]
+    df = spark.createDataFrame([(k, 1, p) for k, p in enumerate(prices)] + [(9, 1, None), (10, 2, 5.0)], "offer_id long, product_id long, price double")
+    got = {r.offer_id: r for r in features.leave_one_out_prices(df).collect()}
+    for k in range(5):
+        others = [p for j, p in enumerate(prices) if j != k]
+        mean = sum(p - 1e8 for p in others) / 4
+        m2 = sum((p - 1e8 - mean) ** 2 for p in others)
+        assert got[k].others_n == 4 and abs(got[k].others_mean - 1e8 - mean) < 1e-6 and abs(got[k].others_m2 - m2) < 1e-6 * 1e-1
+        assert got[k].others_low == min(others) and got[k].others_high == max(others)
+    assert got[9].others_n == 5 and got[9].others_low == prices[0] and got[10].others_n == 0 and got[10].others_mean is None
