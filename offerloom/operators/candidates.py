@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,3 +120,41 @@ def paired_rank(candidates: DataFrame, offers: DataFrame) -> DataFrame:
     names = [r.source for r in sources.collect()]  # as many rows as sources
     every = offers.select("offer_id", F.explode(F.array(*map(F.lit, names))).alias("source"))
     return every.join(found, ["offer_id", "source"], "left").groupBy("source", F.coalesce("place", F.lit(-1)).alias("rank")).agg(F.count("*").alias("n"))
+
+
+def candidate_lists(candidates: DataFrame) -> DataFrame:
+    """(offer_id, by_source, all_products) from (offer_id, product_id, source): products of each source in order, and their union.
+    An offer has as many candidates as its sources give at most."""
+    each = candidates.groupBy("offer_id", "source").agg(F.sort_array(F.collect_set("product_id")).alias("products"))
+    lists = each.groupBy("offer_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("source", "products")))).alias("by_source"))
+    return lists.withColumn("all_products", F.sort_array(F.array_distinct(F.flatten(F.map_values("by_source")))))
+
+
+def still_missing(candidates: DataFrame, products: DataFrame) -> DataFrame:
+    """Candidate products whose data the catalogue hasn't got yet, once each."""
+    return candidates.select("product_id").distinct().join(products.select("product_id"), "product_id", "left_anti")
+
+
+def present(candidates: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(candidates whose product is still in the catalogue, (offer_id, n, n_left) before and after)."""
+    marked = candidates.join(products.select("product_id", F.lit(True).alias("_there")).distinct(), "product_id", "left")
+    counts = marked.groupBy("offer_id").agg(F.count("*").alias("n"), F.count("_there").alias("n_left"))
+    return marked.filter("_there").drop("_there"), counts
+
+
+#: Named sources of candidates: functions that give (offer_id, product_id, source, distance or relevance).
+SOURCES: dict[str, Callable[..., DataFrame]] = {}
+
+
+def source(name: str):
+    """Registers a source of candidates."""
+    def add(f: Callable[..., DataFrame]):
+        SOURCES[name] = f
+        return f
+
+    return add
+
+
+def retrieved(names: list[str], *arguments) -> DataFrame:
+    """Candidates of the named sources, merged."""
+    return merged([(name, SOURCES[name](*arguments)) for name in names])

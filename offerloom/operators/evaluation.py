@@ -173,3 +173,68 @@ def assigned_clusters(rows: DataFrame) -> DataFrame:
     counts = counts.withColumn("share", F.col("n") / F.sum("n").over(w))
     counts = counts.withColumns({"lead": F.coalesce(F.col("share") - F.lead("share").over(order), F.lit(1.0)), "_p": F.row_number().over(order)})
     return counts.filter("_p = 1").drop("_p")
+
+
+#: Decisions in the order of reports.
+REPORT_ORDER = ("yes", "unknown", "no", "invalid", "failed")
+
+
+def report_place(decision: Column) -> Column:
+    """Place of a decision in reports, from 1; others come last. For orderBy."""
+    at = F.array_position(F.array(*map(F.lit, REPORT_ORDER)), decision)
+    return F.when(at > 0, at).otherwise(len(REPORT_ORDER) + 1).cast("int")
+
+
+def common_items(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Items of both sets; an error if there are none, as nothing could be compared."""
+    both = a.intersect(b)
+    if both.isEmpty():
+        raise ValueError("the two sets have no item in common")
+    return both
+
+
+def cell_rows(a: DataFrame, b: DataFrame, decision_a: str, decision_b: str) -> DataFrame:
+    """The pairs (offer_id, product_id, decision, final_decision) of both runs behind one cell of their comparison, with `side`."""
+    cell = compared(*(x.select("offer_id", "final_decision").distinct() for x in (a, b))).filter((F.col("decision_a") == decision_a) & (F.col("decision_b") == decision_b)).select("offer_id")
+    sides = [x.join(cell, "offer_id", "left_semi").withColumn("side", F.lit(name)) for name, x in (("a", a), ("b", b))]
+    return sides[0].unionByName(sides[1])
+
+
+def pr_summary(points: DataFrame) -> DataFrame:
+    """(area, best_f1, best_score) of pr_points(): area by trapezoids from recall 0 at the first precision on; the highest score
+    with the best F1. Neighbours are found inside ranges of recall, which then meet in one row each."""
+    rows = points.withColumn("_b", F.floor(F.col("recall") * 1000).cast("int"))
+    order = Window.partitionBy("_b").orderBy(F.desc("score"))
+    inner = rows.withColumns({"_r": F.lag("recall").over(order), "_p": F.lag("precision").over(order)})
+    part = F.coalesce((F.col("recall") - F.col("_r")) * (F.col("precision") + F.col("_p")) / 2, F.lit(0.0))
+    ends = lambda by: by(F.struct("recall", "precision"), "score")
+    ranges = inner.groupBy("_b").agg(F.sum(part).alias("area"), ends(F.max_by).alias("first"), ends(F.min_by).alias("last"), F.max(F.struct("f1", "score")).alias("best"))  # 1001 rows at most
+    before = F.lag("last").over(Window.orderBy("_b"))
+    start = F.coalesce(before, F.struct(F.lit(0.0).alias("recall"), F.col("first.precision").alias("precision")))
+    ranges = ranges.withColumn("start", start)
+    joint = (F.col("first.recall") - F.col("start.recall")) * (F.col("first.precision") + F.col("start.precision")) / 2
+    return ranges.agg(F.sum(F.col("area") + joint).alias("area"), F.max("best").alias("best")).select("area", F.col("best.f1").alias("best_f1"), F.col("best.score").alias("best_score"))
+
+
+def characteristic_titles(rows: DataFrame, words: DataFrame, share: float = 0.75) -> tuple[DataFrame, DataFrame]:
+    """(rows whose number of their category's characteristic words reaches the category's quantile, counts before and after).
+
+    rows: key, category, words (array); words: (category, word), few for each category."""
+    known = words.groupBy("category").agg(F.collect_set("word").alias("_known"))
+    counted = rows.join(F.broadcast(known), "category", "left").withColumn("n_characteristic", F.coalesce(F.size(F.array_intersect("words", "_known")), F.lit(0))).drop("_known")
+    # few different counts for each category, so the quantile is taken over them and their frequencies
+    limits = counted.groupBy("category", "n_characteristic").agg(F.count("*").alias("n")).groupBy("category").agg(F.percentile("n_characteristic", share, F.col("n")).alias("least"), F.sum("n").alias("n_before"))
+    kept = counted.join(F.broadcast(limits), "category").filter(F.col("n_characteristic") >= F.col("least"))
+    after = kept.groupBy("category").agg(F.count("*").alias("n_after"))
+    return kept.drop("least", "n_before"), limits.join(after, "category", "left").select("category", "least", "n_before", F.coalesce("n_after", F.lit(0)).alias("n_after"))
+
+
+def cluster_summary(rows: DataFrame) -> DataFrame:
+    """(k, cluster, n_products, n_categories, share) from (k, cluster, product_id, category)."""
+    sums = rows.groupBy("k", "cluster").agg(F.count("*").alias("n_products"), F.countDistinct("category").alias("n_categories"))
+    return sums.withColumn("share", F.col("n_products") / F.sum("n_products").over(Window.partitionBy("k")))
+
+
+def evaluated_for_models(evaluated: DataFrame, matched: DataFrame, models: list[str]) -> DataFrame:
+    """Matches that people have evaluated, beside the matched offers (offer_id, model) of some models."""
+    return evaluated.join(matched.filter(F.col("model").isin(models)), "offer_id")

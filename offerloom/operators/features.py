@@ -99,6 +99,19 @@ def leave_one_out_prices(offers: DataFrame, keys: tuple[str, ...] = ("product_id
     }).drop("_n", "_mean", "_var", "_min", "_max", "_min2", "_max2", "_at_min", "_at_max")
 
 
+def others_have(pairs: DataFrame, offers: DataFrame, column: str, out: str) -> DataFrame:
+    """pairs (offer_id, product_id, current, `column`) with `out`: whether another offer of the product has the pair's value, and
+    `<out>_known`: whether another offer has any. The offer's own value doesn't count for its own product.
+
+    Counts of values and of a product's offers say that, so no list is built for a product with very many offers."""
+    values = offers.filter(F.col(column).isNotNull()).groupBy("product_id", column).agg(F.count("*").alias("_same"))
+    known = values.groupBy("product_id").agg(F.sum("_same").alias("_any"))
+    own = ((F.col("product_id") == F.col("current")) & F.col(column).isNotNull()).cast("int")
+    rows = pairs.join(values, ["product_id", column], "left").join(known, "product_id", "left")
+    more = lambda c: (F.coalesce(F.col(c), F.lit(0)) - own > 0).cast("int")
+    return rows.withColumns({out: more("_same"), f"{out}_known": more("_any")}).drop("_same", "_any")
+
+
 def attribute_agreement(pairs: DataFrame, offer_attributes: DataFrame, product_attributes: DataFrame) -> DataFrame:
     """pairs with n_common, n_matched, any_common and matched_ratio over attributes (key, name, value) of both sides."""
     a = offer_attributes.groupBy("offer_id", "name").agg(F.collect_set("value").alias("_va"))

@@ -106,3 +106,24 @@ def live_windows(events: DataFrame, minutes: int, labels: list[str], time_col: s
 
 def latest_per_offer(log: DataFrame) -> DataFrame:
     return log.withColumn("_p", F.row_number().over(Window.partitionBy("offer_id").orderBy(F.desc("time"), "event_id"))).filter("_p = 1").drop("_p")
+
+
+def samples_per_model(log: DataFrame) -> DataFrame:
+    return log.groupBy("model").agg(F.count("*").alias("n_samples"))
+
+
+def product_rows(products: DataFrame, provenance: DataFrame, categories: DataFrame, offers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(products with where they come from and their category's flags, offers with name, category and slug of their product).
+    Categories are few and broadcast."""
+    full = products.join(provenance, "product_id", "left").join(F.broadcast(categories), "category", "left")
+    current = products.select("product_id", F.col("name").alias("product_name"), F.col("category").alias("product_category"), F.col("slug").alias("product_slug"))
+    return full, offers.join(current, "product_id", "left")
+
+
+def replayed(evaluated: DataFrame, current: DataFrame, model: str) -> DataFrame:
+    """Messages (offer_id, topic, message) of matches (offer_id, product_id) that people have confirmed and that differ from the
+    current pairing (offer_id, product_id), or have none."""
+    now = current.select("offer_id", F.col("product_id").alias("_now"))
+    rows = evaluated.filter("product_id is not null").join(now, "offer_id", "left").filter(~F.col("product_id").eqNullSafe(F.col("_now")))
+    body = F.struct(F.col("offer_id").cast("string").alias("id"), F.lit("yes").alias("final_decision"), F.col("product_id").alias("final_product"), F.lit(model).alias("model"))
+    return rows.select("offer_id", F.lit("matched").alias("topic"), F.to_json(body).alias("message"))

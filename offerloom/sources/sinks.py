@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,11 @@ def long_metrics(metrics: DataFrame, source: str) -> DataFrame:
 def write_flat(comparisons: DataFrame, path: str) -> None:
     """Item x candidate rows as tab-separated text."""
     comparisons.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
+
+
+def read_topics(spark: SparkSession, path: str, schema: str, progress: str, out: str) -> DataFrame:
+    """All messages of topic folders from the first on, read as a stream until nothing is left. `progress` keeps what has been read,
+    so a second call adds only what is new to `out`."""
+    stream = spark.readStream.schema(f"{schema}, topic string").json(path)
+    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)

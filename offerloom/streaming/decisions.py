@@ -42,6 +42,25 @@ def run_batches(stream: DataFrame, decide: Callable[[DataFrame], DataFrame], out
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def run_routed(stream: DataFrame, routes: Callable[[], DataFrame], decide: Callable[[DataFrame], DataFrame], catalogue: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """The decision flow with its branches. Each micro-batch reads the routes (category, model) anew, so that a change of routes
+    holds from the next batch on. Offers that the catalogue hasn't got are acknowledged (`not-found`); offers of categories
+    without a model are `unsupported`; the others are decided (offer_id, topic); what `decide` gives no row for is queued again
+    (`retry`). A batch that is repeated replaces its own folder."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        found, unknown = split_batch(batch, catalogue)
+        routed = found.join(routes(), "category", "left")
+        supported = routed.filter("model is not null")
+        decided = decide(supported).select("offer_id", "topic")
+        left = supported.select("offer_id").join(decided.select("offer_id"), "offer_id", "left_anti")
+        parts = [decided, *(rows.select("offer_id", F.lit(name).alias("topic")) for rows, name in ((routed.filter("model is null"), "unsupported"), (unknown, "not-found"), (left, "retry")))]
+        rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+        rows.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/batch={number}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def live_counts(events: DataFrame, labels: list[str], minutes: int = 60, late: int = MINUTES, time_col: str = "ts") -> DataFrame:
     rows = events.withWatermark(time_col, f"{late} minutes").groupBy(F.window(time_col, f"{minutes} minutes").alias("w"), *labels)
     return rows.agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *labels, "n")
