@@ -69,9 +69,11 @@ def inverted_dictionary(entries: DataFrame, numeric: Column | None = None) -> Da
     """(category, value, names, synonyms) from (category, name, group_id, value): what a value may name, and the other values
     of its groups. Numeric values are left out."""
     rows = entries.filter(~numeric) if numeric is not None else entries
-    other = rows.select("category", "name", "group_id", F.col("value").alias("synonym"))
-    both = rows.join(other, ["category", "name", "group_id"])
-    return both.groupBy("category", "value").agg(F.sort_array(F.collect_set("name")).alias("names"), F.sort_array(F.collect_set("synonym")).alias("synonyms"))
+    # a group's values are gathered once and meet each of them, not each pair of them
+    keys = ["category", "name", "group_id"]
+    groups = rows.groupBy(*keys).agg(F.collect_set("value").alias("_group"))
+    both = rows.select(*keys, "value").distinct().join(groups, keys)
+    return both.groupBy("category", "value").agg(F.sort_array(F.collect_set("name")).alias("names"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("_group")))).alias("synonyms"))
 
 
 def longest_values(entries: DataFrame) -> DataFrame:

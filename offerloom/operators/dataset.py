@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,11 +28,28 @@ def top_offers(offers: DataFrame, n: int, order: str = "n_candidates") -> DataFr
     return offers.withColumn("place", place).filter(F.col("place") <= n)
 
 
+def first_by_hash(rows: DataFrame, by: list[str], key: list[str], seed: int, take: Callable[[Column], Column]) -> DataFrame:
+    """rows with `chosen`: whether a row is among the first take(n) of the n rows of its group, in the order of a seeded hash.
+
+    A group's rows are counted in 4096 ranges of the hash; ranges that are taken or left as a whole need no order, and only
+    the one range where the number runs out is sorted. So a group of any size is spread over tasks."""
+    hashed = rows.withColumn("_h", seeded(seed, *key)).withColumn("_range", F.substring("_h", 1, 3))
+    counts = hashed.groupBy(*by, "_range").agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(*by)
+    before = F.coalesce(F.sum("_c").over(w.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = counts.withColumns({"_before": before, "_take": take(F.sum("_c").over(w))})
+    marked = hashed.join(ranges.withColumnsRenamed({c: f"_by_{c}" for c in by}).withColumnRenamed("_range", "_r"), [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by] + [F.col("_range") == F.col("_r")])
+    edge = (F.col("_before") < F.col("_take")) & (F.col("_before") + F.col("_c") > F.col("_take"))
+    whole = marked.filter(~edge).withColumn("chosen", F.col("_before") < F.col("_take"))
+    place = F.row_number().over(Window.partitionBy(*by, "_range").orderBy("_h", *key))
+    split = marked.filter(edge).withColumn("chosen", place + F.col("_before") <= F.col("_take"))
+    return whole.unionByName(split).select(*rows.columns, "chosen")
+
+
 def sampled_products(products: DataFrame, share: float, seed: int) -> DataFrame:
     """A share of each category's products, at least one."""
-    w = Window.partitionBy("category")
-    rows = products.withColumns({"_p": F.row_number().over(w.orderBy(seeded(seed, "product_id"), "product_id")), "_n": F.count("*").over(w)})
-    return rows.filter(F.col("_p") <= F.greatest(F.lit(1), F.floor(F.col("_n") * share))).drop("_p", "_n")
+    rows = first_by_hash(products, ["category"], ["product_id"], seed, lambda n: F.greatest(F.lit(1), F.floor(n * share)))
+    return rows.filter("chosen").drop("chosen")
 
 
 def grouped_holdout(offers: DataFrame, train_share: float, most: int, seed: int, preceding: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -38,18 +57,15 @@ def grouped_holdout(offers: DataFrame, train_share: float, most: int, seed: int,
     that they touch leaves training. Earlier test offers stay test offers and aren't drawn."""
     kept = offers.join(preceding.select("offer_id").distinct(), "offer_id", "left_semi") if preceding is not None else offers.limit(0)
     free = offers.join(kept.select("offer_id"), "offer_id", "left_anti") if preceding is not None else offers
-    counts = free.groupBy("category").agg(F.least(F.floor(F.count("*") * F.round(F.lit(1 - train_share), 9)), F.lit(most)).alias("_take"))
-    place = F.row_number().over(Window.partitionBy("category").orderBy(seeded(seed, "offer_id"), "offer_id"))
-    drawn = free.withColumn("_p", place).join(counts, "category").filter(F.col("_p") <= F.col("_take")).select(offers.columns)
-    test = drawn.unionByName(kept.select(offers.columns))
+    drawn = first_by_hash(free, ["category"], ["offer_id"], seed, lambda n: F.least(F.floor(n * F.round(F.lit(1 - train_share), 9)), F.lit(most)))
+    test = drawn.filter("chosen").select(offers.columns).unionByName(kept.select(offers.columns))
     return test, offers.join(test.select("product_id").distinct(), "product_id", "left_anti")
 
 
 def stratified_split(rows: DataFrame, strata: list[str], share: float, seed: int, key: list[str]) -> DataFrame:
     """rows with `part`: `first` for a share of each stratum, else `second`."""
-    w = Window.partitionBy(*strata)
-    rows = rows.withColumns({"_p": F.row_number().over(w.orderBy(seeded(seed, *key), *key)), "_n": F.count("*").over(w)})
-    return rows.withColumn("part", F.when(F.col("_p") <= F.round(F.col("_n") * share), "first").otherwise("second")).drop("_p", "_n")
+    rows = first_by_hash(rows, strata, key, seed, lambda n: F.round(n * share))
+    return rows.withColumn("part", F.when(F.col("chosen"), "first").otherwise("second")).drop("chosen")
 
 
 def augmented(rows: DataFrame, label: str = "label", least: int = 6, least_each: int = 2) -> DataFrame:

@@ -137,9 +137,10 @@ def dominant_values(df: DataFrame, columns: list[str], most: float = 0.99) -> Da
     """(feature, value, share, constant): the most frequent value of each discrete feature; ties by the value."""
     rows = df.select(*(F.col(c).cast("string").alias(c) for c in columns)).unpivot([], columns, "feature", "value")
     counts = rows.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("feature")
-    counts = counts.withColumns({"share": F.col("n") / F.sum("n").over(w), "_p": F.row_number().over(w.orderBy(F.desc("n"), F.asc_nulls_last("value")))})
-    return counts.filter("_p = 1").select("feature", "value", "share", (F.col("share") >= most).alias("constant"))
+    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("value").isNull().alias("null"), "value"))
+    out = counts.groupBy("feature").agg(best.alias("best"), F.sum("n").alias("all"))
+    share = -F.col("best.n") / F.col("all")
+    return out.select("feature", F.col("best.value").alias("value"), share.alias("share"), (share >= most).alias("constant"))
 
 
 def class_weight(labels: DataFrame, column: str = "label") -> DataFrame:

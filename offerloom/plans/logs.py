@@ -3,25 +3,16 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.functions import text
 from offerloom.operators import candidates, corpus, decisions, evaluation, models, monitoring, stems
-from offerloom.plans.base import ORACLES, PRODUCTS, query
+from offerloom.plans.base import PRODUCTS, query
 from offerloom.sources import catalog
 from offerloom.sources.scratch import shared_path
 from offerloom.streaming import decisions as streaming
 
-def _ascii_words() -> Column:
-    return F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")
-
-
-def _any_script(sql: str) -> str:
-    """The SQL of a query over a-z words, over words of any script."""
-    return sql.replace("[^a-z]+", text.BETWEEN_WORDS)
-
-
 _NEAR = """WITH d AS (SELECT q.vec_id AS query_id, v.vec_id AS vector_id, v.label, q.label AS own, list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) ** 2 AS distance
   FROM embeddings q, embeddings v WHERE q.vec_id % 50 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vector_id) AS place FROM d), near AS (SELECT * FROM r WHERE place <= 10)"""
 
@@ -42,19 +33,13 @@ def knn_l2(spark, sf_dir):
     return _near(spark, sf_dir).select("query_id", "vector_id", F.round("distance", 3).alias("distance"), F.col("place").cast("long").alias("place"))
 
 
-@query("""WITH q AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '')) AS words FROM benchmark),
-d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '') AS words FROM documents), s AS (SELECT count(*) AS n, avg(len(words)) AS mean FROM d),
+@query("""WITH q AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), lambda w: w <> '')) AS words FROM benchmark),
+d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), lambda w: w <> '') AS words FROM documents), s AS (SELECT count(*) AS n, avg(len(words)) AS mean FROM d),
 w AS (SELECT item_id, unnest(words) AS word FROM q), p AS (SELECT doc_id, len(words) AS length, unnest(words) AS word FROM d),
 t AS (SELECT word, doc_id, length, count(*) AS tf FROM p WHERE word IN (SELECT word FROM w) GROUP BY ALL), f AS (SELECT word, count(*) AS df FROM t GROUP BY 1),
 x AS (SELECT item_id, doc_id, sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / mean))) AS relevance FROM t JOIN f USING (word) JOIN w USING (word), s GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(relevance, 9) DESC, doc_id) AS place FROM x) SELECT item_id AS query_id, doc_id AS text_id, round(relevance, 4) AS relevance, place FROM r WHERE place <= 5""")
 def token_candidates(spark, sf_dir):
-    """Over a-z words, as its SQL says; token_candidates_any_script takes all words."""
-    return _token_candidates(spark, sf_dir, _ascii_words())
-
-
-@query(_any_script(ORACLES["token_candidates"]))
-def token_candidates_any_script(spark, sf_dir):
     return _token_candidates(spark, sf_dir, text.any_script_words(F.col("text")))
 
 
@@ -100,19 +85,13 @@ def merged_candidates(spark, sf_dir):
     return rows.select("offer_id", "product_id", F.array_join("sources", "|").alias("sources"), F.round("distance", 3).alias("distance"), "relevance")
 
 
-_WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '')"
+_WORDS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), lambda w: w <> '')"
 
 
 @query(f"""WITH t AS (SELECT {_WORDS} AS w FROM documents), s AS (SELECT unnest(w) AS word FROM t), c AS (SELECT word, count(*) AS n FROM s GROUP BY 1), g AS (SELECT unnest(list_zip(w[:-2], w[2:])) AS p FROM t WHERE len(w) > 1),
 b AS (SELECT p[1] AS first, p[2] AS second, count(*) AS n FROM g GROUP BY 1, 2 HAVING count(*) >= 10), x AS (SELECT first, second, b.n, log2(b.n * (SELECT sum(n) FROM c)::DOUBLE / (u.n * v.n::DOUBLE)) AS pmi FROM b JOIN c u ON u.word = first JOIN c v ON v.word = second)
 SELECT first, second, n, round(pmi, 5) AS pmi FROM x WHERE pmi > 4""")
 def collocations_pmi(spark, sf_dir):
-    """Over a-z words, as its SQL says; collocations_any_script takes all words."""
-    return _collocations(spark, sf_dir, _ascii_words())
-
-
-@query(_any_script(ORACLES["collocations_pmi"]))
-def collocations_any_script(spark, sf_dir):
     return _collocations(spark, sf_dir, text.any_script_words(F.col("text")))
 
 
@@ -122,12 +101,6 @@ def _collocations(spark: SparkSession, sf_dir: str, words: Column) -> DataFrame:
 
 @query(f"""WITH t AS (SELECT lang, unnest({_WORDS}) AS word FROM documents), c AS (SELECT lang AS category, word, count(*) AS n FROM t GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, word) AS place FROM c) SELECT category, word, n, place FROM r WHERE place <= 25""")
 def characteristic_words(spark, sf_dir):
-    """Over a-z words, as its SQL says; characteristic_words_any_script takes all words."""
-    return _characteristic_words(spark, sf_dir, _ascii_words())
-
-
-@query(_any_script(ORACLES["characteristic_words"]))
-def characteristic_words_any_script(spark, sf_dir):
     return _characteristic_words(spark, sf_dir, text.any_script_words(F.col("text")))
 
 
@@ -269,9 +242,9 @@ def stream_decisions(spark, sf_dir):
 
 
 def _stream_folder(spark: SparkSession, sf_dir: str) -> str:
-    """The event table dealt over some files, as a stream's source folder."""
+    """The event table as a stream's source folder."""
     folder = shared_path(spark, "source")
-    catalog.table(spark, sf_dir, "events").repartition(4, "event_id").write.parquet(folder)
+    catalog.table(spark, sf_dir, "events").write.parquet(folder)
     return folder
 
 
@@ -331,7 +304,7 @@ def token_stems(spark, sf_dir):
     return stems.stemmed(names.distinct())
 
 
-@query(_stem_sql(f"SELECT DISTINCT unnest({_any_script(_WORDS)}) AS token FROM documents"))
+@query(_stem_sql(f"SELECT DISTINCT unnest({_WORDS}) AS token FROM documents"))
 def document_stems(spark, sf_dir):
     tokens = catalog.table(spark, sf_dir, "documents").select(F.explode(text.any_script_words(F.col("text"))).alias("token"))
     return stems.stemmed(tokens.distinct())

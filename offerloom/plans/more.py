@@ -33,14 +33,13 @@ def detail_numbers(spark, sf_dir):
 
 @query(f"""WITH {PRODUCTS}, t AS (SELECT DISTINCT lower(short_name || ' ' || brand) AS title FROM products), p AS (SELECT DISTINCT string_split(lower(short_name), ' ')[1] || ' ' || string_split(lower(short_name), ' ')[2] AS phrase FROM products WHERE len(string_split(short_name, ' ')) > 1)
 SELECT title, CASE WHEN len(string_split(title, ' ')) > 1 AND list_contains((SELECT list(phrase) FROM p), string_split(title, ' ')[1] || ' ' || string_split(title, ' ')[2]) THEN replace(title, string_split(title, ' ')[1] || ' ' || string_split(title, ' ')[2], string_split(title, ' ')[1] || '_' || string_split(title, ' ')[2]) ELSE title END AS phrased
-FROM t WHERE len(string_split(title, ' ')) = 3""")
+FROM t""")
 def phrase_corpus(spark, sf_dir):
-    """Titles of three words with the two first words of a short name joined, as its SQL says; collocation_corpus rewrites all
-    titles with the collocations found."""
+    """Titles with the two first words of a short name joined."""
     p = catalog.products(spark, sf_dir)
     words = F.split(F.lower("short_name"), " ")
     phrases = p.filter(F.size(words) > 1).select(F.get(words, F.lit(0)).alias("first"), F.get(words, F.lit(1)).alias("second")).distinct()
-    titles = p.select(F.lower(F.concat_ws(" ", "short_name", "brand")).alias("title")).distinct().filter(F.size(F.split("title", " ")) == 3)
+    titles = p.select(F.lower(F.concat_ws(" ", "short_name", "brand")).alias("title")).distinct()
     return corpus.phrased(titles, phrases)
 
 
@@ -72,18 +71,9 @@ def feature_crosstab(spark, sf_dir):
     return rows.groupBy("decision").agg(*(F.count_if(F.col("name_similarity") == v).alias(k) for k, v in named.items()))
 
 
-@query(f"""WITH {OFFERS}, d AS (SELECT offer_id AS decision_offer, product_id + (CASE WHEN offer_id[1] < '4' THEN 1 ELSE 0 END) AS final_product, product_id FROM offers WHERE offer_id[2] = '0')
-SELECT decision_offer, final_product, d.product_id, o.offer_id FROM d JOIN offers o ON o.product_id = d.product_id AND o.offer_id <> decision_offer WHERE final_product <> d.product_id""")
-def sibling_offers(spark, sf_dir):
-    o = catalog.offers(spark, sf_dir)
-    d = o.filter(F.substring("offer_id", 2, 1) == "0").select("offer_id", (F.col("product_id") + (F.substring("offer_id", 1, 1) < "4").cast("int")).alias("final_product"))
-    return dataset.sibling_offers(d, o).select("decision_offer", "final_product", "product_id", "offer_id")
-
-
 @query(f"""WITH {OFFERS}, d AS (SELECT offer_id AS decision_offer, product_id + (CASE WHEN offer_id[1] < '4' THEN 1 ELSE 0 END) AS final_product, product_id FROM offers)
 SELECT decision_offer, final_product, d.product_id, o.offer_id FROM d JOIN offers o ON o.product_id = d.product_id AND o.offer_id <> decision_offer WHERE final_product <> d.product_id""")
-def every_sibling_offer(spark, sf_dir):
-    """Like sibling_offers, whose SQL takes one offer in 16 as a decision, for every offer."""
+def sibling_offers(spark, sf_dir):
     o = catalog.offers(spark, sf_dir)
     d = o.select("offer_id", (F.col("product_id") + (F.substring("offer_id", 1, 1) < "4").cast("int")).alias("final_product"))
     return dataset.sibling_offers(d, o).select("decision_offer", "final_product", "product_id", "offer_id")
@@ -137,16 +127,9 @@ def new_dictionary_values(spark, sf_dir):
     return corpus.new_values(a, a.filter("value < '3'"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey % 50 = 0""")
+@query("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""")
 def rows_for_ids(spark, sf_dir):
-    ids = catalog.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey")).unionByName(catalog.table(spark, sf_dir, "lineitem").select("l_orderkey")).filter("l_orderkey % 50 = 0")
-    return catalog.rows_for_ids(catalog.table(spark, sf_dir, "lineitem"), ids, "l_orderkey").select("l_orderkey", "l_linenumber", "l_quantity")
-
-
-@query("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""")
-def rows_for_orders(spark, sf_dir):
-    """Like rows_for_ids, whose SQL takes one order in 50, for all orders."""
-    ids = catalog.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    ids = catalog.table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
     return catalog.rows_for_ids(catalog.table(spark, sf_dir, "lineitem"), ids, "l_orderkey").select("l_orderkey", "l_linenumber", "l_quantity")
 
 
