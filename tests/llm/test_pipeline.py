@@ -1,5 +1,6 @@
 import corpus_pipeline
 from offerloom.llm import registry
+from offerloom.llm.common import saved
 from tests.llm.test_corpus import plain_join
 
 
@@ -9,7 +10,7 @@ def test_stages(spark, sf, docs):
         after = stage(spark, before, sf)
         if name != "packing":
             assert after.columns == docs.columns
-            after = after.localCheckpoint()
+            after = saved(after, "stage")
         rows[name] = (before, after)
         before = after
     labels = spark.read.parquet(f"{sf}/labels.parquet")
