@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,23 +14,47 @@ def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)), F.lit(0.0), lambda s, x: s + x)
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int, max_distance: float | None = None, block: str | None = None, slices: int = 16) -> DataFrame:
+#: Queries and vectors that meet in one task, and queries whose distances are computed at once inside it.
+QUERY_ROWS, VECTOR_ROWS, AT_ONCE = 512, 4096, 16
+
+
+def nearest(queries: DataFrame, vectors: DataFrame, k: int, max_distance: float | None = None, block: str | None = None) -> DataFrame:
     """Exact k nearest vectors under squared distance: (query_id, vector_id, distance, place). Ties by vector id.
 
-    Queries (query_id, embedding) are a stated set; every vector (vector_id, embedding) is held against them. Queries are
-    dealt to slices by a hash, vectors go to each slice once, and each slice keeps only its best k per query before they meet.
-    With `block`, only pairs that agree in that column are compared."""
+    Queries (query_id, embedding) are a stated set; every vector (vector_id, embedding) is held against them. Both are dealt
+    by a hash to blocks of bounded size, of which there are as many as their rows ask for; two blocks meet in a task, which
+    keeps the best k for each of its queries before they meet. With `block`, only pairs that agree in that column are
+    compared. Rows without an embedding have no distance and are left out."""
     on = [block] if block else []
-    q = queries.select("query_id", F.col("embedding").alias("_q"), *on).withColumn("_slice", F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int"))
-    v = vectors.select("vector_id", F.col("embedding").alias("_v"), *on).withColumn("_part", F.pmod(F.xxhash64("vector_id"), F.lit(slices)).cast("int"))
-    v = v.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    pairs = q.join(v, ["_slice", *on]).select("query_id", "vector_id", "_part", squared_distance(F.col("_q"), F.col("_v")).alias("distance"))
+    q = queries.filter("embedding is not null").select("query_id", F.col("embedding").alias("_q"), *on)
+    v = vectors.filter("embedding is not null").select("vector_id", F.col("embedding").alias("_v"), *on)
+    n_q, n_v = (max(1, -(-df.count() // rows)) for df, rows in ((q, QUERY_ROWS), (v, VECTOR_ROWS)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = q.withColumn("_qs", F.pmod(F.xxhash64("query_id"), F.lit(n_q)).cast("int")).withColumn("_vs", every(n_v))
+    v = v.withColumn("_vs", F.pmod(F.xxhash64("vector_id"), F.lit(n_v)).cast("int")).withColumn("_qs", every(n_q))
+    kinds = (queries.schema["query_id"].dataType.simpleString(), vectors.schema["vector_id"].dataType.simpleString())
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids = right.column("vector_id").to_numpy()
+        a, b = (np.array(t.column(c).to_pylist(), float).reshape(t.num_rows, -1) for t, c in ((left, "_q"), (right, "_v")))
+        at_q, at_v, far = [], [], []
+        for start in range(0, len(a) if len(b) else 0, AT_ONCE):
+            distance = ((a[start : start + AT_ONCE, None, :] - b[None, :, :]) ** 2).sum(axis=2)
+            for row, d in enumerate(distance):
+                best = np.lexsort((ids, d))[:k]
+                at_q += [start + row] * len(best)
+                at_v.append(best)
+                far.append(d[best])
+        at_v = np.concatenate(at_v) if at_v else np.zeros(0, int)
+        distances = pa.array(np.concatenate(far) if far else np.zeros(0))
+        return pa.table({"query_id": left.column("query_id").take(pa.array(at_q, pa.int64())), "vector_id": right.column("vector_id").take(pa.array(at_v)), "distance": distances})
+
+    keys = ["_qs", "_vs", *on]
+    pairs = q.groupBy(*keys).cogroup(v.groupBy(*keys)).applyInArrow(compare, f"query_id {kinds[0]}, vector_id {kinds[1]}, distance double")
     if max_distance is not None:
         pairs = pairs.filter(F.col("distance") <= max_distance)
-    for by in (["query_id", "_part"], ["query_id"]):
-        place = F.row_number().over(Window.partitionBy(*by).orderBy("distance", "vector_id"))
-        pairs = pairs.withColumn("place", place).filter(F.col("place") <= k)
-    return pairs.select("query_id", "vector_id", "distance", "place")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vector_id"))
+    return pairs.withColumn("place", place).filter(F.col("place") <= k).select("query_id", "vector_id", "distance", "place")
 
 
 def relevant(queries: DataFrame, texts: DataFrame, k: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:

@@ -248,6 +248,8 @@ def _stream_folder(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+#: At most so many labelled pairs are learned from, in the order of a hash; all pairs are scored.
+TRAINING_PAIRS = 20_000
 _TREES = ["price", "name_similarity", "ean_matches", "size_gap"]
 
 
@@ -258,7 +260,7 @@ def pair_scores(spark, sf_dir):
 
     rows = base.pairs(spark, sf_dir).withColumns({"label": (F.col("product_id") == F.col("current")).cast("int"), "size_gap": F.col("product_size").cast("double")})
     rows = rows.withColumn("is_validation", F.substring(F.md5("offer_id"), 1, 1) < "3")
-    sample = rows.filter(F.substring(F.md5(F.concat("offer_id", F.lit("train"))), 1, 1) < "2")  # an eighth of the offers to learn from
+    sample = rows.orderBy(F.md5(F.concat("offer_id", F.lit("train"))), "product_id").limit(TRAINING_PAIRS)
     model = models.train_trees(sample.select("label", "is_validation", *_TREES), _TREES, rounds=5, depth=3)
     return models.scored(rows.select("offer_id", "product_id", "label", *_TREES), model, _TREES).select("offer_id", "product_id", "label", F.round("score", 4).alias("score"))
 
