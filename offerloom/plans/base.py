@@ -15,12 +15,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Registers a function under its name, with its SQL where there is any."""
+def query(sql: str | None = None, *also: str):
+    """Registers a function under its name, and under names that it had before, with its SQL where there is any."""
     def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
+        for name in (f.__name__, *also):
+            QUERIES[name] = f
+            if sql:
+                ORACLES[name] = sql
         return f
 
     return add

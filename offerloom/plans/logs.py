@@ -38,7 +38,7 @@ d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p
 w AS (SELECT item_id, unnest(words) AS word FROM q), p AS (SELECT doc_id, len(words) AS length, unnest(words) AS word FROM d),
 t AS (SELECT word, doc_id, length, count(*) AS tf FROM p WHERE word IN (SELECT word FROM w) GROUP BY ALL), f AS (SELECT word, count(*) AS df FROM t GROUP BY 1),
 x AS (SELECT item_id, doc_id, sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / mean))) AS relevance FROM t JOIN f USING (word) JOIN w USING (word), s GROUP BY 1, 2),
-r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(relevance, 9) DESC, doc_id) AS place FROM x) SELECT item_id AS query_id, doc_id AS text_id, round(relevance, 4) AS relevance, place FROM r WHERE place <= 5""")
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(relevance, 9) DESC, doc_id) AS place FROM x) SELECT item_id AS query_id, doc_id AS text_id, round(relevance, 4) AS relevance, place FROM r WHERE place <= 5""", "token_candidates_any_script")
 def token_candidates(spark, sf_dir):
     return _token_candidates(spark, sf_dir, text.any_script_words(F.col("text")))
 
@@ -90,7 +90,7 @@ _WORDS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}]+
 
 @query(f"""WITH t AS (SELECT {_WORDS} AS w FROM documents), s AS (SELECT unnest(w) AS word FROM t), c AS (SELECT word, count(*) AS n FROM s GROUP BY 1), g AS (SELECT unnest(list_zip(w[:-2], w[2:])) AS p FROM t WHERE len(w) > 1),
 b AS (SELECT p[1] AS first, p[2] AS second, count(*) AS n FROM g GROUP BY 1, 2 HAVING count(*) >= 10), x AS (SELECT first, second, b.n, log2(b.n * (SELECT sum(n) FROM c)::DOUBLE / (u.n * v.n::DOUBLE)) AS pmi FROM b JOIN c u ON u.word = first JOIN c v ON v.word = second)
-SELECT first, second, n, round(pmi, 5) AS pmi FROM x WHERE pmi > 4""")
+SELECT first, second, n, round(pmi, 5) AS pmi FROM x WHERE pmi > 4""", "collocations_any_script")
 def collocations_pmi(spark, sf_dir):
     return _collocations(spark, sf_dir, text.any_script_words(F.col("text")))
 
@@ -99,7 +99,7 @@ def _collocations(spark: SparkSession, sf_dir: str, words: Column) -> DataFrame:
     return corpus.collocations(catalog.table(spark, sf_dir, "documents"), words, 10, 4.0).withColumn("pmi", F.round("pmi", 5))
 
 
-@query(f"""WITH t AS (SELECT lang, unnest({_WORDS}) AS word FROM documents), c AS (SELECT lang AS category, word, count(*) AS n FROM t GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, word) AS place FROM c) SELECT category, word, n, place FROM r WHERE place <= 25""")
+@query(f"""WITH t AS (SELECT lang, unnest({_WORDS}) AS word FROM documents), c AS (SELECT lang AS category, word, count(*) AS n FROM t GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, word) AS place FROM c) SELECT category, word, n, place FROM r WHERE place <= 25""", "characteristic_words_any_script")
 def characteristic_words(spark, sf_dir):
     return _characteristic_words(spark, sf_dir, text.any_script_words(F.col("text")))
 

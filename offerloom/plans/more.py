@@ -72,7 +72,7 @@ def feature_crosstab(spark, sf_dir):
 
 
 @query(f"""WITH {OFFERS}, d AS (SELECT offer_id AS decision_offer, product_id + (CASE WHEN offer_id[1] < '4' THEN 1 ELSE 0 END) AS final_product, product_id FROM offers)
-SELECT decision_offer, final_product, d.product_id, o.offer_id FROM d JOIN offers o ON o.product_id = d.product_id AND o.offer_id <> decision_offer WHERE final_product <> d.product_id""")
+SELECT decision_offer, final_product, d.product_id, o.offer_id FROM d JOIN offers o ON o.product_id = d.product_id AND o.offer_id <> decision_offer WHERE final_product <> d.product_id""", "every_sibling_offer")
 def sibling_offers(spark, sf_dir):
     o = catalog.offers(spark, sf_dir)
     d = o.select("offer_id", (F.col("product_id") + (F.substring("offer_id", 1, 1) < "4").cast("int")).alias("final_product"))
@@ -127,7 +127,7 @@ def new_dictionary_values(spark, sf_dir):
     return corpus.new_values(a, a.filter("value < '3'"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""")
+@query("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')""", "rows_for_orders")
 def rows_for_ids(spark, sf_dir):
     ids = catalog.table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))
     return catalog.rows_for_ids(catalog.table(spark, sf_dir, "lineitem"), ids, "l_orderkey").select("l_orderkey", "l_linenumber", "l_quantity")
