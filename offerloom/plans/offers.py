@@ -72,7 +72,12 @@ def shop_and_ean_features(spark, sf_dir):
     return rows.groupBy(F.col("shops").cast("long").alias("shops"), "eans_known", "ean_matches").agg(F.count("*").alias("n"))
 
 
-@query()
+_GRADE = "CASE WHEN len({a}) = 0 THEN 2 WHEN len({a}) = 1 AND len(list_filter({b}, lambda x: damerau_levenshtein({a}[1], x) <= 1)) > 0 THEN 1 ELSE 0 END"
+
+
+@query(f"""WITH {OFFERS}, t AS (SELECT string_split(p.name, ' ') AS a, string_split(o.name, ' ') AS b, count(*) AS n FROM offers o JOIN products p USING (product_id) GROUP BY 1, 2),
+w AS (SELECT n, list_distinct(list_filter(a, lambda x: NOT list_contains(b, x))) AS only_a, list_distinct(list_filter(b, lambda x: NOT list_contains(a, x))) AS only_b FROM t)
+SELECT {_GRADE.format(a='only_a', b='only_b')} AS product_in_offer, {_GRADE.format(a='only_b', b='only_a')} AS offer_in_product, sum(n)::BIGINT AS n FROM w GROUP BY 1, 2""")
 def title_subset_grades(spark, sf_dir):
     p = catalog.products(spark, sf_dir).select("product_id", F.col("name").alias("product_name"))
     rows = catalog.offers(spark, sf_dir).join(p, "product_id").groupBy("product_name", "name").agg(F.count("*").alias("n"))
