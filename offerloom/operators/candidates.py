@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,21 +58,60 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, max_distance: float
     return pairs.withColumn("place", place).filter(F.col("place") <= k).select("query_id", "vector_id", "distance", "place")
 
 
+#: Queries and their words that meet in one task with so many words of texts, and cells of a matrix of texts by words.
+QUERY_WORDS, TEXT_WORDS, CELLS = 16_384, 1_000_000, 1 << 21
+
+
 def relevant(queries: DataFrame, texts: DataFrame, k: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """BM25 over an inverted index: (query_id, text_id, relevance, place) of the k most relevant texts for each query.
-    Takes (query_id, words) and (text_id, words). Only words of queries are indexed."""
-    wanted = queries.select("query_id", F.explode(F.array_distinct("words")).alias("word"))
-    vocabulary = wanted.select("word").distinct()
-    sized = texts.select("text_id", "words", F.size("words").alias("length"))
-    facts = sized.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).first()  # two numbers
-    postings = sized.select("text_id", "length", F.explode("words").alias("word")).join(vocabulary, "word", "left_semi")
-    postings = postings.groupBy("word", "text_id", "length").agg(F.count("*").alias("tf"))
-    df = postings.groupBy("word").agg(F.count("*").alias("df"))
+    """BM25: (query_id, text_id, relevance, place) of the k most relevant texts for each query, to nine places, ties by text id.
+
+    Takes (query_id, words) and (text_id, words). Queries are a stated set, and every text is held against them. Both are
+    dealt by a hash to blocks of bounded size; two blocks meet in a task, which keeps the best k for each of its queries, so
+    a word that all texts have costs no more rows than a rare one. A text without words (or null) is relevant to nothing and
+    counts as a text; rows of a repeated query id are one query, rows of a repeated text id are texts of their own."""
+    none = F.array().cast("array<string>")
+    wanted = queries.select("query_id", F.explode("words").alias("word")).filter("word is not null").distinct()
+    sized = texts.select("text_id", F.coalesce("words", none).alias("words")).withColumn("length", F.size("words"))
+    facts = sized.agg(F.count("*").alias("n"), F.sum("length").alias("words")).first()  # two numbers
+    asked = wanted.agg(F.countDistinct("query_id").alias("n"), F.count("*").alias("words")).first()  # two numbers
+    n_q = max(1, -(-asked["n"] // QUERY_ROWS), -(-asked["words"] // QUERY_WORDS))
+    n_t = max(1, -(-(facts["words"] or 0) // TEXT_WORDS))
+    mean = (facts["words"] or 0) / facts["n"] if facts["words"] else 1.0
+    df = sized.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.lit(float(facts["n"])) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.lit(facts["mean"] or 1.0)))
-    scored = postings.join(df, "word").select("word", "text_id", weight.alias("w")).join(wanted, "word")
-    scored = scored.groupBy("query_id", "text_id").agg(F.sum("w").alias("relevance"))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("relevance", 9)), "text_id"))
+    q = wanted.join(df, "word").select("query_id", "word", idf.alias("idf"), F.pmod(F.xxhash64("query_id"), F.lit(n_q)).cast("int").alias("_qs"), F.explode(F.sequence(F.lit(0), F.lit(n_t - 1))).alias("_ts"))
+    # texts are dealt by their words as well, so that rows of one id don't gather
+    t = sized.filter("length > 0").withColumn("_ts", F.pmod(F.xxhash64("text_id", "words"), F.lit(n_t)).cast("int")).withColumn("_qs", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
+    kinds = (queries.schema["query_id"].dataType.simpleString(), texts.schema["text_id"].dataType.simpleString())
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        names, vocabulary = (left.column(c).combine_chunks().dictionary_encode(null_encoding="encode") for c in ("query_id", "word"))
+        n, width = len(names.dictionary), len(vocabulary.dictionary)
+        asked = np.zeros((n, width))
+        asked[names.indices.to_numpy(), vocabulary.indices.to_numpy()] = left.column("idf").to_numpy()
+        right = right.take(pc.sort_indices(right, sort_keys=[("text_id", "ascending")], null_placement="at_start"))
+        best, at = np.zeros((n, 0)), np.zeros((n, 0), int)
+        step = max(1, CELLS // max(1, width))
+        for start in range(0, right.num_rows if n else 0, step):
+            part = right.slice(start, step)
+            words, length = part.column("words").combine_chunks(), part.column("length").to_numpy()
+            found = pc.index_in(words.flatten(), value_set=vocabulary.dictionary)
+            known = found.is_valid().to_numpy(zero_copy_only=False)
+            cells, tf = np.unique(words.value_parent_indices().to_numpy()[known].astype(np.int64) * width + found.drop_null().to_numpy(), return_counts=True)
+            row = cells // width
+            counts = np.zeros((len(length), width))
+            counts.flat[cells] = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[row] / mean))
+            scores = np.round(asked @ counts.T, 9)
+            # earlier texts stand first, so a stable order gives ties to the smaller id
+            scores, places = np.hstack([best, scores]), np.hstack([at, np.broadcast_to(np.arange(start, start + len(length)), (n, len(length)))])
+            order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            best, at = np.take_along_axis(scores, order, 1), np.take_along_axis(places, order, 1)
+        who, which = np.nonzero(best > 0)
+        return pa.table({"query_id": names.dictionary.take(pa.array(who)), "text_id": right.column("text_id").take(pa.array(at[who, which])), "relevance": pa.array(best[who, which])})
+
+    keys = ["_qs", "_ts"]
+    scored = q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInArrow(compare, f"query_id {kinds[0]}, text_id {kinds[1]}, relevance double")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("relevance"), "text_id"))
     return scored.withColumn("place", place).filter(F.col("place") <= k)
 
 

@@ -299,3 +299,33 @@ def test_prices_far_from_zero(spark):
         assert got[k].others_n == 4 and abs(got[k].others_mean - 1e8 - mean) < 1e-6 and abs(got[k].others_m2 - m2) < 1e-6 * 1e-1
         assert got[k].others_low == min(others) and got[k].others_high == max(others)
     assert got[9].others_n == 5 and got[9].others_low == prices[0] and got[10].others_n == 0 and got[10].others_mean is None
+
+
+def test_relevant_against_counting(spark):
+    """Ties, repeated and null ids, a null and an empty list of words, and blocks of one query and one text."""
+    from math import log
+
+    from offerloom.operators import candidates
+
+    queries = [(1, ["a", "b", "a"]), (2, ["b", "zz"]), (None, ["c"]), (3, None), (4, [])]
+    texts = [(10, ["a", "b"]), (11, ["a", "b"]), (11, ["c"]), (12, ["b"] * 40), (13, None), (14, []), (None, ["a", "c", "c"]), (15, ["a", "b"])]
+    n, mean = len(texts), sum(len(w or []) for _, w in texts) / len(texts)
+    df = {w: sum(w in (words or []) for _, words in texts) for w in "abc"}
+
+    def score(asked, words):
+        weigh = lambda tf: tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))
+        return round(sum(log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * weigh(words.count(w)) for w in set(asked) if w in words), 9)
+
+    want = set()
+    for name, asked in queries:
+        scored = sorted((-score(asked or [], words or []), -1 if at is None else at) for at, words in texts)
+        want |= {(name, None if at < 0 else at, -s, i + 1) for i, (s, at) in enumerate(x for x in scored[:3] if x[0] < 0)}
+    q, t = spark.createDataFrame(queries, "query_id long, words array<string>"), spark.createDataFrame(texts, "text_id long, words array<string>")
+    limits = candidates.QUERY_WORDS, candidates.TEXT_WORDS
+    try:
+        for candidates.QUERY_WORDS, candidates.TEXT_WORDS in (limits, (1, 4)):
+            got = {(r.query_id, r.text_id, round(r.relevance, 9), r.place) for r in candidates.relevant(q, t, 3).collect()}
+            assert got == want
+    finally:
+        candidates.QUERY_WORDS, candidates.TEXT_WORDS = limits
+    assert candidates.relevant(q.limit(0), t, 3).count() == candidates.relevant(q, t.limit(0), 3).count() == 0
