@@ -5,9 +5,10 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from offerloom.llm import grades, imatch, nearjoin, oracles, packing, pieces, pii, rules, secrets, warc, wordpiece
-from offerloom.llm.common import table
+from offerloom.llm import centroids, grades, imatch, lines, middle, nearjoin, oracles, packing, pieces, pii, rules, secrets, warc, wordpiece
+from offerloom.llm.common import saved, table
 
 PIECES = "piece_bpe_32k.model"
 BYTES = "byte_bpe_50k"
@@ -61,11 +62,27 @@ def op10_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearjoin.join_near(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    bitmaps = saved(lines.keep_bitmaps(docs), "bitmaps")
+    return lines.apply_bitmaps(docs, bitmaps).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = middle.restored(F.col("output"), F.col("form"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
 def conversation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Instruction data: whole conversations, where the tokens of the answers are a limit of their own."""
     turns = table(spark, sf_dir, "conversations")
     return packing.pack_conversations(turns, public_tokenizers.path(f"{BYTES}.json"), public_tokenizers.path(f"{BYTES}.tiktoken"), public_tokenizers.PATTERN, packing.Limits(2048, 16, 1024))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_packing, op4_fingerprints, op5_surrogates, op6_quality_rules, op7_warc_revisits, op8_quality_grades, op9_sentencepiece, op10_near_join, conversation_packing)} | {"pipeline": corpus_pipeline.run}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_packing, op4_fingerprints, op5_surrogates, op6_quality_rules, op7_warc_revisits, op8_quality_grades, op9_sentencepiece, op10_near_join, op11_line_dedup, op12_fill_in_middle, op13_centroid_clusters, conversation_packing)} | {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
