@@ -32,21 +32,66 @@ def tokens_contained(a: Column, b: Column) -> Column:
     return F.size(F.array_except(F.split(a, " "), F.split(b, " "))) == 0
 
 
-def one_edit_apart(a: Column, b: Column) -> Column:
-    """Two tokens differ by one inserted, left out or replaced letter, or by two neighbours that have changed places."""
-    n = F.char_length(a)
-    at = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
-    swap = F.exists(at, lambda i: F.concat(F.substr(a, F.lit(1), i - 1), F.substr(a, i + 1, F.lit(1)), F.substr(a, i, F.lit(1)), F.substr(a, i + 2, n)) == b)
-    return (F.levenshtein(a, b) <= 1) | ((F.char_length(b) == n) & swap)
+def _chars(word: Column, start: Column | int, n: Column | int) -> Column:
+    """n characters from place `start` on, counted from 0."""
+    return F.substr(word, start + 1 if isinstance(start, Column) else F.lit(start + 1), n if isinstance(n, Column) else F.lit(n))
+
+
+def _places(n: Column) -> Column:
+    """0 .. n - 1."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def _is_letter(char: Column) -> Column:
+    return char.between("a", "z") & (F.char_length(char) == 1)
+
+
+def one_edit_makes(word: Column, other: Column) -> Column:
+    """`word` becomes `other` when a character is left out, two neighbours change places, or a letter from a to z is put in or
+    stands for a character."""
+    n, m = F.char_length(word), F.char_length(other)
+    rest = lambda w, i: F.concat(_chars(w, 0, i), _chars(w, i + 1, F.char_length(w)))  # noqa: E731  w without the character at i
+    left_out = (m == n - 1) & F.exists(_places(n), lambda i: rest(word, i) == other)
+    put_in = (m == n + 1) & F.exists(_places(m), lambda i: _is_letter(_chars(other, i, 1)) & (rest(other, i) == word))
+    replaced = F.exists(_places(n), lambda i: _is_letter(_chars(other, i, 1)) & (rest(word, i) == rest(other, i)))
+    swapped = F.exists(_places(n - 1), lambda i: F.concat(_chars(word, 0, i), _chars(word, i + 1, 1), _chars(word, i, 1), _chars(word, i + 2, n)) == other)
+    # Levenshtein's distance counts a swap as two
+    return (F.abs(n - m) <= 1) & (word != other) & (F.levenshtein(word, other) <= 2) & (left_out | put_in | ((m == n) & (replaced | swapped)))
+
+
+def contained_after_edit(a: Column, b: Column) -> Column:
+    """All tokens of title a are tokens of some title that is one edit away from title b as a whole: a character left out, two
+    neighbours swapped, a letter from a to z put in or in a character's place. Spaces are characters: two words may be joined,
+    with or without a letter between them, or a letter may move from one word to the next.
+
+    An edit touches one word, or two neighbours and the space between them, so a's tokens have to be among the others and what
+    the edit makes of these."""
+    ta, tb = F.split(a, " "), F.split(b, " ")
+    n = F.size(tb)
+
+    def missing(i: Column, words: int) -> Column:
+        """a's tokens that aren't among b's without `words` of them from place i on."""
+        return F.array_except(ta, F.concat(F.slice(tb, F.lit(1), i), F.slice(tb, i + 1 + words, n)))
+
+    def by_word(i: Column) -> Column:
+        lost = missing(i, 1)
+        return (F.size(lost) == 1) & one_edit_makes(F.get(tb, i), F.get(lost, F.lit(0)))
+
+    def by_space(i: Column) -> Column:
+        lost, first, second = missing(i, 2), F.get(tb, i), F.get(tb, i + 1)
+        only, x, y = F.get(lost, F.lit(0)), F.char_length(first), F.char_length(second)
+        joined = (only == F.concat(first, second)) | ((F.char_length(only) == x + y + 1) & F.startswith(only, first) & F.endswith(only, second) & _is_letter(_chars(only, x, 1)))
+        back = F.array(_chars(first, 0, x - 1), F.concat(_chars(first, x - 1, 1), second))
+        on = F.array(F.concat(first, _chars(second, 0, 1)), _chars(second, 1, y))
+        moved = ((x > 0) & (F.size(F.array_except(lost, back)) == 0)) | ((y > 0) & (F.size(F.array_except(lost, on)) == 0))
+        return ((F.size(lost) == 1) & joined) | (F.size(lost).between(1, 2) & moved)
+
+    return (F.size(F.array_except(ta, tb)) <= 2) & (F.exists(_places(n), by_word) | F.exists(_places(n - 1), by_space))
 
 
 def subset_grade(a: Column, b: Column) -> Column:
-    """2 if title a's tokens are all in b; 1 if the one that is missing is one edit from a token of b that a doesn't need;
-    else 0. An edit that joins or parts words isn't looked for."""
-    missing = F.array_except(F.split(a, " "), F.split(b, " "))
-    spare = F.array_except(F.split(b, " "), F.split(a, " "))
-    close = (F.size(missing) == 1) & F.exists(spare, lambda t: one_edit_apart(F.get(missing, F.lit(0)), t))
-    return F.when(F.size(missing) == 0, 2).when(close, 1).otherwise(0)
+    """2 if title a's tokens are all in b; 1 if they are after one edit of b; else 0."""
+    return F.when(tokens_contained(a, b), 2).when(contained_after_edit(a, b), 1).otherwise(0)
 
 
 #: name -> (builder over the standard columns of a pair table, kind)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.functions import text
-from offerloom.operators import candidates, corpus, decisions, evaluation, models, monitoring, stems
+from offerloom.operators import candidates, corpus, decisions, evaluation, models, monitoring, relevance, stems
 from offerloom.plans.base import PRODUCTS, query
 from offerloom.sources import catalog
 from offerloom.sources.scratch import shared_path
@@ -46,7 +46,7 @@ def token_candidates(spark, sf_dir):
 def _token_candidates(spark: SparkSession, sf_dir: str, words: Column) -> DataFrame:
     q = catalog.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), words.alias("words"))
     d = catalog.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), words.alias("words"))
-    rows = candidates.relevant(q, d, 5)
+    rows = relevance.most_relevant(q, d, 5)
     return rows.select("query_id", "text_id", F.round("relevance", 4).alias("relevance"), F.col("place").cast("long").alias("place"))
 
 

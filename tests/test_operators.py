@@ -42,34 +42,45 @@ def test_leave_one_out(spark):
 
 
 def test_one_edit(spark):
-    cases = [("abcd", "abdc", True), ("abcd", "abc", True), ("abcd", "abcde", True), ("abcd", "xbcd", True), ("abcd", "badc", False), ("a", "b", True), ("abcd", "abcd", True), ("ab", "cd", False)]
+    cases = [("abcd", "abdc", True), ("abcd", "abc", True), ("abcd", "abcde", True), ("abcd", "xbcd", True), ("abcd", "badc", False), ("a", "b", True), ("abcd", "abcd", False), ("ab", "cd", False), ("a1", "a2", False), ("a1", "ab", True)]
     df = spark.createDataFrame(cases, "a string, b string, want boolean")
-    assert all(r.got == r.want for r in df.withColumn("got", features.one_edit_apart(F.col("a"), F.col("b"))).collect())
+    assert all(r.got == r.want for r in df.withColumn("got", features.one_edit_makes(F.col("a"), F.col("b"))).collect())
+
+
+def edits_of(title):
+    """Every title one edit away: a character left out, swapped with its neighbour, or a letter in its place or before it."""
+    import string
+
+    for i in range(len(title) + 1):
+        yield from (title[:i] + c + title[i:] for c in string.ascii_lowercase)
+        if i < len(title):
+            yield title[:i] + title[i + 1 :]
+            yield from (title[:i] + c + title[i + 1 :] for c in string.ascii_lowercase)
+        if i + 1 < len(title):
+            yield title[:i] + title[i + 1] + title[i] + title[i + 2 :]
 
 
 def test_subset_grade_against_all_edits(spark):
-    import itertools
+    """Titles of letters, digits and spaces, edited across spaces, with repeated, empty and one-letter words."""
     import random
-    import string
 
-    rng, rows = random.Random(2), []
-    for _ in range(60):
-        a, b = (" ".join("".join(rng.choice("abc") for _ in range(rng.randint(2, 4))) for _ in range(rng.randint(1, 3))) for _ in range(2))
+    rng, rows = random.Random(2), [("", ""), ("", "x"), ("x", ""), ("a", "a b"), ("ab", "a b"), ("acb", "a b"), ("a1b", "a b"), ("1kg", "2kg"), ("a bc", "ab c"), ("", "a  b"), ("aa", "a a"), ("a aa", "a a a")]
+    title = lambda: " ".join("".join(rng.choice("ab1") for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(1, 4)))
+    for _ in range(700):
+        b = title()
+        if rng.random() < 0.3:
+            a = title()
+        else:
+            near = rng.choice(sorted(edits_of(b))).split(" ") if rng.random() < 0.7 else b.split(" ")
+            a = " ".join(rng.sample(near, rng.randint(1, len(near))))
         rows.append((a, b))
-    def edits(t):
-        for i, c in itertools.product(range(len(t) + 1), string.ascii_lowercase[:4]):
-            yield t[:i] + c + t[i:]
-            if i < len(t) and t[i] != " ":
-                yield t[:i] + c + t[i + 1:]
-        for i in range(len(t)):
-            if t[i] != " ":
-                yield t[:i] + t[i + 1:]
-            if i + 1 < len(t) and " " not in t[i:i + 2]:
-                yield t[:i] + t[i + 1] + t[i] + t[i + 2:]
+    grades = []
     for r in spark.createDataFrame(rows, "a string, b string").withColumn("g", features.subset_grade(F.col("a"), F.col("b"))).collect():
-        need = set(r.a.split())
-        want = 2 if need <= set(r.b.split()) else int(any(need <= set(e.split()) for e in edits(r.b)))
+        need = set(r.a.split(" "))
+        want = 2 if need <= set(r.b.split(" ")) else int(any(need <= set(e.split(" ")) for e in edits_of(r.b)))
         assert r.g == want, r
+        grades.append(r.g)
+    assert min(map(grades.count, (0, 1, 2))) > 50
 
 
 def test_offer_decisions(spark):
@@ -305,7 +316,7 @@ def test_relevant_against_counting(spark):
     """Ties, repeated and null ids, a null and an empty list of words, and blocks of one query and one text."""
     from math import log
 
-    from offerloom.operators import candidates
+    from offerloom.operators import candidates, relevance
 
     queries = [(1, ["a", "b", "a"]), (2, ["b", "zz"]), (None, ["c"]), (3, None), (4, [])]
     texts = [(10, ["a", "b"]), (11, ["a", "b"]), (11, ["c"]), (12, ["b"] * 40), (13, None), (14, []), (None, ["a", "c", "c"]), (15, ["a", "b"])]
@@ -326,6 +337,29 @@ def test_relevant_against_counting(spark):
         for candidates.QUERY_WORDS, candidates.TEXT_WORDS in (limits, (1, 4)):
             got = {(r.query_id, r.text_id, round(r.relevance, 9), r.place) for r in candidates.relevant(q, t, 3).collect()}
             assert got == want
+        assert {(r.query_id, r.text_id, round(r.relevance, 9), r.place) for r in relevance.most_relevant(q, t, 3).collect()} == want
     finally:
         candidates.QUERY_WORDS, candidates.TEXT_WORDS = limits
-    assert candidates.relevant(q.limit(0), t, 3).count() == candidates.relevant(q, t.limit(0), 3).count() == 0
+    for f in (candidates.relevant, relevance.most_relevant):
+        assert f(q.limit(0), t, 3).count() == f(q, t.limit(0), 3).count() == 0
+
+
+@pytest.mark.parametrize("sent, seeds, block", [(1 << 20, 256, 1024), (0, 4, 3)])
+def test_most_relevant_leaves_out(spark, monkeypatch, sent, seeds, block):
+    """The same texts as when every text is held against every query, from few of the pairs; with words of all frequencies."""
+    import random
+
+    from offerloom.operators import candidates, relevance
+
+    for name, value in (("MOST_SENT", sent), ("SEEDS", seeds), ("BLOCK", block)):
+        monkeypatch.setattr(relevance, name, value)
+    rng = random.Random(8)
+    word = lambda: f"w{int(rng.paretovariate(0.6))}"
+    texts = [(i, [word() for _ in range(rng.randint(1, 60))]) for i in range(1500)]
+    texts += [(i + 2000, texts[i][1]) for i in range(0, 200, 10)]
+    queries = [(i, rng.sample(texts[rng.randrange(1500)][1], 1) + [word() for _ in range(rng.randint(0, 8))]) for i in range(60)]
+    q, t = spark.createDataFrame(queries, "query_id long, words array<string>"), spark.createDataFrame(texts, "text_id long, words array<string>")
+    steps = relevance.explained(q, t, 4)
+    key = lambda rows: sorted((r.query_id, r.text_id, round(r.relevance, 8), r.place) for r in rows)
+    assert key(steps["result"].collect()) == key(candidates.relevant(q, t, 4).collect())
+    assert steps["candidates"].count() < 0.1 * len(texts) * len(queries)
