@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offerloom.operators import name_attributes
+
 
 def shop_matches(shops: Column, shop: Column) -> Column:
     """How many of the product's shops are the offer's; 0 if the product has none."""
@@ -102,6 +104,8 @@ REGISTRY: dict[str, tuple[Callable[[], Column], str]] = {
     "product_in_offer": (lambda: subset_grade(F.col("product_name"), F.col("name")), "discrete"),
     "offer_in_product": (lambda: subset_grade(F.col("name"), F.col("product_name")), "discrete"),
     "name_similarity": (lambda: name_similarity(F.col("product_name"), F.col("name")), "numerical"),
+    "i_nameattributes": (lambda: name_attributes.any_common(F.col("product_attributes"), F.col("offer_attributes")), "discrete"),
+    "r_nameattributes": (lambda: name_attributes.share_met(F.col("product_attributes"), F.col("offer_attributes")), "numerical"),
 }
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from offerloom.functions import prices, text, units
 from offerloom.operators import corpus, dataset, decisions, evaluation, features
+from offerloom.operators import name_attributes as attributes_of_names
 from offerloom.plans import base
 from offerloom.plans.base import OFFERS, OTHERS, PAIRS, PRODUCTS, SIMILARITY, query
 from offerloom.sources import catalog
@@ -72,19 +73,55 @@ def shop_and_ean_features(spark, sf_dir):
     return rows.groupBy(F.col("shops").cast("long").alias("shops"), "eans_known", "ean_matches").agg(F.count("*").alias("n"))
 
 
-_GRADE = "CASE WHEN len({a}) = 0 THEN 2 WHEN len({a}) = 1 AND len(list_filter({b}, lambda x: damerau_levenshtein({a}[1], x) <= 1)) > 0 THEN 1 ELSE 0 END"
+#: The offer's title with an edit over a space for some: two words joined, or a letter moved to the next word.
+_EDITED = "CASE WHEN offer_id[4] < '3' THEN regexp_replace(o.name, ' ', '') WHEN offer_id[4] < '6' THEN regexp_replace(o.name, ' (.)', '\\1 ') WHEN offer_id[4] < '7' THEN regexp_replace(o.name, ' ', 'q') ELSE o.name END"
 
 
-@query(f"""WITH {OFFERS}, t AS (SELECT string_split(p.name, ' ') AS a, string_split(o.name, ' ') AS b, count(*) AS n FROM offers o JOIN products p USING (product_id) GROUP BY 1, 2),
-w AS (SELECT n, list_distinct(list_filter(a, lambda x: NOT list_contains(b, x))) AS only_a, list_distinct(list_filter(b, lambda x: NOT list_contains(a, x))) AS only_b FROM t)
-SELECT {_GRADE.format(a='only_a', b='only_b')} AS product_in_offer, {_GRADE.format(a='only_b', b='only_a')} AS offer_in_product, sum(n)::BIGINT AS n FROM w GROUP BY 1, 2""")
+@query(f"""WITH {OFFERS}, t AS (SELECT p.name AS p, {_EDITED} AS o, count(*) AS n FROM offers o JOIN products p USING (product_id) GROUP BY 1, 2),
+both_ AS (SELECT p AS a, o AS b FROM t UNION SELECT o, p FROM t),
+l AS (SELECT *, string_split(a, ' ') AS need, len(list_distinct(list_filter(string_split(a, ' '), lambda x: NOT list_contains(string_split(b, ' '), x)))) AS lost FROM both_),
+i AS (SELECT a, b, need, unnest(range(0, length(b) + 1)) AS i FROM l WHERE lost BETWEEN 1 AND 2),
+c AS (SELECT *, unnest(list_filter(list_distinct(string_split(a, '')), lambda x: x BETWEEN 'a' AND 'z')) AS c FROM i),
+e AS (SELECT a, b, need, left(b, i) || c || substr(b, i + 1) AS e FROM c UNION ALL SELECT a, b, need, left(b, i) || c || substr(b, i + 2) FROM c WHERE i < length(b)
+  UNION ALL SELECT a, b, need, left(b, i) || substr(b, i + 2) FROM i WHERE i < length(b) UNION ALL SELECT a, b, need, left(b, i) || substr(b, i + 2, 1) || substr(b, i + 1, 1) || substr(b, i + 3) FROM i WHERE i + 1 < length(b)),
+one AS (SELECT a, b, bool_or(list_has_all(string_split(e, ' '), need)) AS yes FROM e GROUP BY 1, 2),
+g AS (SELECT l.a, l.b, CASE WHEN lost = 0 THEN 2 WHEN coalesce(yes, false) THEN 1 ELSE 0 END AS grade FROM l LEFT JOIN one USING (a, b))
+SELECT x.grade AS product_in_offer, y.grade AS offer_in_product, sum(n)::BIGINT AS n FROM t JOIN g x ON x.a = p AND x.b = o JOIN g y ON y.a = o AND y.b = p GROUP BY 1, 2""")
 def title_subset_grades(spark, sf_dir):
+    """Each different pair of titles is graded once."""
     p = catalog.products(spark, sf_dir).select("product_id", F.col("name").alias("product_name"))
-    rows = catalog.offers(spark, sf_dir).join(p, "product_id").groupBy("product_name", "name").agg(F.count("*").alias("n"))
+    fourth, space = F.substring("offer_id", 4, 1), F.instr("name", " ")
+    before, after = F.substr("name", F.lit(1), space - 1), F.substr("name", space + 1)
+    moved = F.concat(before, F.substr(after, F.lit(1), F.lit(1)), F.lit(" "), F.substr(after, F.lit(2)))
+    name = F.when(fourth < "3", F.concat(before, after)).when(fourth < "6", moved).when(fourth < "7", F.concat(before, F.lit("q"), after)).otherwise(F.col("name"))
+    rows = catalog.offers(spark, sf_dir).join(p, "product_id").groupBy("product_name", name.alias("name")).agg(F.count("*").alias("n"))
     rows = features.evaluate(rows, ["product_in_offer", "offer_in_product"])
     return rows.groupBy("product_in_offer", "offer_in_product").agg(F.sum("n").alias("n"))
 
 
+@query(f"""WITH {OFFERS}, d AS (SELECT category, 'item' AS name, string_split(short_name, ' ')[2] AS grp, short_name AS value FROM products UNION SELECT category, 'brand', left(brand, 7), brand FROM products
+  UNION SELECT category, 'brand', left(brand, 7), 'any' || left(brand, 7) FROM products UNION SELECT category, 'size', size::VARCHAR, size::VARCHAR || 'kg' FROM products WHERE size % 2 = 0),
+known AS (SELECT v.category, v.value, g.name, list_distinct(flatten(list(s.values) OVER (PARTITION BY v.category, v.value))) AS synonyms
+  FROM (SELECT DISTINCT category, value FROM d) v JOIN d g USING (category, value) JOIN (SELECT category, name, grp, list(DISTINCT value) AS values FROM d GROUP BY ALL) s ON s.category = g.category AND s.name = g.name AND s.grp = g.grp),
+t AS (SELECT o.category, p.name AS p, o.name AS o, count(*) AS n FROM offers o CROSS JOIN (VALUES (0), (1)) AS s(step) JOIN products p ON p.product_id = o.product_id + s.step GROUP BY ALL),
+titles AS (SELECT category, p AS title FROM t UNION SELECT category, o FROM t), w AS (SELECT category, title, unnest(string_split(title, ' ')) AS value FROM titles UNION
+  SELECT category, title, unnest(list_transform(list_zip(string_split(title, ' ')[:-2], string_split(title, ' ')[2:]), lambda x: x[1] || ' ' || x[2])) FROM titles),
+f AS (SELECT category, title, name, flatten(list(synonyms)) AS synonyms FROM w JOIN known USING (category, value) GROUP BY ALL),
+c AS (SELECT t.category, p, o, count(*) AS common, count(*) FILTER (list_has_any(x.synonyms, y.synonyms)) AS met FROM t JOIN f x ON x.category = t.category AND x.title = p JOIN f y ON y.category = t.category AND y.title = o AND y.name = x.name GROUP BY ALL)
+SELECT category, (coalesce(common, 0) > 0)::INT::DOUBLE AS i_nameattributes, round(coalesce(met / common::DOUBLE, 0), 6) AS r_nameattributes, sum(n)::BIGINT AS n FROM t LEFT JOIN c USING (category, p, o) GROUP BY 1, 2, 3""")
+def name_attributes(spark, sf_dir):
+    """Dictionary attributes of offers' titles and of their product's and its neighbour's."""
+    p = catalog.products(spark, sf_dir)
+    entry = lambda name, group, value: p.select("category", F.lit(name).alias("name"), group.alias("group_id"), value.alias("value"))
+    family, size = F.substring("brand", 1, 7), F.col("size").cast("string")
+    dictionary = entry("item", F.get(F.split("short_name", " "), F.lit(1)), F.col("short_name")).union(entry("brand", family, F.col("brand"))).union(entry("brand", family, F.concat(F.lit("any"), family)))
+    dictionary = dictionary.union(entry("size", size, F.concat(size, F.lit("kg"))).filter(F.col("group_id").cast("int") % 2 == 0)).distinct()
+    o = catalog.offers(spark, sf_dir).select("category", "name", F.explode(F.array(F.col("product_id"), F.col("product_id") + 1)).alias("product_id"))
+    rows = o.join(p.select("product_id", F.col("name").alias("product_name")), "product_id").groupBy("category", "product_name", "name").agg(F.count("*").alias("n"))
+    rows = features.evaluate(attributes_of_names.with_attributes(rows, dictionary), ["i_nameattributes", "r_nameattributes"])
+    return rows.groupBy("category", "i_nameattributes", F.round("r_nameattributes", 6).alias("r_nameattributes")).agg(F.sum("n").alias("n"))
+
+
 #: A title with all that the normaliser takes out or joins; its SQL says from the columns what has to be left.
 _RAW = "'{{Note ' || p_partkey::VARCHAR || '}} ' || p_name || ' (' || p_brand || '), ' || p_size::VARCHAR || ' KG x ' || (p_size % 5)::VARCHAR || ' - ' || (p_size * 10)::VARCHAR || ',50 czk; exp. 1.2.2020 akce ' || p_size::VARCHAR || ' % lot' || p_size::VARCHAR || ',50dm, Žluťoučký ' || p_name || ' 2 * 3 * 4 cm za 30 dní'"
 
