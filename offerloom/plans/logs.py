@@ -12,6 +12,7 @@ from offerloom.plans.base import PRODUCTS, query
 from offerloom.sources import catalog
 from offerloom.sources.scratch import shared_path
 from offerloom.streaming import decisions as streaming
+from offerloom.streaming import queue
 
 _NEAR = """WITH d AS (SELECT q.vec_id AS query_id, v.vec_id AS vector_id, v.label, q.label AS own, list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) ** 2 AS distance
   FROM embeddings q, embeddings v WHERE q.vec_id % 50 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vector_id) AS place FROM d), near AS (SELECT * FROM r WHERE place <= 10)"""
@@ -248,6 +249,35 @@ def _stream_folder(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+_TRIES, _MINUTES = 3, 2 * 24 * 60
+_GONE = f"s.came IS NOT NULL AND e.ms >= s.came + {_MINUTES * 60_000}"
+_HELD = f"s.came IS NOT NULL AND e.ms < s.came + {_MINUTES * 60_000}"
+
+
+@query(f"""WITH RECURSIVE e AS (SELECT user_id, ms, kind, row_number() OVER (PARTITION BY user_id ORDER BY ms, kind) AS r FROM (
+    SELECT user_id, epoch_us(ts) // 1000 AS ms, CASE event_type WHEN 'view' THEN 'new' WHEN 'signup' THEN 'new' WHEN 'purchase' THEN 'done' ELSE 'failed' END AS kind FROM events)),
+s AS (SELECT DISTINCT user_id, 0::BIGINT AS r, NULL::INT AS tries, NULL::BIGINT AS came, NULL::VARCHAR AS action, NULL::INT AS told, NULL::BIGINT AS ms, NULL::INT AS lost, NULL::BIGINT AS lost_at FROM e
+  UNION ALL SELECT user_id, e.r, CASE WHEN {_HELD} THEN CASE WHEN kind = 'new' THEN s.tries WHEN kind = 'failed' AND s.tries < {_TRIES} THEN s.tries + 1 END WHEN kind = 'new' THEN 1 END,
+    CASE WHEN {_HELD} THEN CASE WHEN kind = 'new' OR kind = 'failed' AND s.tries < {_TRIES} THEN s.came END WHEN kind = 'new' THEN e.ms END,
+    CASE WHEN {_HELD} THEN CASE kind WHEN 'done' THEN 'done' WHEN 'failed' THEN CASE WHEN s.tries < {_TRIES} THEN 'retry' ELSE 'dropped' END END WHEN kind = 'new' THEN 'process' END,
+    CASE WHEN {_HELD} THEN CASE WHEN kind = 'failed' AND s.tries < {_TRIES} THEN s.tries + 1 ELSE s.tries END ELSE 1 END, e.ms,
+    CASE WHEN {_GONE} THEN s.tries END, CASE WHEN {_GONE} THEN s.came + {_MINUTES * 60_000} END FROM s JOIN e USING (user_id) WHERE e.r = s.r + 1),
+last AS (SELECT user_id, max(r) AS r FROM s GROUP BY 1)
+SELECT user_id AS offer_id, action, told AS tries, epoch_ms(ms) AS at FROM s WHERE action IS NOT NULL UNION ALL SELECT user_id, 'dropped', lost, epoch_ms(lost_at) FROM s WHERE lost_at IS NOT NULL
+UNION ALL SELECT user_id, 'dropped', s.tries, epoch_ms(s.came + {_MINUTES * 60_000}) FROM s JOIN last USING (user_id, r) WHERE s.came + {_MINUTES * 60_000} <= (SELECT max(ms) FROM e)""")
+def retry_queue(spark, sf_dir):
+    """The log as events of a queue, in three parts that come one after another, each taken by a run of its own."""
+    kind = F.when(F.col("event_type").isin("view", "signup"), "new").when(F.col("event_type") == "purchase", "done").otherwise("failed")
+    events = catalog.table(spark, sf_dir, "events").select(F.col("user_id").alias("offer_id"), kind.alias("kind"), F.col("ts").cast("timestamp").alias("ts"))
+    low, high = events.agg(F.min(F.unix_millis("ts")), F.max(F.unix_millis("ts"))).first()  # two numbers
+    third = F.least(F.floor((F.unix_millis("ts") - low) * 3 / (high - low + 1)), F.lit(2)) if low is not None else F.lit(0)
+    folder, out, checkpoint = (shared_path(spark, name) for name in ("events", "actions", "progress"))
+    for part in range(3):
+        events.filter(third == part).write.mode("append").parquet(folder)
+        queue.run(spark.readStream.schema(events.schema).parquet(folder), out, checkpoint, _TRIES, _MINUTES).awaitTermination()
+    return spark.read.parquet(out).select("offer_id", "action", "tries", F.col("at").cast("timestamp_ntz").alias("at"))
+
+
 #: At most so many labelled pairs are learned from, in the order of a hash; all pairs are scored.
 TRAINING_PAIRS = 20_000
 _TREES = ["price", "name_similarity", "ean_matches", "size_gap"]

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from offerloom.sources.scratch import saved
+
 TRIES, MINUTES = 5, 190
 
 
@@ -21,9 +23,20 @@ def once_each(offers: DataFrame, time_col: str = "ts", key: str = "offer_id") ->
     return offers.withWatermark(time_col, f"{MINUTES} minutes").dropDuplicatesWithinWatermark([key])
 
 
+#: A batch of up to so many offers is sent to all tasks to look for it in the catalogue.
+MOST_SENT = 100_000
+
+
 def split_batch(batch: DataFrame, catalogue: DataFrame, key: str = "offer_id") -> tuple[DataFrame, DataFrame]:
-    """(offers that the catalogue has, ids that it doesn't have and that are only acknowledged)."""
-    return batch.join(catalogue.select(key).distinct(), key, "left_semi"), batch.join(catalogue.select(key).distinct(), key, "left_anti").select(key)
+    """(offers that the catalogue has, ids that it doesn't have and that are only acknowledged). Null ids are unknown.
+
+    The catalogue is read once and isn't shuffled for a batch of bounded size: the batch's ids are sent to it."""
+    batch = saved(batch, "batch")
+    ids = batch.select(key).distinct()
+    few = ids.limit(MOST_SENT + 1).count() <= MOST_SENT
+    there = catalogue.select(key).join(F.broadcast(ids) if few else ids, key, "left_semi").distinct().withColumn("_there", F.lit(True))
+    marked = saved(batch.join(F.broadcast(there) if few else there, key, "left"), "marked")
+    return marked.filter("_there").drop("_there"), marked.filter("_there is null").select(key)
 
 
 def retries(failed: DataFrame, time_col: str = "first_seen", now: str | None = None) -> DataFrame:
