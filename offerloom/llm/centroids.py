@@ -23,6 +23,7 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,11 +40,9 @@ def most_narrow(dims: int) -> int:
     return min(2**31 - 1, math.isqrt(2**62 // dims) // 2 - 1)
 
 
-def whole(values: list | None, dims: int, scale: int) -> list[int] | None:
-    """floor(scale * x) of each component, exactly; None if the vector doesn't count."""
-    if values is None or len(values) != dims or not all(x is not None and math.isfinite(x) for x in values):
-        return None
-    return [math.floor(y) if math.isfinite(y := scale * float(x)) else scale * int(x) for x in values]
+def whole(values: list[float], scale: int) -> list[int]:
+    """floor(scale * x) of each component, exactly."""
+    return [math.floor(y) if math.isfinite(y := scale * x) else scale * int(x) for x in values]
 
 
 def nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -96,12 +95,16 @@ def kept_vectors(vectors: DataFrame, dims: int, scale: int, id_col: str, vector_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(k, AT_ONCE) for k in range(0, batch.num_rows, AT_ONCE)):
-                each = [whole(v, dims, scale) for v in part.column(1).to_pylist()]
-                at = [k for k, v in enumerate(each) if v is not None]
-                small = [max(map(abs, each[k])) <= most for k in at]
-                narrow = [np.array(each[k], "<i4").tobytes() if s else None for k, s in zip(at, small)]
-                wide = [None if s else ",".join(map(str, each[k])) for k, s in zip(at, small)]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at, pa.int64())), pa.array(narrow, pa.binary()), pa.array(wide, pa.string())], ["id", "narrow", "wide"])
+                right = part.filter(pc.fill_null(pc.equal(pc.list_value_length(part.column(1)), dims), False))
+                flat = pc.cast(right.column(1).flatten(), pa.float64())
+                x = flat.fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(-1, dims)
+                finite = np.isfinite(x).all(axis=1)
+                right, x = right.filter(pa.array(finite)), x[finite]
+                scaled = np.floor(scale * np.clip(x, -most, most))  # exact for all that isn't clipped
+                small = (np.abs(scale * np.clip(x, -most, most)) <= most - 1).all(axis=1)
+                narrow = [row.tobytes() if s else None for row, s in zip(scaled.astype("<i8").astype("<i4"), small)]
+                wide = [None if s else ",".join(map(str, whole(row.tolist(), scale))) for row, s in zip(x, small)]
+                yield pa.RecordBatch.from_arrays([right.column(0), pa.array(narrow, pa.binary()), pa.array(wide, pa.string())], ["id", "narrow", "wide"])
 
     id_type = vectors.schema[id_col].dataType.simpleString()
     return vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")).mapInArrow(run, f"id {id_type}, narrow binary, wide string")
