@@ -15,7 +15,7 @@ from __future__ import annotations
 import array
 import functools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,8 +63,8 @@ def fill_one(sizes: np.ndarray, limits: np.ndarray) -> list[int]:
 def pack_examples(examples: DataFrame, key_cols: list[str], tokens_col: str, loss_col: str, limits: Limits = Limits()) -> DataFrame:
     """Whole examples into sequences: the key columns, tokens and loss tokens, sequence_id, position and offset.
 
-    Null counts are 0. An example beyond a limit gets a sequence of its own, marked oversized. Equal examples are packed
-    one by one. An empty table gives no rows.
+    Null counts are 0. An example beyond a limit fits no sequence: it comes back marked oversized, without one. Equal examples
+    are packed one by one. An empty table gives no rows.
     """
     chosen = examples.select(*key_cols, F.coalesce(F.col(tokens_col), F.lit(0)).cast("long").alias("_tokens"), F.coalesce(F.col(loss_col), F.lit(0)).cast("long").alias("_loss"))
     names = [*key_cols, "n_tokens", "n_loss", "sequence_id", "position", "offset", "oversized"]
@@ -75,11 +75,11 @@ def pack_examples(examples: DataFrame, key_cols: list[str], tokens_col: str, los
         rows: list[tuple] = []
         sizes = np.zeros((0, 3))
 
-        def close(chosen: list[int], oversized: bool = False) -> list[tuple]:
+        def close(chosen: list[int]) -> list[tuple]:
             nonlocal sequence, rows, sizes
             out, offset = [], 0
             for position, k in enumerate(chosen):
-                out.append((*rows[k], sequence, position, offset, oversized))
+                out.append((*rows[k], sequence, position, offset, False))
                 offset += rows[k][-2]
             sequence += 1
             gone = set(chosen)
@@ -90,8 +90,7 @@ def pack_examples(examples: DataFrame, key_cols: list[str], tokens_col: str, los
         def packed(least: int) -> list[tuple]:
             out = []
             while len(rows) > least:
-                chosen = fill_one(sizes, most)
-                out += close(chosen) if chosen else close([0], True)
+                out += close(fill_one(sizes, most))
             return out
 
         def table(out: list[tuple]) -> pa.RecordBatch:
@@ -104,6 +103,9 @@ def pack_examples(examples: DataFrame, key_cols: list[str], tokens_col: str, los
             out = []
             for start in range(0, batch.num_rows, WINDOW):
                 more = [tuple(x.values()) for x in batch.slice(start, WINDOW).to_pylist()]
+                fits = [r[-2] <= limits.tokens and r[-1] <= limits.loss and limits.segments > 0 for r in more]
+                out += [(*r, None, None, None, True) for r, fit in zip(more, fits) if not fit]
+                more = [r for r, fit in zip(more, fits) if fit]
                 rows += more
                 sizes = np.vstack([sizes, np.array([(r[-2], 1, r[-1]) for r in more], float).reshape(-1, 3)])
                 out += packed(WINDOW)
@@ -114,48 +116,43 @@ def pack_examples(examples: DataFrame, key_cols: list[str], tokens_col: str, los
     return chosen.mapInArrow(run, f"{schema}, n_tokens long, n_loss long, sequence_id long, position long, offset long, oversized boolean")
 
 
-class ByteTokenizer:
-    """Ids of a byte-level vocabulary as the tokenizers library gives them, word by word from a bounded memo.
+class Recent(Memo):
+    """A memo of two generations: what has been used since the last change is kept at the next."""
 
-    Words new to the memo go to tiktoken over the same vocabulary, which is several times as fast. One in eight of them (by a
-    hash) goes to the tokenizers library as well in each Arrow batch: differences() counts what the two cut otherwise. A
-    text that holds a special token's string goes to the tokenizers library as a whole.
-    """
+    def __init__(self, make: Callable[[str], object], limit: int = 500_000):
+        super().__init__(make, limit)
+        self.older: dict[str, object] = {}
 
-    def __init__(self, json_path: str, ranks_path: str, pattern: str):
-        import base64
+    def __missing__(self, word: str):
+        value = self.older.get(word)
+        if value is None:
+            return super().__missing__(word)
+        self[word] = value
+        return value
 
-        import tiktoken
-        from tokenizers import Tokenizer
+    def trim(self) -> None:
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
 
-        self.whole = Tokenizer.from_file(json_path)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        ordinary = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.new: list[tuple[str, bytes]] = []
-
-        def ids(text: str) -> bytes:
-            out = array.array("I", ordinary(text)).tobytes()
-            if zlib.crc32(out) % 8 == 0:
-                self.new.append((text, out))
-            return out
 
-        self.ordinary, self.bare = ids, Memo(ids)
-        self.spaced = Memo(lambda word: ids(" " + word))
-        self.newline = ids("\n")
+class ByteTokenizer:
+    """Ids of a byte-level vocabulary by the tokenizers library, word by word from a bounded memo. A text that holds a special
+    token's string goes to the library as a whole."""
+
+    def __init__(self, json_path: str):
+        from tokenizers import Tokenizer
 
-    def differences(self) -> int:
-        """How many of the words and texts set aside since the last call the tokenizers library encodes otherwise."""
-        new, self.new = self.new, []
-        return sum(array.array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes() != ids for text, ids in new)
+        library = Tokenizer.from_file(json_path)
+        self.special = [t.content for t in library.get_added_tokens_decoder().values()]
+        self.whole = lambda text: array.array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
+        self.bare, self.spaced = Recent(self.whole), Recent(lambda word: self.whole(" " + word))
+        self.newline = self.whole("\n")
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if any(s in text for s in self.special):
-            return array.array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        if not text or _odd_space(text):
-            return self.ordinary(text)
+        if not text or _odd_space(text) or any(s in text for s in self.special):
+            return self.whole(text)
         out, spaced = [], self.spaced.__getitem__
         for line in text.split("\n"):
             words = line.split(" ")
@@ -175,8 +172,8 @@ def _odd_space(text: str) -> bool:
 
 
 @functools.lru_cache(maxsize=2)
-def _tokenizer(json_path: str, ranks_path: str, pattern: str) -> ByteTokenizer:
-    return ByteTokenizer(json_path, ranks_path, pattern)
+def _tokenizer(json_path: str) -> ByteTokenizer:
+    return ByteTokenizer(json_path)
 
 
 @dataclass
@@ -267,32 +264,30 @@ class DocumentPacker:
         return out
 
 
-def with_lengths(turns: DataFrame, json_path: str, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+def with_lengths(turns: DataFrame, json_path: str, text_col: str = "text") -> DataFrame:
     """turns with n_ids, the number of a text's ids; null text is the empty text. A column n_ids is replaced."""
     kept = turns.drop("n_ids")
     at = kept.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(json_path, ranks_path, pattern)
+        tokenizer = _tokenizer(json_path)
         for batch in batches:
             tokenizer.spaced.trim(), tokenizer.bare.trim()
             n = [len(tokenizer.encode(text or "")) // 4 for text in batch.column(at).to_pylist()]
-            if differ := tokenizer.differences():
-                raise ValueError(f"the two libraries differ in {differ} words")
             yield batch.append_column("n_ids", pa.array(n, pa.int64()))
 
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("n_ids", T.LongType())]))
 
 
-def pack_conversations(turns: DataFrame, json_path: str, ranks_path: str, pattern: str, limits: Limits, taught: str = "assistant", id_col: str = "conv_id", role_col: str = "role") -> DataFrame:
+def pack_conversations(turns: DataFrame, json_path: str, limits: Limits, taught: str = "assistant", id_col: str = "conv_id", role_col: str = "role") -> DataFrame:
     """Whole conversations into sequences, by tokens (each turn's ids and one that ends it), segments and the tokens that
     bear loss, those of the turns of one role. Turns without a conversation are one; an unknown role bears no loss."""
-    sized = with_lengths(turns.select(id_col, role_col, "text"), json_path, ranks_path, pattern)
+    sized = with_lengths(turns.select(id_col, role_col, "text"), json_path)
     each = sized.groupBy(id_col).agg(F.sum(F.col("n_ids") + 1).alias("tokens"), F.coalesce(F.sum(F.when(F.col(role_col) == taught, F.col("n_ids") + 1)), F.lit(0)).alias("loss"))
     return pack_examples(each, [id_col], "tokens", "loss", limits)
 
 
-def pack_documents(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, end_id: int = 1, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, json_path: str, end_id: int = 1, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents' ids, each document ended by end_id, cut into pieces and packed; one row per piece.
 
     Null text is the empty text: its only id is end_id. Texts of any length are cut; repeated rows and null keys are
@@ -302,7 +297,7 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str, pattern: st
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(json_path, ranks_path, pattern)
+        tokenizer = _tokenizer(json_path)
         packer = DocumentPacker(limits, TaskContext.get().partitionId() << 32)
         end, key_type = array.array("I", [end_id]).tobytes(), None
 
@@ -316,8 +311,6 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str, pattern: st
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows += packer.add(key, tokenizer.encode(text or "") + end)
-            if differ := tokenizer.differences():
-                raise ValueError(f"the two libraries differ in {differ} words")
             yield table(rows)
         if key_type is not None:
             yield table(packer.finish())

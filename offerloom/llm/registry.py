@@ -27,7 +27,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(f"{BYTES}.json"), public_tokenizers.path(f"{BYTES}.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(f"{BYTES}.json"))
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +81,7 @@ def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Instruction data: whole conversations, where the tokens of the answers are a limit of their own."""
     turns = table(spark, sf_dir, "conversations")
-    return packing.pack_conversations(turns, public_tokenizers.path(f"{BYTES}.json"), public_tokenizers.path(f"{BYTES}.tiktoken"), public_tokenizers.PATTERN, packing.Limits(2048, 16, 1024))
+    return packing.pack_conversations(turns, public_tokenizers.path(f"{BYTES}.json"), packing.Limits(2048, 16, 1024))
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_token_counts, op3_packing, op4_fingerprints, op5_surrogates, op6_quality_rules, op7_warc_revisits, op8_quality_grades, op9_sentencepiece, op10_near_join, op11_line_dedup, op12_fill_in_middle, op13_centroid_clusters, conversation_packing)} | {"pipeline": corpus_pipeline.run}

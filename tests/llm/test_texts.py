@@ -10,7 +10,7 @@ import pytest
 from offerloom.llm import grades, packing, pieces, rules, secrets, wordpiece
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
-JSON, RANKS = (public_tokenizers.path(f"byte_bpe_50k.{e}") for e in ("json", "tiktoken"))
+JSON = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def ids_of(rows):
@@ -142,11 +142,11 @@ def test_pack_documents(docs, edge, empty):
     df = docs.sparkSession.createDataFrame([(r.doc_id + (0 if k < 200 else 10**6), r.text) for k, r in enumerate(df)], "doc_id long, text string")
     # null and repeated ids: the pieces' lengths and hashes are those of all their texts
     some = edge.select("doc_id", "text").filter("doc_id is null or doc_id <= 2")
-    pieces_of = packing.pack_documents(some.coalesce(1), JSON, RANKS, public_tokenizers.PATTERN).collect()
+    pieces_of = packing.pack_documents(some.coalesce(1), JSON).collect()
     texts = [(r.doc_id, [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1]) for r in some.collect()]
     assert sum(r.length for r in pieces_of) == sum(len(t) for _, t in texts)
     assert sorted((str(r.doc_id), r.doc_tokens) for r in pieces_of if r.start == 0) == sorted((str(i), len(t)) for i, t in texts)
-    out = packing.pack_documents(df, JSON, RANKS, public_tokenizers.PATTERN).collect()
+    out = packing.pack_documents(df, JSON).collect()
     by_doc, by_sequence = {}, {}
     for r in out:
         by_doc.setdefault(r.doc_id, []).append(r)
@@ -165,7 +165,17 @@ def test_pack_documents(docs, edge, empty):
             assert r.offset == at
             at += r.length
         assert at <= 2048 and at & (at - 1) == 0 and len(rows) <= 64
-    assert packing.pack_documents(empty, JSON, RANKS, public_tokenizers.PATTERN).count() == 0
+    assert packing.pack_documents(empty, JSON).count() == 0
+
+
+def test_recent_words_stay():
+    """What is used between two changes of the memo is never made again."""
+    made = []
+    memo = packing.Recent(lambda w: made.append(w) or len(w), limit=3)
+    for k in range(40):
+        assert memo["often"] == 5 and memo[str(k)] == len(str(k))
+        memo.trim()
+    assert made.count("often") == 1 and len(made) == 41 and len(memo) + len(memo.older) <= 9
 
 
 @pytest.mark.parametrize("limits", [packing.Limits(100, 4, 50), packing.Limits(64, 64, 10)])
@@ -177,10 +187,13 @@ def test_pack_examples(spark, limits):
     sequences = {}
     for r in out:
         sequences.setdefault(r.sequence_id, []).append(r)
+    beyond = lambda r: r.n_tokens > limits.tokens or r.n_loss > limits.loss
+    assert all(r.oversized and beyond(r) for r in sequences.pop(None))
     for s in sequences.values():
-        fits = sum(r.n_tokens for r in s) <= limits.tokens and len(s) <= limits.segments and sum(r.n_loss for r in s) <= limits.loss
-        assert fits or len(s) == 1 and s[0].oversized
-    least = max(sum(b or 0 for _, b, _ in rows) / limits.tokens, len(rows) / limits.segments, sum(c for *_, c in rows) / limits.loss)
+        assert sum(r.n_tokens for r in s) <= limits.tokens and len(s) <= limits.segments and sum(r.n_loss for r in s) <= limits.loss
+    packed = [r for r in out if not r.oversized]
+    assert not any(map(beyond, packed))
+    least = max(sum(r.n_tokens for r in packed) / limits.tokens, len(packed) / limits.segments, sum(r.n_loss for r in packed) / limits.loss)
     assert len(sequences) <= 1.25 * least + 8
 
 
@@ -197,17 +210,18 @@ def test_pack_conversations(spark, sf):
         n = len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1
         tokens[r.conv_id] += n
         loss[r.conv_id] += n * (r.role == "assistant")
-    out = packing.pack_conversations(turns, JSON, RANKS, public_tokenizers.PATTERN, limits).collect()
+    out = packing.pack_conversations(turns, JSON, limits).collect()
     assert {r.conv_id: (r.n_tokens, r.n_loss) for r in out} == {k: (tokens[k], loss[k]) for k in tokens} and len(out) == len(tokens)
     sequences = {}
     for r in out:
         sequences.setdefault(r.sequence_id, []).append(r)
     fits = lambda s: sum(r.n_tokens for r in s) <= 600 and len(s) <= 5 and sum(r.n_loss for r in s) <= 200
-    assert all(fits(s) or len(s) == 1 and s[0].oversized for s in sequences.values())
+    assert not any(fits([r]) for r in sequences.pop(None, ())) and all(map(fits, sequences.values()))
     # the loss limit binds: without it some sequence of several conversations goes past it
     free = {}
-    for r in packing.pack_conversations(turns, JSON, RANKS, public_tokenizers.PATTERN, packing.Limits(600, 5, 600)).collect():
+    for r in packing.pack_conversations(turns, JSON, packing.Limits(600, 5, 600)).collect():
         free.setdefault(r.sequence_id, []).append(r.n_loss)
+    free.pop(None, None)
     assert any(len(s) > 1 and sum(s) > 200 for s in free.values())
 
 
