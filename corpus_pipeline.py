@@ -14,7 +14,7 @@ from offerloom.llm import grades, nearjoin, packing, pii, rules
 from offerloom.llm.common import saved, table
 
 SURROGATE_KEY = "offerloom"
-VOCABULARY = "byte_bpe_50k"
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in training sequences."""
-    path = public_tokenizers.path
-    return packing.pack_documents(docs, path(f"{VOCABULARY}.json"), path(f"{VOCABULARY}.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY))
 
 
 STAGES = [
