@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from offerloom.sources.scratch import saved, shared_path
 
-__all__ = ["WORD_BREAK", "Memo", "parted", "saved", "shared_path", "table"]
+__all__ = ["WORD_BREAK", "Memo", "free", "parted", "saved", "set_aside", "shared_path", "table"]
 
 #: White space that separates words; the same five control characters and the space everywhere.
 WORD_BREAK = r"[ \t-\r]+"
@@ -23,6 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(name: str, taken: list[str]) -> str:
+    """A name that none of the columns has, whatever their case."""
+    lower = {c.lower() for c in taken}
+    return next(c for k in range(len(lower) + 1) if (c := f"{name}{k}") not in lower)
+
+
+def set_aside(rows: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """rows with columns under names that no working column has, and each column by its own name, to be given back."""
+    names = {c: f"_own_{k}" for k, c in enumerate(rows.columns)}
+    return rows.select(*(F.col(c).alias(n) for c, n in names.items())), {c: F.col(n).alias(c) for c, n in names.items()}
+
+
 def parted(rows: DataFrame, row_hash: Column, hashes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows that surely have none of the hashes, the others): no row moves, so long texts needn't be shuffled to find few.
 
@@ -30,8 +42,7 @@ def parted(rows: DataFrame, row_hash: Column, hashes: DataFrame) -> tuple[DataFr
     hashes are among the others, so a join has to follow. A null hash counts as none.
     """
     name = hashes.columns[0]
-    taken = {c.lower() for c in rows.columns}
-    place_, set_, bits_ = (next(c for k in range(len(taken) + 1) if (c := f"_{n}{k}") not in taken) for n in ("place", "set", "bits"))
+    place_, set_, bits_ = (free(f"_{n}", rows.columns) for n in ("place", "set", "bits"))
     bits = _LEAST_BITS
     wanted = _BITS_EACH * hashes.count()
     while bits < min(wanted, _MOST_BITS):

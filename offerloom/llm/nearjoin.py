@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from offerloom.llm.common import parted, saved
+from offerloom.llm.common import free, parted, saved
 
 WORDS = 5
 BANDS, BAND_VALUES = 32, 5
@@ -146,14 +146,23 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: np.ndar
     return total[i, j].astype(np.int64)
 
 
+def agree_on(k: int, sig_a: np.ndarray, sig_b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which of the pairs (i, j) have equal values in band k."""
+    at = slice(k * BAND_VALUES, (k + 1) * BAND_VALUES)
+    return (sig_a[i, at] == sig_b[j, at]).all(axis=1)
+
+
 def linked(a: list[np.ndarray], b: list[np.ndarray], sig_a: np.ndarray, sig_b: np.ndarray, same: bool, threshold: float, band: int = -1) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs whose exact similarity is the threshold or more; in a bucket of a band, those that agree on no band before."""
+    """Pairs that agree on a band and whose exact similarity is the threshold or more; in a bucket of a band, those that agree
+    on no band before. So a pair is linked by one rule, wherever it is compared."""
     i, j = likely_pairs(sig_a, sig_b, same, threshold)
+    if band < 0:
+        apart = np.arange(len(i))
+        for k in range(BANDS):
+            apart = apart[~agree_on(k, sig_a, sig_b, i[apart], j[apart])]
+        i, j = np.delete(i, apart), np.delete(j, apart)
     for k in range(band):
-        if not len(i):
-            break
-        at = slice(k * BAND_VALUES, (k + 1) * BAND_VALUES)
-        fresh = (sig_a[i, at] != sig_b[j, at]).any(axis=1)
+        fresh = ~agree_on(k, sig_a, sig_b, i, j)
         i, j = i[fresh], j[fresh]
     if not len(i):
         return i, j
@@ -328,8 +337,10 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> D
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """docs without the rows that have a linked text or copy with a smaller id; repeated rows of an id stay once, and its
-    other texts are judged by themselves. Rows with a null id stay only where no row of their class has an id."""
+    """One row of docs for each class of copies and linked texts (chains of links included), that with the smallest id;
+    repeated rows of an id stay once, and its other texts are judged by themselves. Rows with a null id stay only where no row
+    of their class has an id."""
+    key_, only_ = (free(n, docs.columns) for n in ("_set_key", "_only"))
     joined = saved(_classes(docs, id_col, text_col, threshold).select(id_col, "class_id", "set_key", "root"), "joined")
     ids = joined.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
         F.count("*").alias("_n"), F.bool_or(F.col(id_col) != F.col("class_id")).alias("_gone"), F.min("set_key").alias("_low"), F.max("set_key").alias("_high"), F.count_if(F.col("set_key") == "").alias("_empty")
@@ -348,18 +359,18 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.append_column("_set_key", pa.array([set_key(shingles(t)) for t in batch.column(at).to_pylist()], pa.string()))
+            yield batch.append_column(key_, pa.array([set_key(shingles(t)) for t in batch.column(at).to_pylist()], pa.string()))
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_set_key", T.StringType())])
-    nameless = nameless.mapInArrow(with_key, schema).join(lonely.withColumnRenamed("set_key", "_set_key"), "_set_key", "left_semi").drop("_set_key")
+    schema = T.StructType([*docs.schema.fields, T.StructField(key_, T.StringType())])
+    nameless = nameless.mapInArrow(with_key, schema).join(lonely.withColumnRenamed("set_key", key_), key_, "left_semi")
     out = named.select(docs.columns).unionByName(nameless.select(docs.columns))
     if torn.isEmpty():
         return out
 
     # texts of such an id: one key of each class that the id stands for, and every text without shingles
     first = joined.join(torn, id_col, "left_semi").filter(F.col(id_col) == F.col("class_id"))
-    lead = first.filter("set_key <> ''").groupBy(id_col, "root").agg(F.min("set_key").alias("_set_key")).select(id_col, "_set_key")
+    lead = first.filter("set_key <> ''").groupBy(id_col, "root").agg(F.min("set_key").alias(key_)).select(id_col, key_)
     kept = lead.union(first.filter("set_key = ''").select(id_col, "set_key").distinct())
-    texts = likely.join(torn, id_col, "left_semi").select(docs.columns).mapInArrow(with_key, schema).join(kept, [id_col, "_set_key"], "left_semi")
-    texts = texts.withColumn("_only", F.when(F.col("_set_key") == "", F.col(text_col))).dropDuplicates([id_col, "_set_key", "_only"])
+    texts = likely.join(torn, id_col, "left_semi").select(docs.columns).mapInArrow(with_key, schema).join(kept, [id_col, key_], "left_semi")
+    texts = texts.withColumn(only_, F.when(F.col(key_) == "", F.col(text_col))).dropDuplicates([id_col, key_, only_])
     return out.unionByName(texts.select(docs.columns))

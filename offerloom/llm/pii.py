@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import parted, saved
+from offerloom.llm.common import parted, saved, set_aside
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: Titles by gender; the name's own script decides the script of the surrogate.
@@ -45,8 +45,10 @@ KINDS = {
     "name": rf"(?<!\w)(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
 }
 ENTITY = "|".join(f"(?:{r})" for r in KINDS.values())
-#: What every entity needs: a cheap look before the whole expression.
-LIKELY = rf"@|\d[\d .()-]{{5,}}\d|(?:{_TITLE})\.? \p{{Lu}}"
+#: What every entity of a kind has in it: a cheap look before the whole expression. Several kinds need a run of digits.
+_DIGITS = r"\d[\d .()-]{5,}\d"
+NEEDS = {"email": "@", "ip": _DIGITS, "phone": _DIGITS, "phone_intl": r"\+\d", "ssn": _DIGITS, "card": _DIGITS, "iban": r"[A-Z]{2}\d{2}", "name": rf"(?:{_TITLE})\.? \p{{Lu}}"}
+LIKELY = "|".join(dict.fromkeys(NEEDS[kind] for kind in KINDS))
 #: Alphabets from which letters are drawn, by what they replace: each a range of one script.
 ALPHABETS = (
     (r"[0-9]", "0123456789"),
@@ -168,9 +170,9 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     longer = F.greatest(attempt - SAME_LENGTH, F.lit(0))
     wider = F.concat(canon, F.repeat(F.lit("0"), longer))
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
-    # a domain is drawn by itself, so that addresses of one domain stay together; its end is a reserved one
-    domain_seed = F.concat(F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), domain), 512), F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain 2"), domain), 512))
-    email = F.concat(_drawn(own, F.concat(local, F.repeat(F.right(F.regexp_replace(local, r"[^\p{L}\p{N}]", "x"), F.lit(1)), longer))), F.lit("@"), F.regexp_replace(_drawn(domain_seed, domain), r"\.[^.]+$", ".example"))
+    # an address is drawn inside its domain, which is an entity of its own, so that addresses of one domain stay together
+    email = F.concat(_drawn(own, F.concat(local, F.repeat(F.right(F.regexp_replace(local, r"[^\p{L}\p{N}]", "x"), F.lit(1)), longer))), F.lit("@"), domain)
+    reserved = F.regexp_replace(_drawn(own, F.concat(F.repeat(F.lit("x"), longer), canon)), r"\.[^.]+$", ".example")
     # the reserved range of short addresses, then the much larger one for documentation
     ip = F.concat_ws(".", (_number(own, 0, 15) + 240).cast("string"), *((_number(own, k, 256)).cast("string") for k in (1, 2, 3)))
     ip = F.when(longer == 0, ip).otherwise(F.concat_ws(":", F.lit("2001:db8"), *(F.substring(own, 4 * k + 1, 4) for k in range(6))))
@@ -178,6 +180,7 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     phone = F.concat(country, _drawn(own, F.substr(wider, F.char_length(country) + 1, F.lit(64))))
     return (
         F.when(kind == "email", email)
+        .when(kind == "domain", reserved)
         .when(kind == "ip", ip)
         .when(kind == "phone", phone)
         .when(kind == "ssn", F.concat(F.lit("9"), F.substr(_drawn(own, wider), F.lit(2), F.lit(64))))
@@ -227,17 +230,21 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     text, handle = F.col(text_col), F.xxhash64(F.col(id_col), F.col(text_col))  # of both, so that rows without an id don't share one
     found = docs.filter(text.rlike(LIKELY)).select(handle.alias("_handle"), F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))).alias("surface"))
     found = saved(found.withColumn("kind", kind_of(F.col("surface"))), "mentions")
-    # a row for each entity of a mention: a name has a part or two
+    # a row for each entity of a mention: a name has a part or two, an address has a domain
     named = found.filter("kind = 'name'").select("_handle", "surface", F.posexplode(name_parts(F.col("surface"))).alias("at", "x")).select("_handle", "surface", "x.kind", F.col("x.part").alias("canon"), "at")
     plain = found.filter("kind <> 'name'").select("_handle", "surface", "kind", canonical(F.col("kind"), F.col("surface")).alias("canon"), F.lit(0).alias("at"))
-    mentions = saved(plain.union(named), "entity-mentions")
+    domains = plain.filter("kind = 'email'").select("_handle", "surface", F.lit("domain").alias("kind"), F.substring_index("canon", "@", -1).alias("canon"), F.lit(1).alias("at"))
+    mentions = saved(plain.union(named).union(domains), "entity-mentions")
     forms = surrogates(mentions, key)
 
     met = mentions.join(forms, ["kind", "canon"])
     is_name = F.col("kind").isin("family", "given_f", "given_m", "given_n")
     parts = met.filter(is_name).groupBy("_handle", "surface").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "form"))), lambda x: x["form"]), " ").alias("name"))
     whole = parts.select("_handle", "surface", F.concat(F.substring_index("surface", " ", 1), F.lit(" "), "name").alias("new"))
-    pairs = met.filter(~is_name).select("_handle", "surface", rendered(F.col("kind"), F.col("surface"), F.col("form")).alias("new")).union(whole)
+    is_mail = F.col("kind").isin("email", "domain")
+    mails = met.filter(is_mail).groupBy("_handle", "surface").agg(F.max(F.when(F.col("kind") == "email", F.substring_index("form", "@", 1))).alias("local"), F.max(F.when(F.col("kind") == "domain", F.col("form"))).alias("domain"))
+    mails = mails.select("_handle", "surface", rendered(F.lit("email"), F.col("surface"), F.concat("local", F.lit("@"), "domain")).alias("new"))
+    pairs = met.filter(~is_name & ~is_mail).select("_handle", "surface", rendered(F.col("kind"), F.col("surface"), F.col("form")).alias("new")).union(whole).union(mails)
     # a name's parts stand for themselves elsewhere in the text; of two kinds with one part the family name decides
     bare = met.filter(is_name).groupBy("_handle", F.col("canon").alias("surface")).agg(F.min_by("form", "kind").alias("new"))
     pairs = pairs.select("_handle", F.lit(False).alias("bare"), "surface", "new").union(bare.select("_handle", F.lit(True), "surface", "new"))
@@ -245,7 +252,9 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     new = pairs.groupBy("_handle").agg(as_map(~F.col("bare")).alias("_new"), as_map(F.col("bare")).alias("_bare"))
 
     others, likely = parted(docs, handle, found.select("_handle"))
-    rows = likely.withColumn("_handle", handle).join(new, "_handle", "left").withColumns({"_gaps": F.split(text, ENTITY, -1), "_found": F.when(F.col("_new").isNotNull(), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))})
+    rows, own = set_aside(likely)
+    text = own[text_col]
+    rows = rows.withColumn("_handle", F.xxhash64(own[id_col], text)).join(new, "_handle", "left").withColumns({"_gaps": F.split(text, ENTITY, -1), "_found": F.when(F.col("_new").isNotNull(), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))})
 
     def gap(g: Column) -> Column:
         """A stretch between entities, with the names of the text's own people replaced word by word."""
@@ -255,7 +264,8 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     spelled = F.when(F.size("_bare") > 0, F.transform("_gaps", gap)).otherwise(F.col("_gaps"))
     parts = F.transform(F.arrays_zip(spelled.alias("gap"), F.col("_found").alias("found")), lambda x: F.concat(x["gap"], F.coalesce(F.element_at("_new", x["found"]), F.lit(""))))
     none = F.col("_found").isNull()  # a row that came along by chance
-    rows = rows.withColumns({text_col: F.when(none, text).otherwise(F.array_join(parts, "")), "n_entities": F.when(none, 0).otherwise(F.size("_found")).cast("long")}).drop("_handle", "_new", "_bare", "_gaps", "_found")
+    rows = rows.withColumns({"_replaced": F.when(none, text).otherwise(F.array_join(parts, "")), "_n": F.when(none, 0).otherwise(F.size("_found")).cast("long")})
+    rows = rows.select(*(c for name, c in own.items() if name not in (text_col, "n_entities")), F.col("_replaced").alias(text_col), F.col("_n").alias("n_entities"))
     out = others.withColumn("n_entities", F.lit(0).cast("long")).unionByName(rows)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.char_length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))

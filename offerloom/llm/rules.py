@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerloom.llm.common import WORD_BREAK
+from offerloom.llm.common import WORD_BREAK, set_aside
 
 _SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -29,9 +29,9 @@ TRAINING_ROWS = 20_000
 
 def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with COUNTS and FEATURES. Extra columns stay; one with a name of ours is replaced."""
-    clean = F.coalesce(F.col(text_col), F.lit(""))
     stripped = F.btrim(F.col("_text"), F.lit(_SPACES))
-    df = docs.withColumn("_text", clean)
+    df, own = set_aside(docs)
+    df = df.withColumn("_text", F.coalesce(own[text_col], F.lit("")))
     df = df.withColumns({
         "_words": F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, WORD_BREAK)),
         "_lines": F.filter(F.split("_text", "\n"), lambda line: F.btrim(line, F.lit(_SPACES)) != ""),
@@ -65,7 +65,7 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "digit_ratio": share(F.col("_digits"), F.col("word_chars")),
         "longest_run_ratio": share(F.col("_longest"), F.char_length("_text")),
     }
-    kept = [c for c in docs.columns if c not in (*COUNTS, *FEATURES)]
+    kept = [column for c, column in own.items() if c not in (*COUNTS, *FEATURES)]
     # a generator of one row: a filter on a count must not be moved below it, where the count would be computed again for each mention
     return df.select(*kept, F.inline(F.array(F.struct(*COUNTS, *(v.alias(k) for k, v in ratios.items())))))
 

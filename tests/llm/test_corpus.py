@@ -74,6 +74,39 @@ def test_chains_are_compared_by_bucket(spark, monkeypatch, block):
     assert got == plain_join(rows) and any(r[2] for r in got)
 
 
+def test_one_rule_at_every_size(spark, monkeypatch):
+    """A thousand planted links at all similarities from 0.8 on: the same links, whether groups or buckets are compared."""
+    import random
+
+    rng, rows = random.Random(12), []
+    for group in range(110):
+        words = [f"g{group}w{k}" for k in range(100)]
+        for copy in range(7):
+            changed = list(words)
+            for k in rng.sample(range(0, 100, 9), rng.randint(0, 2)):
+                changed[k] = f"g{group}c{copy}x{k}"
+            rows.append((group * 10 + copy, " ".join(changed)))
+    df, want = spark.createDataFrame(rows, "doc_id long, text string"), plain_join(rows)
+    assert sum(n for *_, n in want) // 2 >= 1000
+    for block, parts in ((4096, 16), (2, 2)):
+        for name, value in (("LEAST_BLOCK", block), ("MOST_BLOCK", block), ("PARTS", parts)):
+            monkeypatch.setattr(nearjoin, name, value)
+        assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in nearjoin.join_near(df).collect()) == want
+
+
+def test_pairs_without_a_common_band_are_no_links():
+    import numpy as np
+
+    a = [np.arange(100, dtype=np.uint64)] * 2
+    signatures = np.stack([np.zeros(nearjoin.VALUES, np.uint32), np.zeros(nearjoin.VALUES, np.uint32)])
+    signatures[1, :: nearjoin.BAND_VALUES] = 1  # four of five values of each band agree
+    assert len(nearjoin.likely_pairs(signatures, signatures, True, 0.8)[0]) == 1
+    assert len(nearjoin.linked(a, a, signatures, signatures, True, 0.8)[0]) == 0
+    signatures[1, 10] = 0
+    assert len(nearjoin.linked(a, a, signatures, signatures, True, 0.8)[0]) == len(nearjoin.linked(a, a, signatures, signatures, True, 0.8, 2)[0]) == 1
+    assert len(nearjoin.linked(a, a, signatures, signatures, True, 0.8, 3)[0]) == 0  # told in band 2
+
+
 def test_parted(spark):
     from offerloom.llm.common import parted
 
@@ -110,9 +143,9 @@ def test_texts_of_a_repeated_id_are_judged_by_themselves(spark):
 
 
 def test_one_of_each(spark, edge, empty):
-    df = spark.createDataFrame([(i, t, "x") for i, t in near_rows()], "doc_id long, text string, _set_key_2 string")
+    df = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in near_rows()], "doc_id long, text string, _set_key string, _only string, _set_key0 string")
     got = nearjoin.one_of_each(df)
-    assert got.columns == df.columns
+    assert got.columns == df.columns and {tuple(r)[2:] for r in got.collect()} == {("x", "y", "z")}
     classes = {(a, b) for a, b, _ in plain_join(near_rows())}
     assert {str(r.doc_id) for r in got.collect() if r.doc_id is not None} == {a for a, b in classes if a == b and a != "None"}
     assert sum(r.doc_id is None for r in got.collect()) == 1
@@ -249,6 +282,56 @@ def test_surrogates(spark, edge, empty):
     assert sorted(str(r.text) for r in pii.replace(edge, "k").collect()) == sorted(str(r.text) for r in edge.collect()) and pii.replace(empty, "k").count() == 0
 
 
+def test_every_entity_is_likely(spark):
+    """The cheap look lets every entity through: made examples of each kind, the shortest among them."""
+    import random
+
+    rng = random.Random(13)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    sep = lambda: rng.choice([" ", ".", "-"])
+    made = {
+        "email": lambda: f"{rng.choice('aé1')}@{rng.choice('bж2')}.{rng.choice(['cz', 'рф'])}",
+        "ip": lambda: ".".join(str(rng.choice([0, 1, 9, 10, 255])) for _ in range(4)),
+        "phone": lambda: rng.choice(["", "+1", "+420 "]) + rng.choice([f"({digits(3)})", f"{digits(3)}{sep()}"]) + f"{digits(3)}{sep()}{digits(4)}",
+        "phone_intl": lambda: "+" + digits(rng.randint(1, 3)) + "".join(rng.choice(["", sep()]) + digits(rng.randint(2, 4)) for _ in range(rng.randint(2, 5))),
+        "ssn": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
+        "card": lambda: rng.choice(["", " ", "-"]).join([digits(4), digits(4), digits(4), digits(rng.randint(1, 7))]),
+        "iban": lambda: "".join(rng.choices("ABXYZ", k=2)) + digits(2) + "".join(rng.choice(["", " "]) + "".join(rng.choices("AB12", k=4)) for _ in range(rng.randint(3, 7))),
+        "name": lambda: f"{rng.choice([t for ts in pii.TITLES.values() for t in ts])}{rng.choice(['', '.'])} {rng.choice(['Ab', 'Жд', 'Éa'])}",
+    }
+    assert set(made) == set(pii.KINDS) == set(pii.NEEDS)
+    rows = [(kind, f"x {make()} y") for kind, make in made.items() for _ in range(200)] + [("phone_intl", "call +123456 now")]
+    df = spark.createDataFrame(rows, "kind string, text string")
+    found = df.filter(F.col("text").rlike(pii.ENTITY))
+    assert {r.kind for r in found.select("kind").distinct().collect()} == set(made) and found.filter(~F.col("text").rlike(pii.LIKELY)).count() == 0
+    for kind, regex in pii.KINDS.items():
+        assert df.filter(F.col("text").rlike(regex) & ~F.col("text").rlike(pii.NEEDS[kind])).count() == 0
+    out = pii.replace(spark.createDataFrame([(1, "call +123456 now")], "doc_id long, text string"), "k").first()
+    assert out.n_entities == 1 and re.fullmatch(r"call \+1\d{5} now", out.text) and "+123456" not in out.text
+
+
+def test_domains_stay_different(spark):
+    """More domains than short surrogates: two domains never share one, and addresses of one domain stay together."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(k, f"{user}@{c}.org and {user.upper()}@{c.upper()}.ORG") for k, (c, user) in enumerate((c, u) for c in letters for u in ("me", "you"))]
+    out = {r.doc_id: r.text for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    domains = {}
+    for k, text in rows:
+        first, second = re.fullmatch(r"(\S+@\S+) and (\S+@\S+)", out[k]).groups()
+        assert first.upper() == second
+        domains.setdefault(text.split("@")[1].split(".")[0], set()).add(first.split("@")[1])
+    assert all(len(d) == 1 for d in domains.values()) and len(set.union(*domains.values())) == len(letters)
+
+
+def test_own_columns_stay(spark):
+    """Columns of the caller under the names of working columns."""
+    names = ("_handle", "_new", "_bare", "_gaps", "_found", "_own_0", "surface", "kind")
+    df = spark.createDataFrame([(1, "mail a@b.cz", *names), (2, None, *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = pii.replace(df, "k")
+    assert set(out.columns) == {*df.columns, "n_entities"}
+    assert all(tuple(r[n] for n in names) == names for r in out.collect()) and {r.n_entities for r in out.collect()} == {0, 1}
+
+
 def test_bare_names(spark):
     df = spark.createDataFrame([(1, "Frau Anna Novak sang. Anna and Novak; ANNA, Anna-Maria, xNovak, Novak's (Novak)")], "doc_id long, text string")
     out = pii.replace(df, "k").first().text

@@ -6,6 +6,7 @@ import re
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from offerloom.llm import grades, packing, pieces, rules, secrets, wordpiece
 
@@ -248,6 +249,10 @@ def test_statistics(spark, docs, edge, empty):
     assert sorted((str(r.doc_id), *(r[c] for c in rules.COUNTS)) for r in got) == want
     assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and r.kept == (not r.base_failed) for r in got)
     assert rules.judge(empty, []).count() == 0 and rules.judge(edge, []).count() == edge.count()
+    names = ("_text", "_words", "_lines", "_windows", "_own_0", "_n_lines", "key")
+    clash = edge.select("doc_id", "text", *(F.lit(n).alias(n) for n in names))
+    rows = rules.judge(clash, []).collect()
+    assert {tuple(r[n] for n in names) for r in rows} == {names} and sorted(str(r.text) for r in rows) == sorted(str(r.text) for r in edge.collect())
 
 
 def test_decision_list(spark):
