@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.functions import text
-from offerloom.operators import candidates, corpus, decisions, evaluation, models, monitoring, relevance, stems
+from offerloom.operators import candidates, corpus, decisions, evaluation, merges, models, monitoring, relevance, stems
 from offerloom.plans.base import PRODUCTS, query
 from offerloom.sources import catalog
 from offerloom.sources.scratch import shared_path
@@ -150,7 +150,8 @@ def matched_metrics(spark, sf_dir):
     log = _log(spark, sf_dir).filter("outcome = 'matched'").select(F.col("event_id").alias("offer_id"), "model", F.col("user_id").alias("final_product"), F.lit("c").alias("category"), F.lit("name").alias("by"))
     moves = F.col("offer_id") % 6  # products merged up to four times since
     now = log.select("offer_id", F.when(moves < 5, F.floor(F.col("final_product") / F.pow(F.lit(2.0), moves)).cast("long")).alias("product_id"), "category").filter("product_id is not null")
-    rows = monitoring.matched_metrics(monitoring.evaluated_matches(log, now, monitoring.merge_ancestors(_edges(spark, sf_dir))))
+    asked = log.select("offer_id", "final_product").join(now, "offer_id").select(F.col("final_product").alias("product_id"), F.col("product_id").alias("ancestor"))
+    rows = monitoring.matched_metrics(monitoring.evaluated_matches(log, now, merges.merged_into(asked, _edges(spark, sf_dir))))
     return rows.select("model", "n", "n_paired", "n_correct", F.round("unpaired_share", 6).alias("unpaired_share"), F.round("correct_share", 6).alias("correct_share"))
 
 
