@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.functions import text
-from offerloom.operators import candidates, corpus, decisions, evaluation, merges, models, monitoring, relevance, stems
+from offerloom.operators import candidates, corpus, decisions, evaluation, merges, models, monitoring, pivots, relevance, stems
 from offerloom.plans.base import PRODUCTS, query
 from offerloom.sources import catalog
 from offerloom.sources.scratch import shared_path
@@ -20,7 +20,7 @@ _NEAR = """WITH d AS (SELECT q.vec_id AS query_id, v.vec_id AS vector_id, v.labe
 
 def _near(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = catalog.table(spark, sf_dir, "embeddings")
-    return candidates.nearest(e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), e.select(F.col("vec_id").alias("vector_id"), "embedding"), 10)
+    return pivots.nearest(e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), e.select(F.col("vec_id").alias("vector_id"), "embedding"), 10)
 
 
 def _near_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
