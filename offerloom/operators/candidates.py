@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from offerloom.operators.quantiles import quantiles
+
 
 def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)), F.lit(0.0), lambda s, x: s + x)
@@ -169,11 +171,11 @@ def unverified_machine_pairs(offers: DataFrame, evaluated: DataFrame, relations:
 
 
 def source_statistics(candidates: DataFrame) -> DataFrame:
-    """By source and for all: candidates, different products, offers, mean per offer, and quantiles of the distance."""
+    """By source and for all: candidates, different products, offers, mean per offer, and exact quantiles of the distance."""
     rows = candidates.withColumn("source", F.explode(F.array(F.col("source"), F.lit("all"))))
-    at = F.array(*(F.lit(x) for x in (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)))
-    stats = rows.groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("product_id").alias("n_products"), F.countDistinct("offer_id").alias("n_offers"), F.percentile("distance", at).alias("quantiles"))
-    return stats.withColumn("per_offer", F.col("n") / F.col("n_offers"))
+    stats = rows.groupBy("source").agg(F.count("*").alias("n"), F.countDistinct("product_id").alias("n_products"), F.countDistinct("offer_id").alias("n_offers"))
+    spread = quantiles(rows, ["source"], "distance", [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99])
+    return stats.join(spread, "source").withColumn("per_offer", F.col("n") / F.col("n_offers"))
 
 
 def paired_rank(candidates: DataFrame, offers: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from offerloom.functions import text
 from offerloom.operators import candidates, corpus, dataset, evaluation, features, monitoring
 from offerloom.plans import base
 from offerloom.plans.base import OFFERS, PAIRS, PRODUCTS, query
-from offerloom.sources import catalog
+from offerloom.sources import catalog, snapshots
+from offerloom.sources.scratch import shared_path
 
 
 @query("""SELECT doc_id, length(text) AS n_chars, len(list_filter(regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) AS n_words, length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits FROM documents""")
@@ -92,6 +93,16 @@ def snapshot_versions(spark, sf_dir):
     return dataset.next_versions(have, p)
 
 
+@query(f"""WITH {PRODUCTS} SELECT product_id, category, (category < 'P')::INT AS version FROM products WHERE category < 'P' OR product_id % 3 = 0 AND category <> 'SMALL'""")
+def snapshot_rows(spark, sf_dir):
+    """The latest version of each category of two snapshots: of a third of the products, then of all in some categories."""
+    p, path = catalog.products(spark, sf_dir).select("product_id", "category"), shared_path(spark, "snapshots")
+    some = sorted(r.category for r in p.select("category").distinct().collect() if r.category != "SMALL")  # as many rows as categories
+    snapshots.write(p.filter("product_id % 3 = 0"), some, path)
+    snapshots.write(p, [c for c in some if c < "P"], path)
+    return snapshots.read(spark, path, p)
+
+
 @query(f"""WITH {PRODUCTS}, a AS (SELECT product_id, 0 AS s, 'catalogue' AS store FROM products UNION ALL SELECT product_id, 1, 'preceding' FROM products WHERE product_id % 2 = 0 UNION ALL SELECT product_id, 2, 'test' FROM products WHERE product_id % 6 = 0)
 SELECT product_id, arg_max(store, s) AS store FROM a GROUP BY 1""")
 def stores_by_precedence(spark, sf_dir):

@@ -1,4 +1,4 @@
-"""Writing snapshots, reports, topics and metrics."""
+"""Writing reports, topics and metrics."""
 
 from __future__ import annotations
 
@@ -6,14 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_snapshot(rows: DataFrame, versions: DataFrame, wanted: int, path: str, most_missing: float = 0.8) -> None:
-    """Rows by category and version, appended. An error if more than `most_missing` of the wanted categories have no rows."""
-    have = rows.select("category").distinct().count()
-    if wanted and (wanted - have) / wanted > most_missing:
-        raise ValueError(f"{wanted - have} of {wanted} categories have no rows")
-    rows.join(versions, "category").write.mode("append").partitionBy("category", "version").parquet(path)
-
-
 def write_sections(sections: dict[str, DataFrame], path: str) -> None:
     """One table per section of a report."""
     for name, df in sections.items():
