@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerloom.functions import text
-from offerloom.operators import candidates, corpus, decisions, evaluation, merges, models, monitoring, pivots, relevance, stems
+from offerloom.operators import candidates, corpus, decisions, evaluation, merges, model_selection, models, monitoring, pivots, relevance, stems
 from offerloom.plans.base import PRODUCTS, query
 from offerloom.sources import catalog
-from offerloom.sources.scratch import shared_path
+from offerloom.sources.scratch import saved, shared_path
 from offerloom.streaming import decisions as streaming
 from offerloom.streaming import queue
 
@@ -291,9 +291,25 @@ def pair_scores(spark, sf_dir):
 
     rows = base.pairs(spark, sf_dir).withColumns({"label": (F.col("product_id") == F.col("current")).cast("int"), "size_gap": F.col("product_size").cast("double")})
     rows = rows.withColumn("is_validation", F.substring(F.md5("offer_id"), 1, 1) < "3")
+    rows = saved(rows.select("offer_id", "product_id", "label", "is_validation", *_TREES), "pairs")
     sample = rows.orderBy(F.md5(F.concat("offer_id", F.lit("train"))), "product_id").limit(TRAINING_PAIRS)
-    model = models.train_trees(sample.select("label", "is_validation", *_TREES), _TREES, rounds=5, depth=3)
-    return models.scored(rows.select("offer_id", "product_id", "label", *_TREES), model, _TREES).select("offer_id", "product_id", "label", F.round("score", 4).alias("score"))
+    staged = model_selection.train_staged(sample.select("label", "is_validation", *_TREES), _TREES, rounds=8, depth=3, patience=3)
+    scored = model_selection.staged_scores(rows.select("offer_id", "product_id", "label", *_TREES), staged, _TREES)
+    return scored.select("offer_id", "product_id", "label", F.round("score", 4).alias("score"))
+
+
+@query("""WITH h AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY ('0x' || substr(md5('7|' || doc_id::VARCHAR), 1, 12))::BIGINT) - 1 AS r, count(*) OVER (PARTITION BY quality) AS n FROM labels)
+SELECT doc_id, quality, ((0.2::DOUBLE * (n - 1) < r)::INT + (0.4::DOUBLE * (n - 1) < r)::INT + (0.6::DOUBLE * (n - 1) < r)::INT + (0.8::DOUBLE * (n - 1) < r)::INT) AS fold FROM h""")
+def label_folds(spark, sf_dir):
+    """Five folds of the labelled documents, dealt evenly inside each label."""
+    return model_selection.folds(catalog.table(spark, sf_dir, "labels"), "quality", ["doc_id"], 5, seed=7).select("doc_id", "quality", "fold")
+
+
+@query()
+def cluster_silhouettes(spark, sf_dir):
+    """k-means over all vectors for several k, each with its silhouette and the sizes of its clusters."""
+    rows = catalog.table(spark, sf_dir, "embeddings").filter("embedding is not null").select(array_to_vector("embedding").alias("v"))
+    return model_selection.clusters_over(rows, "v", [4, 8, 12])[0]
 
 
 @query()
