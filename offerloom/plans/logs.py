@@ -330,20 +330,21 @@ def word_vectors(spark, sf_dir):
 
 
 def _stem_sql(tokens: str) -> str:
-    """The light stemmer over a query of tokens. An x of +word is a word to be softened, one of -word is ready."""
+    """The light stemmer over a query of tokens, ending by ending of the published lists. An x of +word is a word to be softened,
+    one of -word is ready."""
     def soft(x: str) -> str:
-        return f"CASE WHEN regexp_matches({x}, '[cč][ei]$') THEN left({x}, length({x}) - 2) || 'k' WHEN regexp_matches({x}, '[zž][ei]$') THEN left({x}, length({x}) - 2) || 'h' WHEN regexp_matches({x}, 'čt[ěií]$') THEN left({x}, length({x}) - 3) || 'ck' WHEN regexp_matches({x}, 'št[ěií]$') THEN left({x}, length({x}) - 3) || 'sk' ELSE left({x}, length({x}) - 1) END"
-
-    return f"""WITH t AS ({tokens}), a AS (SELECT token, CASE WHEN length(token) > 7 AND regexp_matches(token, 'atech$') THEN '-' || left(token, length(token) - 5)
-  WHEN length(token) > 6 AND regexp_matches(token, 'ětem$') THEN '+' || left(token, length(token) - 3) WHEN length(token) > 6 AND regexp_matches(token, 'atům$') THEN '-' || left(token, length(token) - 4)
-  WHEN length(token) > 5 AND regexp_matches(token, '(ech|[ií]ch|[éií]ho|[ěeí]mi|[éi]mu|et[ei])$') THEN '+' || left(token, length(token) - 2)
-  WHEN length(token) > 5 AND regexp_matches(token, '(ách|at[ay]|ých|am[ai]|ov[éi]|ými)$') THEN '-' || left(token, length(token) - 3)
-  WHEN length(token) > 4 AND regexp_matches(token, 'em$') THEN '+' || left(token, length(token) - 1) WHEN length(token) > 4 AND regexp_matches(token, '(es|[éí]m)$') THEN '+' || left(token, length(token) - 2)
-  WHEN length(token) > 4 AND regexp_matches(token, '(ům|at|ám|[ou]s|ým|mi|ou)$') THEN '-' || left(token, length(token) - 2)
-  WHEN length(token) > 3 AND regexp_matches(token, '[eiíě]$') THEN '+' || token WHEN length(token) > 3 AND regexp_matches(token, '[uyůaoáéý]$') THEN '-' || left(token, length(token) - 1) ELSE '-' || token END AS x FROM t),
-b AS (SELECT token, CASE WHEN x[1] = '-' THEN x[2:] ELSE {soft("x[2:]")} END AS w FROM a),
-c AS (SELECT token, CASE WHEN length(w) > 5 AND regexp_matches(w, 'o[v]$|ův$') THEN '-' || left(w, length(w) - 2) WHEN length(w) > 5 AND regexp_matches(w, 'in$') THEN '+' || left(w, length(w) - 1) ELSE '-' || w END AS x FROM b)
-SELECT token, CASE WHEN x[1] = '-' THEN x[2:] ELSE {soft("x[2:]")} END AS stem FROM c"""
+        rules = " ".join(f"WHEN regexp_matches({x}, '{found}$') THEN regexp_replace({x}, '{found}$', '{hard}')" for found, hard in stems.HARDENED)
+        return f"CASE {rules} ELSE left({x}, length({x}) - 1) END"
+
+    def cut(x: str, rules: tuple) -> str:
+        sign = {stems.HARD: "-", stems.SOFT: "+", stems.BARE: "+"}
+        off = lambda how, ending: len(ending) - (how == stems.SOFT)
+        each = ((least, how, ending) for least, how, endings in rules for ending in endings)
+        return f"CASE {' '.join(f"WHEN length({x}) >= {least} AND ends_with({x}, '{ending}') THEN '{sign[how]}' || left({x}, length({x}) - {off(how, ending)})" for least, how, ending in each)} ELSE '-' || {x} END"
+
+    ready = f"CASE WHEN x[1] = '-' THEN x[2:] ELSE {soft('x[2:]')} END"
+    return f"""WITH t AS ({tokens}), a AS (SELECT token, {cut('token', stems.CASES)} AS x FROM t), b AS (SELECT token, {ready} AS w FROM a), c AS (SELECT token, {cut('w', stems.POSSESSIVES)} AS x FROM b)
+SELECT token, {ready} AS stem FROM c"""
 
 
 @query(_stem_sql("SELECT DISTINCT unnest(string_split(lower(p_name || ' ' || p_type), ' ')) AS token FROM part"))
