@@ -27,6 +27,15 @@ def business_metrics(decisions: DataFrame, by: list[str] | None = None) -> DataF
     })
 
 
+def segment_metrics(decisions: DataFrame, preceding: DataFrame) -> DataFrame:
+    """business_metrics per segment: Overall, and apart from each other the offers (offer_id) that an earlier run has seen, and new
+    ones."""
+    seen = decisions.join(preceding.select("offer_id", F.lit(True).alias("_seen")).distinct(), "offer_id", "left")
+    segment = F.explode(F.array(F.lit("Overall"), F.when(F.col("_seen"), "Preceding items").otherwise("New items")))
+    rows = seen.withColumn("segment", segment).drop("_seen")
+    return business_metrics(rows, ["segment", "category"]).filter("segment <> 'all'")
+
+
 @F.pandas_udf(DoubleType())
 def rate_confidence(successes: pd.Series, n: pd.Series, bound: pd.Series) -> pd.Series:
     """P(rate > bound) under a uniform prior: the tail of Beta(s + 1, n - s + 1), for whole columns at once."""

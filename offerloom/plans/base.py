@@ -105,11 +105,11 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def decided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pairs with their decisions, after the priorities of status and name."""
+def decided(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """pairs (or these rows of them) with their decisions, after the priorities of status and name."""
     from offerloom.operators import decisions
 
-    rows = pairs(spark, sf_dir).withColumns({
+    rows = (pairs(spark, sf_dir) if rows is None else rows).withColumns({
         "price_rejected": prices.price_rejected(F.col("low"), F.col("high"), F.col("price")),
         "quantity": F.lit("ok"),
         "unique_names": F.col("category") < "M",

@@ -207,13 +207,39 @@ def cluster_summary(spark, sf_dir):
     return evaluation.cluster_summary(rows).withColumn("share", F.round("share", 6))
 
 
-@query(f"""WITH {PAIRS}, m AS (SELECT coalesce(category, 'all') AS category, count(*) AS n_matched, count(*) FILTER (yes_product = product_id) AS n_correct FROM finals WHERE n_yes = 1 GROUP BY ROLLUP (category))
-SELECT category, n_matched, n_correct, round(n_correct / n_matched::DOUBLE - 0.01, 6) AS previous_precision, n_correct / n_matched::DOUBLE > 0.01 AS known FROM m""")
+@query(f"""WITH {PAIRS}, m AS (SELECT coalesce(category, 'all') AS category, count(*) AS n, count(*) FILTER (yes_product = product_id) AS s FROM finals WHERE n_yes = 1 GROUP BY ROLLUP (category)),
+p AS (SELECT *, greatest(s / n::DOUBLE - 0.001, 0) AS p FROM m), k AS (SELECT *, unnest(range(0, s + 1)) AS k FROM p),
+c AS (SELECT category, sum(exp(lgamma(n + 2) - lgamma(k + 1) - lgamma(n + 2 - k) + k * ln(p) + (n + 1 - k) * ln(1 - p))) AS c FROM k WHERE p > 0 GROUP BY 1)
+SELECT category, n AS n_matched, s AS n_correct, round(p, 6) AS previous_precision, round(coalesce(c, 1), 4) AS precision_confidence FROM p LEFT JOIN c USING (category)""")
 def against_previous(spark, sf_dir):
-    """Metrics beside those of a previous run, whose precision was a hundredth lower; the confidence is a probability above a half."""
+    """Metrics beside those of a previous run whose precision was a thousandth lower, and how sure it is that it was lower."""
     now = saved(evaluation.business_metrics(base.finals(spark, sf_dir)), "metrics")
-    rows = evaluation.against_previous(now, now.withColumn("precision", F.col("precision") - 0.01)).filter("n_matched > 0")
-    return rows.select("category", "n_matched", "n_correct", F.round("previous_precision", 6).alias("previous_precision"), ((F.col("precision_confidence") > 0.5) | (F.col("n_correct") == 0)).alias("known"))
+    rows = evaluation.against_previous(now, now.withColumn("precision", F.greatest(F.col("precision") - 0.001, F.lit(0.0)))).filter("n_matched > 0")
+    return rows.select("category", "n_matched", "n_correct", F.round("previous_precision", 6).alias("previous_precision"), F.round("precision_confidence", 4).alias("precision_confidence"))
+
+
+#: Pairs of which some have no score, and some offers no pair at all.
+_SPARSE = (
+    PAIRS.replace("THEN 'ean' ELSE 'score' END AS reason", "THEN 'ean' WHEN score IS NULL THEN 'no model' ELSE 'score' END AS reason")
+    .replace("WHEN score < 0.45 THEN 'no'", "WHEN score IS NULL THEN 'unknown' WHEN score < 0.45 THEN 'no'")
+    .replace("AS near FROM pairs)", "AS near FROM (SELECT * REPLACE (CASE WHEN offer_id[12] <> '0' THEN score END AS score) FROM pairs WHERE offer_id[11] > '1'))")
+)
+
+
+@query(f"""WITH {_SPARSE}, f AS (SELECT o.*, yes_product, CASE WHEN o.offer_id[10] = '0' THEN 'invalid' WHEN n_yes = 1 THEN 'matched' WHEN coalesce(n_yes, 0) = 0 AND coalesce(n_unknown, 0) = 0 THEN 'new_product' ELSE 'unknown' END AS d FROM offers o LEFT JOIN finals USING (offer_id)),
+s AS (SELECT 'Overall' AS segment, * FROM f UNION ALL SELECT CASE WHEN offer_id[13] < '6' THEN 'Preceding items' ELSE 'New items' END, * FROM f)
+SELECT segment, coalesce(category, 'all') AS category, count(*) FILTER (d = 'matched') AS n_matched, count(*) FILTER (d = 'new_product') AS n_new, count(*) FILTER (d = 'unknown') AS n_unknown, count(*) FILTER (d = 'matched' AND yes_product = product_id) AS n_correct, count(*) AS n,
+  round(count(*) FILTER (d <> 'unknown') / count(*)::DOUBLE, 6) AS coverage, round(count(*) FILTER (d = 'matched') / count(*)::DOUBLE, 6) AS matched_share,
+  round(count(*) FILTER (d = 'matched' AND yes_product = product_id) / nullif(count(*) FILTER (d = 'matched'), 0)::DOUBLE, 6) AS precision FROM s WHERE d <> 'invalid' GROUP BY GROUPING SETS ((segment, category), (segment))""")
+def segment_metrics(spark, sf_dir):
+    """Metrics of offers of which some aren't valid (no price), some have no candidate, and some pairs no score."""
+    nibble = lambda k: F.substring("offer_id", k, 1)
+    o = catalog.offers(spark, sf_dir)
+    checked = catalog.validated(o.withColumn("price", F.when(nibble(10) != "0", F.col("price"))), ["price"], {})
+    rows = base.pairs(spark, sf_dir).filter(nibble(11) > "1").withColumn("score", F.when(nibble(12) != "0", F.col("score")))
+    final = decisions.evaluation_decision(checked.select("offer_id", "category", "product_id", "is_valid"), base.decided(spark, sf_dir, rows))
+    out = evaluation.segment_metrics(final, o.filter(nibble(13) < "6").select("offer_id"))
+    return out.withColumns({c: F.round(c, 6) for c in ("coverage", "matched_share", "precision")})
 
 
 # --- logs, products, messages ---
