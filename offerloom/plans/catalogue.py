@@ -307,6 +307,33 @@ def routed_stream(spark, sf_dir):
     return spark.read.option("basePath", out).parquet(f"{out}/batch=*").select("offer_id", "topic")
 
 
+@query("""SELECT event_id AS offer_id, CASE WHEN user_id % 10 = 0 THEN 'not-found' WHEN value < 5 THEN 'no-candidates' WHEN event_type = 'error' THEN 'unknown' WHEN user_id % 5 = 4 THEN 'acknowledged' WHEN user_id % 5 = 3 THEN 'unsupported' WHEN event_type = 'signup' THEN 'retry' WHEN event_type = 'purchase' THEN 'new-product' ELSE 'matched' END AS topic FROM events""")
+def branched_stream(spark, sf_dir):
+    """The log as a stream of offers through all branches of the decision flow."""
+    source = catalog.table(spark, sf_dir, "events")
+    folder, out = shared_path(spark, "source"), shared_path(spark, "branches")
+    offers = source.select(F.col("event_id").alias("offer_id"), "event_type", "value", F.concat(F.lit("c"), (F.col("user_id") % 5).cast("string")).alias("estimate"))
+    offers.write.parquet(folder)
+    names = lambda *ks: spark.createDataFrame([(f"c{k}", f"m{k}") for k in ks], "category string, model string")
+
+    def look_up(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return batch.filter("value >= 5").select("offer_id"), batch.filter("event_type <> 'error'").select("offer_id", F.col("estimate").alias("category"))
+
+    def decide(batch: DataFrame) -> DataFrame:
+        return batch.filter("event_type <> 'signup'").select("offer_id", decisions.topic(F.when(F.col("event_type") == "purchase", "no").otherwise("yes"), F.lit("")).alias("topic"))
+
+    known = source.filter("user_id % 10 <> 0").select(F.col("event_id").alias("offer_id"))
+    stream = streaming.read_stream(spark, folder, offers.schema, 4)
+    streaming.run_branched(stream, look_up, lambda: names(4), lambda: names(0, 1, 2), decide, known, out, shared_path(spark, "progress")).awaitTermination()
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").select("offer_id", "topic")
+
+
+@query(f"""WITH {OFFERS}, k AS (SELECT product_id FROM products WHERE status IN (0, 1)) SELECT offer_id, product_id FROM offers WHERE product_id IN (SELECT product_id FROM k)""")
+def offers_of_status(spark, sf_dir):
+    _, kept = catalog.of_status(catalog.products(spark, sf_dir), catalog.offers(spark, sf_dir), [0, 1])
+    return kept.select("offer_id", "product_id")
+
+
 @query("""SELECT vec_id AS offer_id, label AS product_id, CASE WHEN vec_id % 2 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS score, vec_id % 5 AS kept FROM embeddings""")
 def recomputed_features(spark, sf_dir):
     """Features computed anew in place of the old ones, other columns as they were."""

@@ -41,6 +41,41 @@ def read_offers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return rows.withColumn("product_id", F.regexp_extract(F.input_file_name(), r"product\.(\d+)\.txt", 1).cast("long"))
 
 
+def complete_exports(spark: SparkSession, folders: list[str]) -> list[str]:
+    """The exports that hold a products file and at least one offer file; the others were broken off and are passed over."""
+    jvm = spark.sparkContext._jvm
+    out = []
+    for folder in folders:
+        at = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        products, offers = jvm.org.apache.hadoop.fs.Path(at, "products/products.txt"), jvm.org.apache.hadoop.fs.Path(at, "offers")
+        if fs.exists(products) and not fs.getFileStatus(products).isDirectory() and fs.exists(offers) and fs.getFileStatus(offers).isDirectory() and len(fs.listStatus(offers)):
+            out.append(folder)
+    return out
+
+
+def read_catalogue(spark: SparkSession, folders: list[str], product: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(products, offers) of all complete exports together, with the `export` that a row is from. The first export that has a
+    product or an offer of a product gives it."""
+    whole = complete_exports(spark, folders)
+    if not whole:
+        number = T.StructField("export", T.IntegerType())
+        return spark.createDataFrame([], T.StructType([*product.fields, number])), spark.createDataFrame([], T.StructType([*OFFER.fields, T.StructField("product_id", T.LongType()), number]))
+    products = offers = None
+    for number, folder in enumerate(whole):
+        p = read_json_lines(spark, f"{folder}/products/products.txt", product).withColumn("export", F.lit(number))
+        o = read_offers(spark, f"{folder}/offers").withColumn("export", F.lit(number))
+        products, offers = (p, o) if products is None else (products.unionByName(p), offers.unionByName(o))
+    first = lambda key: F.min("export").over(Window.partitionBy(key))
+    return tuple(df.withColumn("_first", first(key)).filter("export = _first").drop("_first") for df, key in ((products, "id"), (offers, "product_id")))
+
+
+def of_status(products: DataFrame, offers: DataFrame, statuses: list[int]) -> tuple[DataFrame, DataFrame]:
+    """Products of these statuses, and the offers of these products; the others lose theirs."""
+    kept = with_status(products, statuses)
+    return kept, offers.join(kept.select("product_id"), "product_id", "left_semi")
+
+
 def read_features(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
     """Feature files as one table; empty files give no rows."""
     return spark.read.schema(schema).option("header", True).csv(paths)

@@ -74,6 +74,39 @@ def run_routed(stream: DataFrame, routes: Callable[[], DataFrame], decide: Calla
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+#: What becomes of an offer before it is decided, and the topic that tells of it.
+NO_CANDIDATES, NO_CATEGORY, LONG_TAIL, NO_MODEL, DECIDE = "no-candidates", "unknown", "acknowledged", "unsupported", "decide"
+
+
+def branched(offers: DataFrame, candidates: DataFrame, categories: DataFrame, long_tail: DataFrame, routes: DataFrame) -> DataFrame:
+    """offers (offer_id) with category, model and `branch`, the first that holds: without candidates (offer_id), without an estimated
+    category (offer_id, category), of a long-tail category (category), of a category without a model (category, model); all
+    others are decided."""
+    has = candidates.select("offer_id", F.lit(True).alias("_has")).distinct()
+    rows = offers.drop("category", "model").join(has, "offer_id", "left").join(categories.select("offer_id", "category"), "offer_id", "left")
+    rows = rows.join(long_tail.select("category", F.lit(True).alias("_tail")).distinct(), "category", "left").join(routes.select("category", "model"), "category", "left")
+    branch = F.when(F.col("_has").isNull(), NO_CANDIDATES).when(F.col("category").isNull(), NO_CATEGORY).when(F.col("_tail"), LONG_TAIL).when(F.col("model").isNull(), NO_MODEL).otherwise(DECIDE)
+    return rows.withColumn("branch", branch).drop("_has", "_tail")
+
+
+def run_branched(stream: DataFrame, look_up: Callable[[DataFrame], tuple[DataFrame, DataFrame]], long_tail: Callable[[], DataFrame], routes: Callable[[], DataFrame], decide: Callable[[DataFrame], DataFrame], catalogue: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """The whole flow of a micro-batch: offers that the catalogue hasn't got are `not-found`; for the others look_up gives
+    (candidates, categories), and each goes its branch. decide (offer_id, topic) sees those that are left, with category and
+    model; what it has no row for is queued again (`retry`). Long tail and routes are read anew for each batch."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        found, unknown = split_batch(batch, catalogue)
+        rows = saved(branched(found, *look_up(found), long_tail(), routes()), "branched")
+        to_decide = rows.filter(F.col("branch") == DECIDE)
+        decided = saved(decide(to_decide).select("offer_id", "topic"), "decided")
+        left = to_decide.join(decided, "offer_id", "left_anti").select("offer_id", F.lit("retry").alias("topic"))
+        told = rows.filter(F.col("branch") != DECIDE).select("offer_id", F.col("branch").alias("topic"))
+        every = decided.unionByName(told).unionByName(left).unionByName(unknown.select("offer_id", F.lit("not-found").alias("topic")))
+        every.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/batch={number}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def live_counts(events: DataFrame, labels: list[str], minutes: int = 60, late: int = MINUTES, time_col: str = "ts") -> DataFrame:
     rows = events.withWatermark(time_col, f"{late} minutes").groupBy(F.window(time_col, f"{minutes} minutes").alias("w"), *labels)
     return rows.agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *labels, "n")
