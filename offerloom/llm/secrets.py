@@ -45,17 +45,29 @@ RULES = (
     SecretRule("pay_key", r"(?:sk|rk)_live_[0-9A-Za-z]{16,}"),
 )
 
-#: More alternatives than this are taken as "anything".
-MOST_ALTERNATIVES = 64
+#: More alternatives than this are taken as "anything", and so are classes of more characters than that.
+MOST_ALTERNATIVES, MOST_CHARACTERS = 64, 8
 _ANYTHING = ((None,),)
 
 
+def _characters(members: list) -> list[str] | None:
+    """The characters of a small class; None if they are many, or told by what they aren't."""
+    if any(kind not in (op.LITERAL, op.RANGE) for kind, _ in members):
+        return None
+    ranges = [(value, value) if kind is op.LITERAL else value for kind, value in members]
+    if sum(last - first + 1 for first, last in ranges) > MOST_CHARACTERS:
+        return None
+    return [chr(c) for first, last in ranges for c in range(first, last + 1)]
+
+
 def _alternatives(tree: parser.SubPattern) -> tuple[tuple[str | None, ...], ...]:
     """What a match looks like: alternatives of literal stretches, None for a stretch that isn't known."""
     out: tuple[tuple[str | None, ...], ...] = ((),)
     for kind, value in tree:
         if kind is op.LITERAL:
             part = ((chr(value),),)
+        elif kind is op.IN and (characters := _characters(value)):
+            part = tuple((c,) for c in characters)
         elif kind is op.BRANCH:
             part = tuple(a for branch in value[1] for a in _alternatives(branch))
         elif kind is op.SUBPATTERN:
@@ -69,7 +81,7 @@ def _alternatives(tree: parser.SubPattern) -> tuple[tuple[str | None, ...], ...]
                 part = tuple((*a, None) for a in once) if least else _ANYTHING
         elif kind is op.AT:
             part = ((),)
-        else:  # a class, any character, a look-around or a reference
+        else:  # a large class, any character, a look-around or a reference
             part = _ANYTHING
         if len(out) * len(part) > MOST_ALTERNATIVES:
             part = _ANYTHING
@@ -96,6 +108,25 @@ def postings(docs: DataFrame, handle: Column, text: Column, grams: list[str]) ->
     return lower.select("handle", F.explode(has).alias("gram"))
 
 
+@dataclass(frozen=True)
+class Index:
+    """Postings as a table in the shared folder, and the trigrams that they are of."""
+
+    table: DataFrame
+    grams: frozenset[str]
+
+
+def _grams(rules: tuple[SecretRule, ...]) -> frozenset[str]:
+    return frozenset(g for r in rules for alternative in trigram_query(r.regex) or [] for g in alternative)
+
+
+def index(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> Index:
+    """Postings of the trigrams that these rules name, written once; any rules that need no other trigrams can be scanned for
+    with them."""
+    grams, text = _grams(rules), F.coalesce(F.col(text_col), F.lit(""))
+    return Index(saved(postings(docs, F.xxhash64(F.col(id_col), text), text, sorted(grams)), "postings"), grams)
+
+
 def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
     """(handle, kinds): the documents in all posting lists of some alternative of a kind's query.
 
@@ -123,14 +154,18 @@ def spans(text: Column, rule: SecretRule, number: int) -> Column:
     return F.aggregate(row, start, step, lambda acc: acc["out"])
 
 
-def scan(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: counts of the base kinds, spans of base and of all kinds by start and kind."""
+def scan(docs: DataFrame, rules: tuple[SecretRule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", held: Index | None = None) -> DataFrame:
+    """One row per document: counts of the base kinds, spans of base and of all kinds by start and kind. held: index() of the same
+    docs, for these rules or for more; without it postings are made for this scan."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     handle = F.xxhash64(F.col(id_col), text)  # of both, so that rows without an id don't share one
     queries = {r.kind: trigram_query(r.regex) for r in rules}
     indexed = {k: q for k, q in queries.items() if q is not None}
-    grams = sorted({g for q in indexed.values() for alternative in q for g in alternative})
-    found = saved(candidates(postings(docs, handle, text, grams), indexed), "candidates")
+    grams = _grams(rules)
+    if held and not grams <= held.grams:
+        raise ValueError(f"the index has no postings of {sorted(grams - held.grams)}")
+    met = held.table.filter(F.col("gram").isin(sorted(grams))) if held else postings(docs, handle, text, sorted(grams))
+    found = saved(candidates(met, indexed), "candidates")
     # few texts are candidates: the others aren't moved
     none, likely = parted(docs.select(F.col(id_col), text.alias("_text"), handle.alias("handle")), F.col("handle"), found.select("handle"))
     rows = none.withColumn("kinds", F.lit(None).cast("array<string>")).unionByName(likely.join(found, "handle", "left"))

@@ -50,6 +50,30 @@ def test_added_secrets_and_queries(spark):
     assert secrets.trigram_query("(abcd|xyz)q?") == [frozenset({"abc", "bcd"}), frozenset({"xyz"})]
 
 
+def test_queries_of_all_rules():
+    """Small classes are alternatives; only hex is looked for in every text."""
+    queries = {r.kind: secrets.trigram_query(r.regex) for r in secrets.RULES}
+    sets = lambda *words: sorted((frozenset(w[i : i + 3] for i in range(len(w) - 2)) for w in words), key=sorted)
+    assert [k for k, q in queries.items() if q is None] == ["hex"]
+    assert queries["git_token"] == sets("ghp_", "gho_", "ghu_", "ghs_", "ghr_") and queries["chat_token"] == sets("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")
+    assert queries["access"] == sets("akia") and queries["cloud_key"] == sets("aiza") and queries["pay_key"] == sets("sk_live_", "rk_live_")
+    assert queries["web_token"] == [frozenset({"eyj", ".ey"})] and {"-----begin "[:3], "beg", "key", "ey-"} <= queries["private_key"][0]
+    assert secrets.trigram_query("x[^ab]yz") is None and secrets.trigram_query("a[0-9]bcd") == [frozenset({"bcd"})] and secrets.trigram_query("a[x-z]c") == sets("axc", "ayc", "azc")
+
+
+def test_postings_for_other_rules(spark, docs):
+    """Written once, read for another rule set; rules that need other trigrams are an error."""
+    made = spark.createDataFrame([(9001, "xoxb-" + "1a" * 8), (9002, "AKIA" + "Q" * 20), (9003, None), (None, "xoxp-" + "2b" * 8)], "doc_id long, text string")
+    df = docs.select("doc_id", "text").unionByName(made)
+    held = secrets.index(df)
+    other = tuple(r for r in secrets.RULES if r.kind in ("access", "chat_token"))
+    key = lambda rows: sorted((str(r.doc_id), r.spans) for r in rows)
+    got = key(secrets.scan(df, other, held=held).collect())
+    assert got == key(secrets.scan(df, other).collect()) and sum(bool(s) for _, s in got) >= 3
+    with pytest.raises(ValueError):
+        secrets.scan(df, (secrets.SecretRule("new", "qqq[0-9]+"),), held=held)
+
+
 def test_secrets_empty(empty):
     assert secrets.scan(empty).count() == 0
 
