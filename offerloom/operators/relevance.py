@@ -131,10 +131,8 @@ def explained(queries: DataFrame, texts: DataFrame, k: int, k1: float = 1.2, b:
     enough = max(SEEDS, 8 * k)
     before = F.sum("df").over(Window.partitionBy("q").orderBy("df", "word").rowsBetween(Window.unboundedPreceding, -1))
     rare = saved(wanted.withColumn("before", before).filter(F.coalesce("before", F.lit(0)) < enough).select("q", "word"), "rare-words")
-    best_of = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("impact"), "t"))
-    heads = postings.join(rare.select("word").distinct(), "word").withColumn("part", F.pmod(F.xxhash64("t"), F.lit(64)))
-    for by in (("word", "part"), ("word",)):  # a hot word's postings never meet in one task
-        heads = heads.withColumn("place", best_of(*by)).filter(F.col("place") <= enough)
+    place = F.row_number().over(Window.partitionBy("word").orderBy(F.desc("impact"), "t"))  # limited in each task before rows meet
+    heads = postings.join(rare.select("word").distinct(), "word").withColumn("place", place).filter(F.col("place") <= enough)
     seeds = saved(_scores(saved(rare.join(heads, "word").select("q", "t").distinct(), "seed-pairs"), asked, counted, mean, k1, b), "seeds")
     kth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("relevance"), "t"))
     reach = seeds.withColumn("place", kth).filter(F.col("place") == k).select("q", F.col("relevance").alias("reach"))
