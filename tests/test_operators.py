@@ -129,9 +129,16 @@ def test_matched_metrics_use_all_ancestors(spark, monkeypatch):
     monkeypatch.setattr(monitoring, "evaluated_matches", lambda log, now, up: seen.append(up) or judge(log, now, up))
     logs.matched_metrics(spark, "/root/testdata/sf0.001")
     up = {(r.product_id, r.ancestor) for r in seen[0].select("product_id", "ancestor").collect()}
-    assert {(16, 8), (16, 4), (16, 1)} <= up and (11, 2) not in up  # 5 has no parent
-    log = spark.createDataFrame([(1, "m", 16, "c", "name")], "offer_id long, model string, final_product long, category string, by string")
-    assert judge(log, spark.createDataFrame([(1, 4, "c")], "offer_id long, product_id long, category string"), seen[0]).first().correct
+    want = set()
+    for e in spark.read.parquet("/root/testdata/sf0.001/events.parquet").filter("event_type IN ('click', 'view') AND event_id % 6 < 5").collect():
+        now, at = e.user_id >> (e.event_id % 6), e.user_id
+        while at > 1 and at % 5 and at != now:  # others have no parent
+            at //= 2
+        if at == now != e.user_id:
+            want.add((e.user_id, now))
+    assert up == want and {(8, 4), (8, 1), (14, 7)} <= up and not {(11, 2), (10, 5)} & up
+    log = spark.createDataFrame([(1, "m", 8, "c", "name")], "offer_id long, model string, final_product long, category string, by string")
+    assert judge(log, spark.createDataFrame([(1, 1, "c")], "offer_id long, product_id long, category string"), seen[0]).first().correct
 
 
 def test_dictionary_values_of_any_length(spark):
