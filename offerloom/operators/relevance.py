@@ -80,7 +80,9 @@ def _impact(count: Column, length: Column, mean: float, k1: float, b: float) ->
 
 def _scores(pairs: DataFrame, asked: DataFrame, counted: DataFrame, mean: float, k1: float, b: float) -> DataFrame:
     """(q, t, text_id, relevance) of pairs (q, t), over all words of the query; to nine places."""
-    rows = pairs.join(counted, "t").join(asked.select("q", F.col("words").alias("asked"), "idf"), "q").select("q", "t", "text_id", "length", "words", "counts", "asked", "idf")
+    # a pair is small and its lists aren't: as many parts as asked for, however few bytes the pairs have
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = pairs.repartition(parts, "t").join(counted, "t").join(asked.select("q", F.col("words").alias("asked"), "idf"), "q").select("q", "t", "text_id", "length", "words", "counts", "asked", "idf")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
