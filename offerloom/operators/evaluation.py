@@ -82,26 +82,44 @@ def threshold_sweep(pairs: DataFrame, offers: DataFrame) -> DataFrame:
     product_id). A pair with a score is yes from its score on, so an offer has just one yes on one interval of thresholds:
     without a fixed yes from above its second score to its first, with one above its first score. An interval adds one at its
     start and takes it away at its end; sums along the thresholds give the counts."""
-    place = F.row_number().over(Window.partitionBy("offer_id").orderBy(F.desc("score"), "product_id"))
-    two = pairs.filter("score is not null").select("offer_id", "product_id", "score", place.alias("_p")).filter("_p <= 2")
-    at = lambda k, c: F.max(F.when(F.col("_p") == k, F.col(c)))
-    scored = two.groupBy("offer_id").agg(at(1, "score").alias("top"), at(2, "score").alias("second"), at(1, "product_id").alias("top_product"))
-    fixed = pairs.filter("score is null and decision = 'yes'").groupBy("offer_id").agg(F.count("*").alias("yes"), F.min("product_id").alias("yes_product"))
-    rows = offers.join(scored, "offer_id", "left").join(fixed, "offer_id", "left").withColumn("yes", F.coalesce("yes", F.lit(0)))
+    return _swept(offers.join(_best_two(pairs, ["offer_id"]), "offer_id", "left"))
+
+
+def threshold_sweep_of_pairs(pairs: DataFrame, current: str) -> DataFrame:
+    """threshold_sweep of offers that all have candidates: pairs tell their product in `current`, so no table of offers is joined."""
+    return _swept(_best_two(pairs, [current, "offer_id"]).withColumnRenamed(current, "product_id"))
+
+
+def _best_two(pairs: DataFrame, by: list[str]) -> DataFrame:
+    """Per offer its two best scores (top, second), top_product, and of the pairs without a score how many are yes, with the smallest
+    product (yes, yes_product)."""
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc_nulls_last("score"), "product_id"))
+    at = lambda k, c: F.max(F.when((F.col("_p") == k) & F.col("score").isNotNull(), F.col(c)))
+    fixed = F.col("score").isNull() & (F.col("decision") == "yes")
+    return pairs.withColumn("_p", place).groupBy(*by).agg(
+        at(1, "score").alias("top"), at(2, "score").alias("second"), at(1, "product_id").alias("top_product"),
+        F.count_if(fixed).alias("yes"), F.min(F.when(fixed, F.col("product_id"))).alias("yes_product"),
+    )
+
+
+def _swept(rows: DataFrame) -> DataFrame:
+    """The sweep from one row per offer."""
+    rows = rows.withColumn("yes", F.coalesce("yes", F.lit(0)))
     steps = F.size(threshold_steps())
     begin = F.when(F.col("yes") == 1, _steps_up_to(F.col("top"))).otherwise(_steps_up_to(F.col("second")))
     end = F.when(F.col("yes") == 1, steps).when(F.col("yes") == 0, _steps_up_to(F.col("top"))).otherwise(0)
     right = F.coalesce(F.when(F.col("yes") == 1, F.col("yes_product")).otherwise(F.col("top_product")) == F.col("product_id"), F.lit(False)).cast("int")
     rows = rows.select(begin.alias("begin"), end.alias("end"), right.alias("right")).withColumn("any", F.col("begin") < F.col("end"))
-    moves = F.array(F.struct(F.col("begin").alias("step"), F.lit(1).alias("by"), F.col("right").alias("right")), F.struct(F.col("end").alias("step"), F.lit(-1).alias("by"), (-F.col("right")).alias("right")))
-    none = F.array(F.struct(F.lit(0).alias("step"), F.lit(0).alias("by"), F.lit(0).alias("right")))
+    move = lambda step, by, right, n: F.struct(step.alias("step"), F.lit(by).alias("by"), right.alias("right"), F.lit(n).alias("n"))
+    moves = F.array(move(F.col("begin"), 1, F.col("right"), 1), move(F.col("end"), -1, -F.col("right"), 0))
+    none = F.array(move(F.lit(0), 0, F.lit(0), 1))
     # a row for each place where intervals begin or end: 141 at most, whatever the number of offers
-    sums = rows.select(F.inline(F.when(F.col("any"), moves).otherwise(none))).groupBy("step").agg(F.sum("by").alias("by"), F.sum("right").alias("right"))
-    n = offers.agg(F.count("*").alias("n"))
-    grid = offers.sparkSession.range(1).select(F.posexplode(threshold_steps()).alias("step", "threshold")).join(sums, "step", "left")
+    sums = rows.select(F.inline(F.when(F.col("any"), moves).otherwise(none))).groupBy("step").agg(F.sum("by").alias("by"), F.sum("right").alias("right"), F.sum("n").alias("n"))
+    grid = rows.sparkSession.range(1).select(F.posexplode(threshold_steps()).alias("step", "threshold")).join(sums, "step", "full")
     along = Window.orderBy("step")
-    total = lambda c: F.coalesce(F.sum(c).over(along), F.lit(0))
-    out = grid.select("threshold", total("by").alias("n_matched"), total("right").alias("n_correct")).join(F.broadcast(n))
+    total = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = grid.select("threshold", total("n", whole).alias("n"), total("by", along).alias("n_matched"), total("right", along).alias("n_correct")).filter("threshold is not null")
     return out.select("threshold", "n", "n_matched", "n_correct", F.when(F.col("n_matched") > 0, F.col("n_correct") / F.col("n_matched")).alias("precision"), (F.col("n_matched") / F.col("n")).alias("matched_share"))
 
 

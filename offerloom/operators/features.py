@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerloom.operators import name_attributes
@@ -118,23 +118,22 @@ def leave_one_out_prices(offers: DataFrame, keys: tuple[str, ...] = ("product_id
     """offers with others_n, others_mean, others_m2, others_low, others_high: prices of the product's other offers.
 
     No list of prices is built: sums and the two smallest and largest prices of a product say what is left without one
-    offer, so a product with very many offers costs no more than its rows."""
-    by = list(keys)
-    facts = offers.groupBy(*by).agg(
-        F.count("price").alias("_n"),
-        F.avg("price").alias("_mean"),
-        F.var_pop("price").alias("_var"),
-        F.min("price").alias("_min"),
-        F.max("price").alias("_max"),
-    )
-    rows = offers.join(facts, by)
-    edges = rows.groupBy(*by).agg(
-        F.min(F.when(F.col("price") > F.col("_min"), F.col("price"))).alias("_min2"),
-        F.max(F.when(F.col("price") < F.col("_max"), F.col("price"))).alias("_max2"),
-        F.count_if(F.col("price") == F.col("_min")).alias("_at_min"),
-        F.count_if(F.col("price") == F.col("_max")).alias("_at_max"),
-    )
-    rows = rows.join(edges, by)
+    offer. Both are windows over the same groups, so the offers are moved and sorted once; product_low and product_high, the
+    range with the offer itself, come along."""
+    w = Window.partitionBy(*keys)
+    rows = offers.withColumns({
+        "_n": F.count("price").over(w),
+        "_mean": F.avg("price").over(w),
+        "_var": F.var_pop("price").over(w),
+        "product_low": F.min("price").over(w),
+        "product_high": F.max("price").over(w),
+    })
+    rows = rows.withColumns({
+        "_min2": F.min(F.when(F.col("price") > F.col("product_low"), F.col("price"))).over(w),
+        "_max2": F.max(F.when(F.col("price") < F.col("product_high"), F.col("price"))).over(w),
+        "_at_min": F.count_if(F.col("price") == F.col("product_low")).over(w),
+        "_at_max": F.count_if(F.col("price") == F.col("product_high")).over(w),
+    })
     # a price is taken out of the mean and of the squared deviations from it, which doesn't cancel at high prices
     p, n = F.col("price"), F.col("_n") - F.col("price").isNotNull().cast("int")
     off = F.coalesce(p - F.col("_mean"), F.lit(0.0))
@@ -143,9 +142,9 @@ def leave_one_out_prices(offers: DataFrame, keys: tuple[str, ...] = ("product_id
         "others_n": n,
         "others_mean": mean,
         "others_m2": F.when(n > 0, F.greatest(F.col("_var") * F.col("_n") - off * off * F.col("_n") / n, F.lit(0.0))),
-        "others_low": F.when((p == F.col("_min")) & (F.col("_at_min") == 1), F.col("_min2")).when(n > 0, F.col("_min")),
-        "others_high": F.when((p == F.col("_max")) & (F.col("_at_max") == 1), F.col("_max2")).when(n > 0, F.col("_max")),
-    }).drop("_n", "_mean", "_var", "_min", "_max", "_min2", "_max2", "_at_min", "_at_max")
+        "others_low": F.when((p == F.col("product_low")) & (F.col("_at_min") == 1), F.col("_min2")).when(n > 0, F.col("product_low")),
+        "others_high": F.when((p == F.col("product_high")) & (F.col("_at_max") == 1), F.col("_max2")).when(n > 0, F.col("product_high")),
+    }).drop("_n", "_mean", "_var", "_min2", "_max2", "_at_min", "_at_max")
 
 
 def others_have(pairs: DataFrame, offers: DataFrame, column: str, out: str) -> DataFrame:
@@ -161,15 +160,23 @@ def others_have(pairs: DataFrame, offers: DataFrame, column: str, out: str) -> D
     return rows.withColumns({out: more("_same"), f"{out}_known": more("_any")}).drop("_same", "_any")
 
 
+def agreement(pairs: DataFrame, mine: str, theirs: str) -> DataFrame:
+    """pairs with n_common, n_matched, any_common and matched_ratio over the attributes of both sides, arrays of (name, value) in
+    these columns: names that both have, and those of them with a value that both have. Null lists are empty."""
+    kept = lambda c: F.filter(F.coalesce(F.col(c), F.array()), lambda x: x["name"].isNotNull())
+    names = lambda c: F.transform(c, lambda x: x["name"])
+    a, b = kept(mine), kept(theirs)
+    met = F.filter(F.array_intersect(a, b), lambda x: x["value"].isNotNull())
+    rows = pairs.withColumns({"n_common": F.size(F.array_intersect(names(a), names(b))).cast("long"), "n_matched": F.size(F.array_distinct(names(met))).cast("long")})
+    return rows.withColumns({"any_common": (F.col("n_common") > 0).cast("int"), "matched_ratio": F.when(F.col("n_common") > 0, F.col("n_matched") / F.col("n_common")).otherwise(0.0)})
+
+
 def attribute_agreement(pairs: DataFrame, offer_attributes: DataFrame, product_attributes: DataFrame) -> DataFrame:
-    """pairs with n_common, n_matched, any_common and matched_ratio over attributes (key, name, value) of both sides."""
-    a = offer_attributes.groupBy("offer_id", "name").agg(F.collect_set("value").alias("_va"))
-    b = product_attributes.groupBy("product_id", "name").agg(F.collect_set("value").alias("_vb"))
-    keys = pairs.select("offer_id", "product_id").distinct()
-    both = keys.join(a.withColumnRenamed("name", "_name"), "offer_id").join(b.withColumnRenamed("name", "_name"), ["product_id", "_name"])
-    counts = both.groupBy("offer_id", "product_id").agg(F.count("*").alias("n_common"), F.count_if(F.arrays_overlap("_va", "_vb")).alias("n_matched"))
-    out = pairs.join(counts, ["offer_id", "product_id"], "left").fillna(0, ["n_common", "n_matched"])
-    return out.withColumns({"any_common": (F.col("n_common") > 0).cast("int"), "matched_ratio": F.when(F.col("n_common") > 0, F.col("n_matched") / F.col("n_common")).otherwise(0.0)})
+    """agreement of pairs (offer_id, product_id) over attributes (key, name, value) in tables. Each side's attributes are gathered
+    in one row, so no pair is moved back to what was counted for it."""
+    both = F.collect_set(F.struct("name", "value"))
+    rows = pairs.join(offer_attributes.groupBy("offer_id").agg(both.alias("_a")), "offer_id", "left").join(product_attributes.groupBy("product_id").agg(both.alias("_b")), "product_id", "left")
+    return agreement(rows, "_a", "_b").select(*pairs.columns, "n_common", "n_matched", "any_common", "matched_ratio")
 
 
 def dictionary_attributes(titles: DataFrame, dictionary: DataFrame, key: str, words: str) -> DataFrame:

@@ -170,12 +170,22 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as offers, with nothing of their part yet: what is moved to it. `id` is the offer's id in 16 bytes."""
+    price = (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100).alias("price")
+    return table(spark, sf_dir, "lineitem").select(F.unhex(offer_id()).alias("id"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("shop"), price, F.col("l_shipdate").alias("time"))
+
+
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as offers of their part, with a title that differs from the product's in a way that the id decides."""
-    li = table(spark, sf_dir, "lineitem").withColumn("offer_id", offer_id())
+    return titled(spark, sf_dir, lines(spark, sf_dir)).select("offer_id", "product_id", "category", "shop", "price", "time", "name", "ean")
+
+
+def titled(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Rows of lines with offer_id, category, brand, name and ean."""
     p = products(spark, sf_dir).select("product_id", "category", "short_name", "brand", "size", "ean")
-    o = li.select("offer_id", F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("shop"), (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100) / 100).alias("price"), F.col("l_shipdate").alias("time"))
-    o = o.join(p, "product_id")
+    more = [c for c in rows.columns if c != "id"]
+    o = rows.join(p, "product_id").withColumn("offer_id", F.lower(F.hex("id")))
     nibble = F.substring("offer_id", 1, 1)
     kg = F.concat(F.col("size").cast("string"), F.lit("kg"))
     title = (
@@ -186,4 +196,4 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat_ws(" ", F.concat(F.lit("x"), F.expr("substring(short_name, 2)")), "brand", kg))
     )
     own_ean = F.when(F.substring("offer_id", 2, 1) < "8", F.col("ean")).when(F.substring("offer_id", 2, 1) < "a", F.col("product_id") * 7 + 2)
-    return o.select("offer_id", "product_id", "category", "shop", "price", "time", title.alias("name"), own_ean.alias("ean"))
+    return o.select("offer_id", *more, "category", "brand", title.alias("name"), own_ean.alias("ean"))
