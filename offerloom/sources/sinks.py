@@ -26,9 +26,9 @@ def long_metrics(metrics: DataFrame, source: str) -> DataFrame:
     return metrics.select(source, *(F.col(c).cast("double").alias(c) for c in values)).unpivot([source], values, "statistic", "value").withColumnRenamed(source, "source")
 
 
-def write_flat(comparisons: DataFrame, path: str) -> None:
+def write_flat(comparisons: DataFrame, path: str, compression: str = "none") -> None:
     """Item x candidate rows as tab-separated text."""
-    comparisons.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
+    comparisons.write.mode("overwrite").option("sep", "\t").option("header", True).option("compression", compression).csv(path)
 
 
 def read_topics(spark: SparkSession, path: str, schema: str, progress: str, out: str) -> DataFrame:

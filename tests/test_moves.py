@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from offerloom import registry
 from offerloom.operators import decisions, evaluation, features
+from offerloom.plans import reports
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,6 +41,14 @@ def test_finals_of_pairs(spark):
     assert evaluation.threshold_sweep(scored, offers.union(spark.createDataFrame([("f", "x", 9, True)], offers.schema))).first().n == 6
 
 
+@pytest.mark.parametrize("name, most", [("report_sections", {"offer_id", "final_decision", "final_product", "several"}), ("flat_export", set())])
+def test_reports_write_no_pairs(spark, monkeypatch, name, most):
+    seen, write = set(), reports.saved
+    monkeypatch.setattr(reports, "saved", lambda df, *a: seen.update(df.columns) or write(df, *a))
+    registry.QUERIES[name](spark, SF)
+    assert seen <= most
+
+
 def test_agreement(spark):
     a = [("x", "1"), ("x", "2"), ("y", None), ("z", "3"), (None, "4")]
     b = [("x", "2"), ("x", "1"), ("y", None), ("z", "5"), (None, "4"), ("w", "1")]
