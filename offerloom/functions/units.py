@@ -73,6 +73,22 @@ def per_unit(q: DataFrame, key: str) -> DataFrame:
     return q.groupBy(key, "unit").agg(F.collect_set(value).alias("values"))
 
 
+def by_title(q: DataFrame, key: str) -> DataFrame:
+    """(key, quantities): an array of (unit, values) for each title that has any."""
+    return per_unit(q, key).groupBy(key).agg(F.collect_list(F.struct("unit", "values")).alias("quantities"))
+
+
+def conflict(a: Column, b: Column) -> Column:
+    """What `conflicts` says of two titles, from their quantities as by_title has them. Null arrays are empty."""
+    def grade(x: Column, y: Column) -> Column:
+        extra_x, extra_y = F.size(F.array_except(x["values"], y["values"])) > 0, F.size(F.array_except(y["values"], x["values"])) > 0
+        return F.when(extra_x & extra_y, 2).when(extra_x | extra_y, 1).otherwise(0)
+
+    grades = F.flatten(F.transform(a, lambda x: F.transform(F.filter(b, lambda y: y["unit"] == x["unit"]), lambda y: grade(x, y))))
+    worst = F.coalesce(F.array_max(grades), F.lit(0))
+    return F.when(worst == 2, "no").when(worst == 1, "unknown").otherwise("ok")
+
+
 def conflicts(pairs: DataFrame, a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFrame:
     """pairs with `quantity`: over units that both have, no if both sides have values of their own in some unit, unknown if
     one side has, else ok."""

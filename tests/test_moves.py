@@ -1,11 +1,14 @@
 """What the queries over pairs move and write: an offer goes to its product once, and pairs stay there."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from offerloom import registry
+from offerloom.functions import units
 from offerloom.operators import decisions, evaluation, features
-from offerloom.plans import reports
+from offerloom.plans import catalogue, reports
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,6 +52,11 @@ def test_reports_write_no_pairs(spark, monkeypatch, name, most):
     assert seen <= most
 
 
+def test_pair_table_moves_no_pairs(spark, joined_by_shuffles):
+    text = plan(catalogue._pair_table(spark, SF))
+    assert not re.search(r"hashpartitioning\((name#\d+, )?product_name|hashpartitioning\(offer_id", text)
+
+
 def test_agreement(spark):
     a = [("x", "1"), ("x", "2"), ("y", None), ("z", "3"), (None, "4")]
     b = [("x", "2"), ("x", "1"), ("y", None), ("z", "5"), (None, "4"), ("w", "1")]
@@ -56,3 +64,15 @@ def test_agreement(spark):
     of = lambda key, rows: spark.createDataFrame([(1, *r) for r in rows], f"{key} int, name string, value string")
     got = features.attribute_agreement(pairs, of("offer_id", a), of("product_id", b)).collect()
     assert sorted((r.offer_id, r.product_id, r.n_common, r.n_matched, r.any_common, round(r.matched_ratio, 3)) for r in got) == [(1, 1, 3, 1, 1, 0.333)] * 2 + [(1, 2, 0, 0, 0, 0.0), (2, 1, 0, 0, 0, 0.0)]
+
+
+def test_conflict_as_of_tables(spark):
+    q = [("a", "kg", [], "1"), ("a", "kg", [], "2"), ("a", "m", [], "3"), ("b", "kg", [], "1"), ("c", "kg", [], "5"), ("d", "m", ["2"], "3"), ("e", "l", [], "1")]
+    table = spark.createDataFrame(q, "k string, unit string, multipliers array<string>, number string")
+    keys = spark.createDataFrame([(k,) for k in "abcdef"], "k string")
+    pairs = keys.select(F.col("k").alias("x")).join(keys.select(F.col("k").alias("y")))
+    want = {tuple(r) for r in units.conflicts(pairs, table.withColumnRenamed("k", "x"), table.withColumnRenamed("k", "y"), "x", "y").select("x", "y", "quantity").collect()}
+    t = units.by_title(table, "k")
+    side = lambda k: t.select(F.col("k").alias(k), F.col("quantities").alias(f"q{k}"))
+    rows = pairs.join(side("x"), "x", "left").join(side("y"), "y", "left")
+    assert {tuple(r) for r in rows.select("x", "y", units.conflict(F.col("qx"), F.col("qy"))).collect()} == want and {w[2] for w in want} == {"ok", "no", "unknown"}
