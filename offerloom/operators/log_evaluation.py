@@ -26,15 +26,22 @@ def model_id(info: Column) -> Column:
     return F.coalesce(F.concat_ws("_", info["name"], info["version"]), F.lit(""))
 
 
-def beside_pairing(log: DataFrame, offers: DataFrame, products: DataFrame) -> DataFrame:
-    """Decoded log rows with `now`, the product that the offer is in today, and flags that all rows have: paired,
-    correct_category. offers: (offer_id, product_id); products: (product_id, category_id)."""
+def beside_pairing(log: DataFrame, offers: DataFrame, products: DataFrame, **told: Column) -> DataFrame:
+    """Log rows with `now`, the product that the offer is in today, and flags that all rows have: paired, correct_category. `told` are
+    columns over the decoded payload; what is moved to the pairing is these, the candidates' ids with their decisions (null for
+    none), the model and the categories, not the messages. offers: (offer_id, product_id); products: (product_id, category_id)."""
     rows = log.select(F.col("offer_id").cast("string").alias("offer_id"), "time", F.from_json("payload", PAYLOAD).alias("p")).select("offer_id", "time", "p.*")
+    candidates = F.transform("candidates", lambda c: F.struct(c["id"].alias("candidate"), _of(F.col("comparisons"), c["id"], "decision").alias("decision")))
+    rows = rows.select(
+        "offer_id", "time", "final_decision", "final_candidate", F.split("possible_categories", ",").alias("possible"), model_id(F.col("model_info")).alias("model"),
+        candidates.alias("candidates"), *(c.alias(name) for name, c in told.items()),
+    )
     today = offers.select(F.col("offer_id").cast("string").alias("offer_id"), F.col("product_id").cast("string").alias("now"))
     categories = products.select(F.col("product_id").cast("string").alias("now"), F.col("category_id").cast("string").alias("now_category"), F.lit(True).alias("known"))
     rows = rows.join(today, "offer_id").join(categories, "now", "left")
-    possible = F.array_contains(F.split("possible_categories", ","), F.col("now_category"))
-    return rows.withColumns({"model": model_id(F.col("model_info")), "paired": F.col("now").isNotNull(), "correct_category": F.coalesce(possible, F.lit(False))})
+    possible = F.array_contains("possible", F.col("now_category"))
+    rows = rows.withColumns({"paired": F.col("now").isNotNull(), "correct_category": F.coalesce(possible, F.lit(False))})
+    return rows.drop("possible")
 
 
 def _of(comparisons: Column, candidate: Column, field: str) -> Column:
@@ -42,54 +49,54 @@ def _of(comparisons: Column, candidate: Column, field: str) -> Column:
     return F.get(F.filter(comparisons, lambda c: c["id"] == candidate), F.lit(0))[field]
 
 
+def _looked_at() -> Column:
+    """(candidate, decision, is_current) of the candidates with yes and of the product of today."""
+    now = F.col("now")
+    kept = F.filter("candidates", lambda c: (c["decision"] == "yes") | (c["candidate"] == now))
+    return F.transform(kept, lambda c: F.struct(c["candidate"].alias("candidate"), c["decision"].alias("decision"), F.coalesce(c["candidate"] == now, F.lit(False)).alias("is_current")))
+
+
 def evaluated_matches(log: DataFrame, offers: DataFrame, products: DataFrame, merges: DataFrame) -> DataFrame:
     """Log rows of matches with flags: paired, by_name, by_ean, correct, correct_category, in_candidates (an offer that is paired
-    rightly, or with one of its candidates) and n_problems, the candidates to look at if the match is wrong: those with yes and
-    the product of today. merges: (child, parent)."""
-    rows = saved(beside_pairing(log, offers, products), "matches")
+    rightly, or with one of its candidates) and n_problems, the number of looked_at, the candidates to look at if the match is
+    wrong: those with yes and the product of today. merges: (child, parent)."""
     final, now = F.col("final_candidate"), F.col("now")
+    details = _of(F.col("comparisons"), final, "details")
+    begins = lambda what: F.coalesce(F.startswith(details, F.lit(what)), F.lit(False))
+    rows = beside_pairing(log, offers, products, by_name=begins(BY_NAME), by_ean=begins(BY_EAN))
+    there = F.coalesce(F.exists("candidates", lambda c: c["candidate"] == now), F.lit(False))
+    rows = saved(rows.select("offer_id", "time", "model", "final_candidate", "now", "paired", "correct_category", "by_name", "by_ean", there.alias("_there"), _looked_at().alias("looked_at")), "matches")
     merged = merged_into(rows.select(final.alias("product_id"), now.alias("ancestor")), merges.select(*(F.col(c).cast("string") for c in ("child", "parent"))))
     rows = rows.join(merged.select(F.col("product_id").alias("final_candidate"), F.col("ancestor").alias("now"), F.lit(True).alias("_merged")), ["final_candidate", "now"], "left")
-    details = _of(F.col("comparisons"), final, "details")
+    rows = rows.withColumn("correct", F.coalesce((now == final) | F.col("_merged"), F.lit(False)))
     wrong = F.col("paired") & ~F.col("correct")
-    looked_at = F.filter("candidates", lambda c: (_of(F.col("comparisons"), c["id"], "decision") == "yes") | (c["id"] == now))
-    rows = rows.withColumns({
-        "by_name": F.coalesce(F.startswith(details, F.lit(BY_NAME)), F.lit(False)),
-        "by_ean": F.coalesce(F.startswith(details, F.lit(BY_EAN)), F.lit(False)),
-        "correct": F.coalesce((now == final) | F.col("_merged"), F.lit(False)),
-    })
     return rows.withColumns({
-        "in_candidates": F.col("paired") & (F.col("correct") | F.coalesce(F.exists("candidates", lambda c: c["id"] == now), F.lit(False))),
-        "n_problems": F.when(wrong, F.coalesce(F.size(looked_at), F.lit(0))).otherwise(0),
-    }).drop("_merged")
+        "in_candidates": F.col("paired") & (F.col("correct") | F.col("_there")),
+        "n_problems": F.when(wrong, F.coalesce(F.size("looked_at"), F.lit(0))).otherwise(0),
+    }).drop("_merged", "_there")
 
 
 def evaluated_unknown(log: DataFrame, offers: DataFrame, products: DataFrame) -> DataFrame:
     """Log rows without a decision, with flags: paired, correct_category, several_yes, name_in_several and ean_in_several (one of
-    several yes is by name, by EAN), unsupported, in_candidates and paired_decision (of the product that the offer is in, if the catalogue has it)."""
-    rows = beside_pairing(log, offers, products)
+    several yes is by name, by EAN), unsupported, in_candidates, paired_decision (of the product that the offer is in, if the catalogue has
+    it), and looked_at as in evaluated_matches."""
     yes = F.filter("comparisons", lambda c: c["decision"] == "yes")
     several = F.coalesce(F.size(yes) > 1, F.lit(False))
-    begins = lambda what: several & F.exists(yes, lambda c: F.startswith(c["details"], F.lit(what)))
+    begins = lambda what: F.coalesce(several & F.exists(yes, lambda c: F.startswith(c["details"], F.lit(what))), F.lit(False))
+    compared = F.transform("comparisons", lambda c: F.struct(c["id"].alias("id"), c["decision"].alias("decision")))
+    rows = beside_pairing(log, offers, products, several_yes=several, name_in_several=begins(BY_NAME), ean_in_several=begins(BY_EAN), comparisons=compared)
     return rows.withColumns({
-        "several_yes": several,
-        "name_in_several": F.coalesce(begins(BY_NAME), F.lit(False)),
-        "ean_in_several": F.coalesce(begins(BY_EAN), F.lit(False)),
         "unsupported": F.coalesce(F.col("final_decision") == "unsupported_category", F.lit(False)),
         "in_candidates": F.coalesce(F.col("known") & F.exists("comparisons", lambda c: c["id"] == F.col("now")), F.lit(False)),
         "paired_decision": F.when(F.col("known"), _of(F.col("comparisons"), F.col("now"), "decision")),
-    })
+        "looked_at": _looked_at(),
+    }).drop("comparisons", "candidates")
 
 
 def problems(evaluated: DataFrame) -> DataFrame:
     """(offer_id, model, candidate, decision, is_current): the candidates to look at of wrong matches and of several yes."""
-    if "n_problems" in evaluated.columns:
-        rows = evaluated.filter("n_problems > 0")
-    else:
-        rows = evaluated.filter("several_yes")
-    each = rows.select("offer_id", "model", "now", "comparisons", F.explode("candidates").alias("c"))
-    each = each.select("offer_id", "model", F.col("c.id").alias("candidate"), _of(F.col("comparisons"), F.col("c.id"), "decision").alias("decision"), F.coalesce(F.col("c.id") == F.col("now"), F.lit(False)).alias("is_current"))
-    return each.filter((F.col("decision") == "yes") | F.col("is_current"))
+    rows = evaluated.filter("n_problems > 0" if "n_problems" in evaluated.columns else "several_yes")
+    return rows.select("offer_id", "model", F.explode("looked_at").alias("c")).select("offer_id", "model", "c.*")
 
 
 def _share(of: str, whole: str) -> Column:

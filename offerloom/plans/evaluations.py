@@ -9,7 +9,6 @@ from offerloom.operators import log_evaluation, monitoring
 from offerloom.plans import base
 from offerloom.plans.base import PAIRS, query
 from offerloom.sources import catalog
-from offerloom.sources.scratch import saved
 
 _NOW = "CASE WHEN offer_id[5] < '2' THEN NULL WHEN offer_id[5] < '6' THEN product_id // 2 ELSE product_id END"
 #: Decisions with what the log says of them, and today's pairing.
@@ -27,23 +26,23 @@ def _share(a: str, b: str) -> str:
 
 def log_of_decisions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(log, offers with their pairing of today, products, merges)."""
-    o = catalog.offers(spark, sf_dir)
+    o = catalog.lines(spark, sf_dir).select(F.lower(F.hex("id")).alias("offer_id"), "product_id")
     nibble = lambda k: F.substring("offer_id", k, 1)
     details = F.when(F.col("reason") == "name", "Name match").when(F.col("reason") == "ean", "Ean match").otherwise(F.concat_ws("=", F.lit("score"), "score"))
     text = lambda c: F.col(c).cast("string")
-    each = base.decided(spark, sf_dir).groupBy("offer_id").agg(
+    rows = base.decided(spark, sf_dir).groupBy(*base.OF_OFFER).agg(
+        *(F.first(c).alias(c) for c in ("name", "category", "time")),
         F.collect_list(F.struct(text("product_id").alias("id"), F.col("product_name").alias("name"), F.col("category").alias("category_id"))).alias("candidates"),
         F.collect_list(F.struct(text("product_id").alias("id"), details.alias("details"), "decision")).alias("comparisons"),
         F.count_if(F.col("decision") == "yes").alias("n_yes"), F.min(F.when(F.col("decision") == "yes", F.col("product_id"))).alias("yes_product"),
     )
-    rows = o.select("offer_id", "name", "category", "time").join(each, "offer_id")
     decision = F.when(F.col("n_yes") == 1, "yes").when(nibble(9) == "0", "unsupported_category").otherwise("unknown")
     model = F.when(nibble(8) != "0", F.struct(F.lit("m").alias("name"), F.when(nibble(7) < "8", "1").otherwise("2").alias("version")))
     body = F.struct(
         F.struct(F.col("offer_id").alias("id"), F.col("name").alias("match_name")).alias("item"), "candidates", "comparisons", model.alias("model_info"), decision.alias("final_decision"),
         F.when(F.col("n_yes") == 1, text("yes_product")).alias("final_candidate"), F.when(nibble(6) < "c", F.concat_ws(",", F.lit("other"), "category")).otherwise(F.lit("other")).alias("possible_categories"),
     )
-    log = saved(rows.select("offer_id", F.to_json(body).alias("payload"), "time", decision.alias("decision")), "log")
+    log = rows.select("offer_id", F.to_json(body).alias("payload"), "time", decision.alias("decision"))
     now = F.when(nibble(5) < "2", F.lit(None)).when(nibble(5) < "6", F.floor(F.col("product_id") / 2)).otherwise(F.col("product_id"))
     products = catalog.products(spark, sf_dir).select("product_id", F.col("category").alias("category_id"))
     part = products.filter("product_id % 5 <> 0 and product_id > 1")

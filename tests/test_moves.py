@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from offerloom import registry
 from offerloom.functions import units
-from offerloom.operators import decisions, evaluation, features
+from offerloom.operators import decisions, evaluation, features, log_evaluation
 from offerloom.plans import catalogue, reports
 
 SF = "/root/testdata/sf0.001"
@@ -57,6 +57,13 @@ def test_pair_table_moves_no_pairs(spark, joined_by_shuffles):
     assert not re.search(r"hashpartitioning\((name#\d+, )?product_name|hashpartitioning\(offer_id", text)
 
 
+def test_matches_are_saved_without_messages(spark, monkeypatch):
+    seen, write = [], log_evaluation.saved
+    monkeypatch.setattr(log_evaluation, "saved", lambda df, *a: seen.append(df.columns) or write(df, *a))
+    registry.QUERIES["wrong_match_candidates"](spark, SF)
+    assert len(seen) == 1 and not {"candidates", "comparisons", "item", "possible_categories"} & set(seen[0])
+
+
 def test_agreement(spark):
     a = [("x", "1"), ("x", "2"), ("y", None), ("z", "3"), (None, "4")]
     b = [("x", "2"), ("x", "1"), ("y", None), ("z", "5"), (None, "4"), ("w", "1")]
