@@ -46,9 +46,14 @@ def importances(model: GBTClassificationModel, features: list[str], n: int) -> l
     return sorted(zip(features, model.featureImportances.toArray().tolist()), key=lambda x: (-x[1], x[0]))[:n]
 
 
+#: Titles that one task learns word vectors from; tasks learn side by side, and a word's vectors are averaged.
+TITLES_PER_TASK = 5_000
+
+
 def word_vectors(titles: DataFrame, words: str, size: int = 100, window: int = 5, least: int = 5, rounds: int = 1):
     """Skip-gram vectors; their transform() gives the mean vector of a title."""
-    return Word2Vec(vectorSize=size, windowSize=window, minCount=least, maxIter=rounds, seed=1, inputCol=words, outputCol="vector").fit(titles)
+    tasks = -(-titles.count() // TITLES_PER_TASK) or 1  # left alone, MLlib learns from all titles in one task
+    return Word2Vec(vectorSize=size, windowSize=window, minCount=least, maxIter=rounds, numPartitions=tasks, seed=1, inputCol=words, outputCol="vector").fit(titles)
 
 
 def title_word_vectors(titles: DataFrame, vectors: DataFrame, key: str, words: str) -> DataFrame:

@@ -368,3 +368,14 @@ def test_most_relevant_leaves_out(spark, monkeypatch, sent, seeds, block):
     key = lambda rows: sorted((r.query_id, r.text_id, round(r.relevance, 8), r.place) for r in rows)
     assert key(steps["result"].collect()) == key(candidates.relevant(q, t, 4).collect())
     assert steps["candidates"].count() < 0.1 * len(texts) * len(queries)
+
+
+def test_word_vectors_learn_in_parts(spark, monkeypatch):
+    from offerloom.operators import models
+
+    rows = spark.createDataFrame([(k, [f"w{k % 3}", f"w{k % 5}", "every"]) for k in range(25)], "id int, words array<string>")
+    assert models.word_vectors(rows, "words", size=2, least=1).getNumPartitions() == 1
+    monkeypatch.setattr(models, "TITLES_PER_TASK", 10)
+    model = models.word_vectors(rows, "words", size=2, least=1)
+    assert model.getNumPartitions() == 3 and {r.word for r in model.getVectors().collect()} == {"every"} | {f"w{k}" for k in range(5)}
+    assert models.word_vectors(rows.limit(1), "words", size=2, least=1).getNumPartitions() == 1
