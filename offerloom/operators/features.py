@@ -149,15 +149,24 @@ def leave_one_out_prices(offers: DataFrame, keys: tuple[str, ...] = ("product_id
 
 def others_have(pairs: DataFrame, offers: DataFrame, column: str, out: str) -> DataFrame:
     """pairs (offer_id, product_id, current, `column`) with `out`: whether another offer of the product has the pair's value, and
-    `<out>_known`: whether another offer has any. The offer's own value doesn't count for its own product.
-
-    Counts of values and of a product's offers say that, so no list is built for a product with very many offers."""
-    values = offers.filter(F.col(column).isNotNull()).groupBy("product_id", column).agg(F.count("*").alias("_same"))
-    known = values.groupBy("product_id").agg(F.sum("_same").alias("_any"))
-    own = ((F.col("product_id") == F.col("current")) & F.col(column).isNotNull()).cast("int")
-    rows = pairs.join(values, ["product_id", column], "left").join(known, "product_id", "left")
-    more = lambda c: (F.coalesce(F.col(c), F.lit(0)) - own > 0).cast("int")
-    return rows.withColumns({out: more("_same"), f"{out}_known": more("_any")}).drop("_same", "_any")
+    `<out>_known`: whether another offer has any. The offer's own value doesn't count for its own product."""
+    return others_have_each(pairs, offers, {column: out})
+
+
+def others_have_each(pairs: DataFrame, offers: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """others_have for several columns: {column: out}.
+
+    Offers and pairs go to their product together, once. Windows count values and offers there, so no list is built for a product with
+    very many offers."""
+    rows = pairs.withColumn("_of", F.lit(0)).unionByName(offers.select("product_id", *columns, F.lit(1).alias("_of")), allowMissingColumns=True)
+    counted = lambda c: F.sum(F.when(F.col(c).isNotNull() & F.col("product_id").isNotNull(), F.col("_of")).otherwise(0))
+    rows = rows.withColumns({f"_any_{c}": counted(c).over(Window.partitionBy("product_id")) for c in columns})
+    for c in columns:
+        rows = rows.withColumn(f"_same_{c}", counted(c).over(Window.partitionBy("product_id", c)))
+    own = lambda c: ((F.col("product_id") == F.col("current")) & F.col(c).isNotNull()).cast("int")
+    more = lambda n, c: (F.col(n) - own(c) > 0).cast("int")
+    flags = [x for c, out in columns.items() for x in (more(f"_same_{c}", c).alias(out), more(f"_any_{c}", c).alias(f"{out}_known"))]
+    return rows.filter("_of = 0").select(*pairs.columns, *flags)
 
 
 def agreement(pairs: DataFrame, mine: str, theirs: str) -> DataFrame:
