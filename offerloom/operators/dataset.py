@@ -14,12 +14,13 @@ def seeded(seed: int, *columns: str) -> Column:
 
 def labelled_pairs(offers: DataFrame, candidates: DataFrame, least_offers: int) -> DataFrame:
     """(offer_id, product_id, label): an offer with its own product is 1; with another candidate 0, if that candidate has
-    enough offers or none at all."""
+    enough offers or none at all. Candidates that come with their offer's product in `own` aren't looked up among the offers."""
     own = offers.select("offer_id", "product_id", F.lit(1).alias("label"))
     counts = offers.groupBy("product_id").agg(F.count("*").alias("_n"))
-    other = candidates.select("offer_id", "product_id").distinct().join(offers.select("offer_id", F.col("product_id").alias("own")), "offer_id").filter("product_id <> own")
-    other = other.join(counts, "product_id", "left").filter(F.col("_n").isNull() | (F.col("_n") >= least_offers))
-    return own.unionByName(other.select("offer_id", "product_id", F.lit(0).alias("label"))).distinct()
+    pairs = candidates if "own" in candidates.columns else candidates.join(offers.select("offer_id", F.col("product_id").alias("own")), "offer_id")
+    other = pairs.filter("product_id <> own").select("offer_id", "product_id").join(counts, "product_id", "left").filter(F.col("_n").isNull() | (F.col("_n") >= least_offers))
+    # pairs are at their product by now, where copies of them are as well; no pair has both labels
+    return own.distinct().unionByName(other.select("offer_id", "product_id", F.lit(0).alias("label")).distinct())
 
 
 def top_offers(offers: DataFrame, n: int, order: str = "n_candidates") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from offerloom import registry
 from offerloom.functions import units
-from offerloom.operators import decisions, evaluation, features, log_evaluation
+from offerloom.operators import dataset, decisions, evaluation, features, log_evaluation
 from offerloom.plans import catalogue, reports
 
 SF = "/root/testdata/sf0.001"
@@ -83,3 +83,24 @@ def test_conflict_as_of_tables(spark):
     side = lambda k: t.select(F.col("k").alias(k), F.col("quantities").alias(f"q{k}"))
     rows = pairs.join(side("x"), "x", "left").join(side("y"), "y", "left")
     assert {tuple(r) for r in rows.select("x", "y", units.conflict(F.col("qx"), F.col("qy"))).collect()} == want and {w[2] for w in want} == {"ok", "no", "unknown"}
+
+
+def test_other_offers_by_one_move(spark, joined_by_shuffles):
+    o = spark.createDataFrame([(1, 1, 7, None), (2, 1, 7, 5), (3, 2, 8, 5), (4, None, 7, 5)], "offer_id int, product_id int, shop int, ean int")
+    pairs = spark.createDataFrame([(1, 1, 1, 7, None), (2, 1, 1, 7, 5), (3, 2, 2, 8, 5), (3, 1, 2, 8, 5), (1, 3, 1, 7, None), (4, None, None, 7, 5)], "offer_id int, product_id int, current int, shop int, ean int")
+    rows = features.others_have_each(pairs, o, {"shop": "s", "ean": "e"})
+    assert {(r.offer_id, r.product_id): (r.s, r.s_known, r.e, r.e_known) for r in rows.filter("product_id is not null").collect()} == {(1, 1): (1, 1, 0, 1), (2, 1): (1, 1, 0, 0), (3, 2): (0, 0, 0, 0), (3, 1): (0, 1, 1, 1), (1, 3): (0, 0, 0, 0)}
+    # lines and products come together; after that the pairs and offers go to their product once
+    text = plan(registry.QUERIES["leave_one_out_features"](spark, SF))
+    assert "hashpartitioning(product_id#" in text and not re.search(r"hashpartitioning\(product_id#\d+L?, [a-z]", text)
+
+
+def test_labelled_pairs_that_know_their_product(spark, joined_by_shuffles):
+    o = spark.createDataFrame([(1, 1), (2, 1), (3, 2)], "offer_id int, product_id int")
+    c = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (3, 1), (3, 9), (2, 1)], "offer_id int, product_id int")
+    want = {(1, 1, 1), (2, 1, 1), (3, 2, 1), (3, 1, 0), (3, 9, 0)}
+    known = c.join(o.withColumnRenamed("product_id", "own"), "offer_id")
+    for rows in (c, known):
+        got = [tuple(r) for r in dataset.labelled_pairs(o, rows, 2).collect()]
+        assert len(got) == len(want) and set(got) == want
+    assert "hashpartitioning(offer_id#" not in plan(registry.QUERIES["labelled_pairs"](spark, SF)).replace("hashpartitioning(offer_id#", "(own", 1)
