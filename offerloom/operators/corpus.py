@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offerloom.sources.scratch import saved
+
 
 def distinct_titles(sources: list[tuple[DataFrame, list[str]]], preceding: DataFrame | None = None) -> DataFrame:
     """Distinct titles (column title) of several tables' columns and of an earlier corpus; empty ones are left out."""
@@ -21,8 +23,8 @@ def collocations(titles: DataFrame, words: Column, least_count: int = 5, score_a
     pointwise mutual information log2(n_xy * N / (n_x * n_y)) is above a bound. `usable` filters the column `word`."""
     rows = titles.select(words.alias("_w"))
     singles = rows.select(F.explode("_w").alias("word"))
-    counts = singles.groupBy("word").agg(F.count("*").alias("n"))
-    total = singles.agg(F.count("*").alias("total"))
+    counts = saved(singles.groupBy("word").agg(F.count("*").alias("n")), "words")  # titles are cut once for all that is asked of words
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     after = F.expr("slice(_w, 2, size(_w))")
     pairs = rows.filter(F.size("_w") > 1).select(F.explode(F.arrays_zip(F.expr("slice(_w, 1, size(_w) - 1)").alias("first"), after.alias("second"))).alias("p")).select("p.*")
     pairs = pairs.groupBy("first", "second").agg(F.count("*").alias("n_xy")).filter(F.col("n_xy") >= least_count)

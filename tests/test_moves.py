@@ -104,3 +104,15 @@ def test_labelled_pairs_that_know_their_product(spark, joined_by_shuffles):
         got = [tuple(r) for r in dataset.labelled_pairs(o, rows, 2).collect()]
         assert len(got) == len(want) and set(got) == want
     assert "hashpartitioning(offer_id#" not in plan(registry.QUERIES["labelled_pairs"](spark, SF)).replace("hashpartitioning(offer_id#", "(own", 1)
+
+
+def test_collocations_count_words_once(spark, monkeypatch, joined_by_shuffles):
+    from offerloom.operators import corpus
+
+    seen, write = [], corpus.saved
+    monkeypatch.setattr(corpus, "saved", lambda df, *a: seen.append(df) or write(df, *a))
+    titles = spark.createDataFrame([("a b c",), ("a b",), ("c d",), ("",)], "title string")
+    rows = corpus.collocations(titles, F.split("title", " "), 2, 0.0)
+    assert [(r.first, r.second, r.n, round(r.pmi, 4)) for r in rows.collect()] == [("a", "b", 2, 2.0)] and len(seen) == 1
+    assert plan(corpus.collocations(titles, F.split("title", " "), 2, 0.0)).count("Generate explode") == 1  # pairs only
+    assert corpus.collocations(titles.limit(0), F.split("title", " ")).count() == 0
