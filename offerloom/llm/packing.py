@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import array
 import functools
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -136,9 +137,19 @@ class Recent(Memo):
             self.clear()
 
 
+#: A word of letters, maybe with marks after it: the vocabulary's pattern takes the letters (with the space before them) as one
+#: piece and the marks as another, unless they begin with an apostrophe. Only letters that have been letters in every version of
+#: Unicode, and no apostrophes.
+_LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏА-я]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: A byte-level vocabulary writes bytes as visible characters: those that are so in Latin-1 stay, the others follow from U+0100 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
+
 class ByteTokenizer:
-    """Ids of a byte-level vocabulary by the tokenizers library, word by word from a bounded memo. A text that holds a special
-    token's string goes to the library as a whole."""
+    """Ids of a byte-level vocabulary by the tokenizers library, word by word from a bounded memo. A word that is one piece of the
+    vocabulary's pattern goes to the library's model without that pattern, a text that holds a special token's string to the
+    library as a whole."""
 
     def __init__(self, json_path: str):
         from tokenizers import Tokenizer
@@ -146,9 +157,21 @@ class ByteTokenizer:
         library = Tokenizer.from_file(json_path)
         self.special = [t.content for t in library.get_added_tokens_decoder().values()]
         self.whole = lambda text: array.array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
-        self.bare, self.spaced = Recent(self.whole), Recent(lambda word: self.whole(" " + word))
+        self.model = library.model
+        self.bare, self.spaced = Recent(lambda word: self.word("", word)), Recent(lambda word: self.word(" ", word))
         self.newline = self.whole("\n")
 
+    def word(self, before: str, word: str) -> bytes:
+        """Ids of a word after a space or nothing."""
+        cut = _LETTERS_AND_MARKS(word)
+        if not cut:
+            return self.whole(before + word)
+        letters, marks = cut.groups()
+        if marks:
+            return (self.spaced if before else self.bare)[letters] + self.bare[marks]
+        shown = (before + letters).encode().decode("latin-1").translate(_SHOWN)
+        return array.array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text or _odd_space(text) or any(s in text for s in self.special):
