@@ -25,8 +25,9 @@ def ean_matches(eans: Column, ean: Column) -> Column:
 
 def name_similarity(a: Column, b: Column) -> Column:
     """1.3 for equal token lists, 1.2 for equal tokens in another order, 1.1 for titles equal without spaces, else 0."""
-    ta, tb = F.split(a, " "), F.split(b, " ")
-    return F.when(ta == tb, 1.3).when(F.array_sort(ta) == F.array_sort(tb), 1.2).when(F.replace(a, F.lit(" "), F.lit("")) == F.replace(b, F.lit(" "), F.lit("")), 1.1).otherwise(0.0)
+    # titles of equal tokens are equally long, and token lists are only equal if titles are: most pairs aren't split or sorted
+    ta, tb = F.array_sort(F.split(a, " ")), F.array_sort(F.split(b, " "))
+    return F.when(a == b, 1.3).when((F.length(a) == F.length(b)) & (ta == tb), 1.2).when(F.replace(a, F.lit(" "), F.lit("")) == F.replace(b, F.lit(" "), F.lit("")), 1.1).otherwise(0.0)
 
 
 def tokens_contained(a: Column, b: Column) -> Column:

@@ -30,7 +30,7 @@ def log_of_decisions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     nibble = lambda k: F.substring("offer_id", k, 1)
     details = F.when(F.col("reason") == "name", "Name match").when(F.col("reason") == "ean", "Ean match").otherwise(F.concat_ws("=", F.lit("score"), "score"))
     text = lambda c: F.col(c).cast("string")
-    rows = base.decided(spark, sf_dir).groupBy(*base.OF_OFFER).agg(
+    rows = base.decided(spark, sf_dir, ("product_name",)).groupBy(*base.OF_OFFER).agg(
         *(F.first(c).alias(c) for c in ("name", "category", "time")),
         F.collect_list(F.struct(text("product_id").alias("id"), F.col("product_name").alias("name"), F.col("category").alias("category_id"))).alias("candidates"),
         F.collect_list(F.struct(text("product_id").alias("id"), details.alias("details"), "decision")).alias("comparisons"),

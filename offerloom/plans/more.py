@@ -67,7 +67,7 @@ def dictionary_matches(spark, sf_dir):
 
 @query(f"""WITH {PAIRS}, f AS (SELECT category, decision, name_similarity::DOUBLE AS name_similarity FROM named) SELECT decision, count(*) FILTER (name_similarity = 0) AS none, count(*) FILTER (name_similarity = 1.1) AS joined, count(*) FILTER (name_similarity = 1.2) AS sorted, count(*) FILTER (name_similarity = 1.3) AS equal FROM f GROUP BY 1""")
 def feature_crosstab(spark, sf_dir):
-    rows = base.decided(spark, sf_dir)
+    rows = base.decided(spark, sf_dir, ("name_similarity",))
     named = {"none": 0.0, "joined": 1.1, "sorted": 1.2, "equal": 1.3}
     return rows.groupBy("decision").agg(*(F.count_if(F.col("name_similarity") == v).alias(k) for k, v in named.items()))
 

@@ -21,7 +21,7 @@ _FINAL = "CASE WHEN n_yes = 1 THEN 'yes' WHEN n_yes = 0 AND n_unknown = 0 THEN '
 @query(f"""WITH {PAIRS} SELECT {_FINAL} AS section, offer_id, CASE WHEN n_yes = 1 THEN yes_product END AS final_product FROM finals UNION ALL SELECT 'several', offer_id, NULL FROM finals WHERE n_yes > 1""")
 def report_sections(spark, sf_dir):
     """A report with a section for each decision and one for offers with several yes, read again section by section."""
-    rows = decisions.answers(base.decided(spark, sf_dir), base.OF_OFFER)
+    rows = base.answered(spark, sf_dir)
     final = saved(rows.select("offer_id", decisions.served().alias("final_decision"), F.when(F.col("n_yes") == 1, F.col("yes_product")).alias("final_product"), (F.col("n_yes") > 1).alias("several")), "decided")
     path = shared_path(spark, "report")
     sections = {d: final.filter(F.col("final_decision") == d).select("offer_id", "final_product") for d in ("yes", "no", "unknown")} | {"several": final.filter("several").select("offer_id", "final_product")}
@@ -32,8 +32,9 @@ def report_sections(spark, sf_dir):
 @query(f"""WITH {PAIRS} SELECT n.offer_id, {_FINAL} AS final_decision, n.product_id, n.decision, n.reason FROM named n JOIN finals USING (offer_id)""")
 def flat_export(spark, sf_dir):
     """Offers and their candidates as tab-separated text, read again."""
-    rows, path = decisions.with_answers(base.decided(spark, sf_dir), base.OF_OFFER), shared_path(spark, "export")
-    sinks.write_flat(rows.select("offer_id", decisions.served().alias("final_decision"), "product_id", "decision", "reason"), path, "gzip")
+    rows, path = base.answered(spark, sf_dir), shared_path(spark, "export")
+    flat = decisions.pairs_of_rows(rows.withColumn("final_decision", decisions.served()), len(base.STEPS), ["offer_id", "final_decision"], ["product_id", "decision", "reason"])
+    sinks.write_flat(flat, path, "gzip")
     return spark.read.schema("offer_id string, final_decision string, product_id long, decision string, reason string").option("sep", "\t").option("header", True).csv(path)
 
 

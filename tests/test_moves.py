@@ -44,6 +44,39 @@ def test_finals_of_pairs(spark):
     assert evaluation.threshold_sweep(scored, offers.union(spark.createDataFrame([("f", "x", 9, True)], offers.schema))).first().n == 6
 
 
+@pytest.mark.parametrize("name", "business_metrics offer_decision rerun_status report_rows precision_confidence pair_outcomes flat_export".split())
+def test_no_pairs_are_sorted(spark, joined_by_shuffles, monkeypatch, name):
+    """Only lines and products are sorted, by their product; candidates are columns of their offer."""
+    monkeypatch.setattr(reports.sinks, "write_flat", lambda rows, path, _: seen.append(rows) or rows.limit(0).write.csv(path))
+    seen = []
+    text = plan((lambda df: seen[0] if seen else df)(registry.QUERIES[name](spark, SF)))
+    assert text.count(", _w0#") < 2 and not re.search(r"Sort \[[^\]]*(offer_id|, )", text)
+    assert all(re.fullmatch(r"(product_id|current)#\d+L ASC NULLS FIRST", s) for s in re.findall(r"Sort \[([^\]]*)\]", text))
+
+
+def test_decisions_in_the_row(spark):
+    """The same decisions as over pairs by windows, for offers with up to three candidates and any status."""
+    import itertools
+    import random
+
+    rng, rows = random.Random(4), []
+    for k, n in itertools.product(range(200), (1, 2, 3)):
+        rows.append([(k * 4 + n, 10 * k + i, rng.choice((0, 1, 2, 3, 7, None)), rng.choice((None, 0.1, 0.47, 0.9, 0.9)), rng.random() < 0.2, rng.choice((0.0, 1.3)), rng.choice((0, 1)), rng.choice(("ok", "ok", "no", "unknown"))) for i in range(n)])
+    names = ["offer_id", "product_id", "status", "score", "price_rejected", "name_similarity", "ean_matches", "quantity"]
+    types = ["int", "int", "int", "double", "boolean", "double", "int", "string"]
+    schema = lambda of: ", ".join(f"{n} {t}" for n, t in of)
+    pairs = spark.createDataFrame([p for o in rows for p in o], schema(zip(names, types))).withColumns({"unique_names": F.lit(True), "ean_required": F.lit(True)})
+    want = decisions.with_answers(decisions.name_priority(decisions.status_priority(decisions.pair_decision(pairs).withColumn("first", F.col("decision")), {0: 1, 1: 1, 2: 2, 3: 3}, {3})))
+    flat = [(o[0][0], *(v for i in range(3) for v in (o[i][1:] if i < len(o) else (None,) * 7))) for o in rows]
+    wide = spark.createDataFrame(flat, schema([("offer_id", "int"), *((f"{n}_{k}", t) for k in range(3) for n, t in zip(names[1:], types[1:]))]))
+    of = lambda k, n: F.lit(True) if n in ("unique_names", "ean_required") else F.col(f"{n}_{k}")
+    got = decisions.name_priority_in_row(decisions.status_priority_in_row(decisions.decided_in_row(wide, 3, of), 3, {0: 1, 1: 1, 2: 2, 3: 3}, {3}), 3)
+    got = decisions.pairs_of_rows(decisions.answers_in_row(got, 3), 3, ["offer_id", "n_yes", "n_unknown", "n", "yes_product"], ["product_id", "reason", "first", "decision"])
+    columns = ["offer_id", "product_id", "reason", "first", "decision", "n_yes", "n_unknown", "n", "yes_product"]
+    key = lambda df: sorted(map(tuple, df.select(columns).collect()), key=str)
+    assert key(got) == key(want) and len({r[2:5] for r in key(want)}) > 8
+
+
 @pytest.mark.parametrize("name, most", [("report_sections", {"offer_id", "final_decision", "final_product", "several"}), ("flat_export", set())])
 def test_reports_write_no_pairs(spark, monkeypatch, name, most):
     seen, write = set(), reports.saved
