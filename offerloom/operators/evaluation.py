@@ -207,6 +207,11 @@ def assigned_clusters(rows: DataFrame) -> DataFrame:
 REPORT_ORDER = ("yes", "unknown", "no", "invalid", "failed")
 
 
+def report_places() -> dict[str, int]:
+    """Places of the known decisions."""
+    return {d: k + 1 for k, d in enumerate(REPORT_ORDER)}
+
+
 def report_place(decision: Column) -> Column:
     """Place of a decision in reports, from 1; others come last. For orderBy."""
     at = F.array_position(F.array(*map(F.lit, REPORT_ORDER)), decision)

@@ -54,6 +54,15 @@ def test_no_pairs_are_sorted(spark, joined_by_shuffles, monkeypatch, name):
     assert all(re.fullmatch(r"(product_id|current)#\d+L ASC NULLS FIRST", s) for s in re.findall(r"Sort \[([^\]]*)\]", text))
 
 
+def test_reports_and_comparisons_move_no_pairs(spark, joined_by_shuffles):
+    rows = registry.QUERIES["report_order"](spark, SF)
+    assert re.search(r"rangepartitioning\(place#\d+ ASC NULLS FIRST, id#\d+ ASC", plan(rows)) and "offer_id" not in "".join(re.findall(r"Sort \[[^\]]*\]", plan(rows)))
+    got = [(r.place, r.offer_id, r.product_id) for r in rows.collect()]
+    assert got == sorted(got) and len(got) > 17000
+    text = plan(registry.QUERIES["model_comparison"](spark, SF))
+    assert "hashpartitioning(offer_id" not in text and "FullOuter" not in text and "finals-" not in text
+
+
 def test_decisions_in_the_row(spark):
     """The same decisions as over pairs by windows, for offers with up to three candidates and any status."""
     import itertools
