@@ -6,12 +6,13 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, Word2Vec
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offerloom.operators import skipgram
 from offerloom.operators.dataset import seeded
 from offerloom.operators.evaluation import class_weight
 
@@ -50,10 +51,10 @@ def importances(model: GBTClassificationModel, features: list[str], n: int) -> l
 TITLES_PER_TASK = 5_000
 
 
-def word_vectors(titles: DataFrame, words: str, size: int = 100, window: int = 5, least: int = 5, rounds: int = 1):
+def word_vectors(titles: DataFrame, words: str, size: int = 100, window: int = 5, least: int = 5, rounds: int = 1) -> skipgram.WordVectors:
     """Skip-gram vectors; their transform() gives the mean vector of a title."""
-    tasks = -(-titles.count() // TITLES_PER_TASK) or 1  # left alone, MLlib learns from all titles in one task
-    return Word2Vec(vectorSize=size, windowSize=window, minCount=least, maxIter=rounds, numPartitions=tasks, seed=1, inputCol=words, outputCol="vector").fit(titles)
+    tasks = -(-titles.count() // TITLES_PER_TASK) or 1
+    return skipgram.learn(titles, words, size, window, least, rounds, tasks)
 
 
 def title_word_vectors(titles: DataFrame, vectors: DataFrame, key: str, words: str) -> DataFrame:

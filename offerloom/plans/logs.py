@@ -325,7 +325,7 @@ def word_vectors(spark, sf_dir):
     """Per document the mean vector of its words; words without a vector count as zero."""
     rows = catalog.table(spark, sf_dir, "documents").select("doc_id", text.any_script_words(F.col("text")).alias("words"))
     model = models.word_vectors(rows, "words", size=16, least=20)
-    return model.transform(rows).select("doc_id", vector_to_array("vector").alias("vector"))
+    return model.learned().select("doc_id", "vector")
 
 
 

@@ -379,3 +379,71 @@ def test_word_vectors_learn_in_parts(spark, monkeypatch):
     model = models.word_vectors(rows, "words", size=2, least=1)
     assert model.getNumPartitions() == 3 and {r.word for r in model.getVectors().collect()} == {"every"} | {f"w{k}" for k in range(5)}
     assert models.word_vectors(rows.limit(1), "words", size=2, least=1).getNumPartitions() == 1
+
+
+def _two_topics(spark, n=1600):
+    import random
+
+    rng = random.Random(4)
+    return spark.createDataFrame([(k, [f"{'ab'[k % 2]}{rng.randrange(30)}" for _ in range(60)]) for k in range(n)], "id long, words array<string>")
+
+
+def test_word_vectors_of_tasks_side_by_side_are_the_same_again(spark, monkeypatch):
+    from offerloom.operators import models
+
+    monkeypatch.setattr(models, "TITLES_PER_TASK", 100)
+    rows = _two_topics(spark)
+    once, again = ({r.word: list(r.vector) for r in models.word_vectors(rows, "words", size=8, least=1).getVectors().collect()} for _ in range(2))
+    assert len(once) == 60 and once == again
+
+
+def test_word_vectors_tell_topics_apart(spark, monkeypatch):
+    import numpy as np
+
+    from offerloom.operators import models
+
+    monkeypatch.setattr(models, "TITLES_PER_TASK", 500)
+    rows = _two_topics(spark)
+    model = models.word_vectors(rows, "words", size=8, least=1, rounds=2)
+    vectors = {r.word: np.array(r.vector) / np.linalg.norm(r.vector) for r in model.getVectors().collect()}
+    of = lambda x, y: np.mean([vectors[v] @ vectors[w] for v in vectors for w in vectors if v < w and {v[0], w[0]} == {x, y}])
+    assert min(of("a", "a"), of("b", "b")) > 0.8 > 0.3 > of("a", "b")
+    other = spark.createDataFrame([(1, ["a1", "x", None]), (2, []), (3, None)], "id long, words array<string>")
+    got = {r.id: r.vector for r in model.transform(other).collect()}
+    plain = {r.word: list(r.vector) for r in model.getVectors().filter("word = 'a1'").collect()}
+    assert got == {1: pytest.approx([x / 3 for x in plain["a1"]]), 2: [0.0] * 8, 3: [0.0] * 8}
+    assert sorted(map(tuple, model.learned().select("id", "vector").collect())) == sorted(map(tuple, model.transform(rows).select("id", "vector").collect()))
+
+
+def test_no_word_is_met_often_enough_for_a_vector(spark):
+    from offerloom.operators import models
+
+    rows = spark.createDataFrame([(1, ["a"]), (2, []), (3, None)], "id long, words array<string>")
+    model = models.word_vectors(rows, "words", size=2, least=5)
+    assert model.getVectors().count() == 0 and {r.id: r.vector for r in model.learned().collect()} == {k: [0.0, 0.0] for k in (1, 2, 3)}
+    assert models.word_vectors(rows.filter("id > 5"), "words", size=2, least=5).learned().count() == 0
+
+
+def test_slopes_of_word_pairs_are_those_of_their_likelihood():
+    import numpy as np
+
+    from offerloom.operators import skipgram
+
+    rng = np.random.default_rng(2)
+    n, window, text = 5, 3, np.array([0, 0, 0, 1, 1, 1, 1, 1])
+    v, noise = rng.normal(size=(2, len(text), 4)), rng.normal(size=(6, 4))
+
+    def likelihood(v, noise):
+        like = lambda x: -np.log1p(np.exp(-x))
+        pairs = [(a, b, (window + 1 - (b - a)) / window) for a in range(n) for b in range(a + 1, min(a + window, len(text) - 1) + 1) if text[a] == text[b]]
+        return sum(w * (like(v[0, x] @ v[1, y]) + skipgram.NOISE / len(noise) * like(-(noise @ v[0, x])).sum()) for a, b, w in pairs for x, y in ((a, b), (b, a)))
+
+    got = skipgram._slopes(v, noise, text, n, window)
+    for at in np.ndindex(v.shape):
+        moved = v.copy()
+        moved[at] += 1e-5
+        assert got[at] == pytest.approx((likelihood(moved, noise) - likelihood(v, noise)) / 1e-5, abs=1e-3)
+    for at in np.ndindex(noise.shape):
+        moved = noise.copy()
+        moved[at] += 1e-5
+        assert got[1, len(text) + at[0], at[1]] == pytest.approx((likelihood(v, moved) - likelihood(v, noise)) / 1e-5, abs=1e-3)
